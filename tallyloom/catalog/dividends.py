@@ -19,7 +19,7 @@ events_done as (
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return dividends.dividend_events(dividends_raw(spark, sf))
+    return dividends.dividend_events(dividends_raw(spark, sf), done="F")
 
 
 @query(

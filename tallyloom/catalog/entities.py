@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query
+from tallyloom.catalog.stand_ins import code
 from tallyloom.plans import columns, companies
 from tallyloom.sources import read_dataset
 
@@ -26,7 +27,7 @@ def _valuation_raw(spark: SparkSession, sf: str) -> DataFrame:
         read_dataset(spark, sf, "orders"),
         columns.VALUATION,
         {
-            "symbol": F.format_string("%06d", "o_custkey"),
+            "symbol": code(F.col("o_custkey")),
             "date": F.col("o_orderdate"),
             "close_price": F.col("o_totalprice"),
             "pe_ttm": F.col("o_totalprice") / F.lit(16.0),
@@ -75,7 +76,7 @@ def index_weights(spark: SparkSession, sf: str) -> DataFrame:
         {
             "date": F.col("l_shipdate").cast("date"),
             "index_code": F.concat("l_returnflag", "l_linestatus"),
-            "stock_code": F.format_string("%06d", "l_partkey"),
+            "stock_code": code(F.col("l_partkey")),
             "stock_name": F.col("p_name"),
             "weight": F.col("l_discount"),
         },
@@ -97,7 +98,7 @@ def share_structure(spark: SparkSession, sf: str) -> DataFrame:
         read_dataset(spark, sf, "orders"),
         columns.SHARE_STRUCTURE,
         {
-            "symbol": F.format_string("%06d", "o_custkey"),
+            "symbol": code(F.col("o_custkey")),
             "change_date": F.col("o_orderdate").cast("date"),
             "total_share": F.col("o_totalprice"),
             "share_restricted": F.col("o_totalprice") / F.lit(4.0),
@@ -121,11 +122,11 @@ def company_info_b(spark: SparkSession, sf: str) -> DataFrame:
         read_dataset(spark, sf, "customer"),
         columns.COMPANY_B,
         {
-            "stock_code": F.format_string("%06d.SZ", "c_custkey"),
+            "stock_code": F.concat(code(F.col("c_custkey")), F.lit(".SZ")),
             "stock_name": F.col("c_name"),
             "total_shares": F.col("c_acctbal"),
             "industry": F.col("c_mktsegment"),
-            "symbol": F.format_string("%06d", "c_custkey"),
+            "symbol": code(F.col("c_custkey")),
         },
     )
     return companies.company_info_b(raw, dt.date(2024, 1, 31))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query
-from tallyloom.catalog.stand_ins import BARS_SQL, bars_raw
+from tallyloom.catalog.stand_ins import BARS_SQL, bars_raw, code
+from tallyloom.functions import date_text
 from tallyloom.operators import quality, series
 from tallyloom.plans import prices
 from tallyloom.sources import read_dataset
@@ -20,7 +21,7 @@ PRICES = ("open", "close", "high", "low")
 
 
 def _bars(spark: SparkSession, sf: str) -> DataFrame:
-    adjusted = {"hfq": bars_raw(spark, sf, 1.5), "none": bars_raw(spark, sf)}
+    adjusted = {"hfq": bars_raw(spark, sf, 1.5), "none": bars_raw(spark, sf, 1.0)}
     return prices.bars(adjusted, AS_OF, start=FIRST_DAY)
 
 
@@ -181,7 +182,7 @@ def validate_prices(spark: SparkSession, sf: str) -> DataFrame:
         "symbol", "adjust_type", "dt", F.when(~silent, F.col("close")).alias("close")
     )
     asked = read_dataset(spark, sf, "customer").select(
-        F.format_string("%06d", "c_custkey").alias("symbol")
+        code(F.col("c_custkey")).alias("symbol")
     )
     return quality.validate_prices(bars, asked)
 
@@ -208,7 +209,7 @@ from part where p_partkey = 42
 def spot_info(spark: SparkSession, sf: str) -> DataFrame:
     """One fund of the spot table."""
     spot = read_dataset(spark, sf, "part").select(
-        F.format_string("%06d", "p_partkey").alias("代码"),
+        code(F.col("p_partkey")).alias("代码"),
         F.col("p_name").alias("名称"),
         F.col("p_retailprice").alias("最新价"),
         F.col("p_size").cast("double").alias("成交量"),
@@ -231,8 +232,8 @@ def bars_b(spark: SparkSession, sf: str) -> DataFrame:
     raw = (
         read_dataset(spark, sf, "events")
         .groupBy(
-            F.format_string("sz%06d", "user_id").alias("ts_code"),
-            F.date_format("ts", "yyyyMMdd").alias("trade_date"),
+            F.concat(F.lit("sz"), code(F.col("user_id"))).alias("ts_code"),
+            date_text(F.col("ts"), compact=True).alias("trade_date"),
         )
         .agg(
             F.min_by("value", "ts").alias("open"),

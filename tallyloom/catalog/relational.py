@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.registry import query
-from tallyloom.catalog.stand_ins import CODES_SQL, codes, facts_raw, industry_raw
+from tallyloom.catalog.stand_ins import CODES_SQL, code, codes, facts_raw, industry_raw
 from tallyloom.functions import (
     first_digits,
     full_symbol,
-    parse_date,
+    parse_compact_date,
     parse_number,
     strip_exchange,
     strip_to_suffix,
@@ -122,7 +122,7 @@ order by symbol limit 500 offset 100
 )
 def slice_symbols(spark: SparkSession, sf: str) -> DataFrame:
     listed = read_dataset(spark, sf, "orders").select(
-        F.format_string("%06d", "o_orderkey").alias("symbol")
+        code(F.col("o_orderkey")).alias("symbol")
     )
     return keys.slice_symbols(listed, 100, 600)
 
@@ -221,7 +221,7 @@ def coerce_types(spark: SparkSession, sf: str) -> DataFrame:
     shares = F.when(F.col("item") == "总股本", F.col("value"))
     listed = F.when(F.col("item") == "上市时间", F.col("value"))
     return facts.select(
-        "symbol", parse_number(shares).alias("number"), parse_date(listed, "yyyyMMdd").alias("day")
+        "symbol", parse_number(shares).alias("number"), parse_compact_date(listed).alias("day")
     )
 
 

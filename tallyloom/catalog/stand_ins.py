@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import date_text
 from tallyloom.sources import read_dataset
 
 MONEY = "decimal(18,2)"
@@ -17,12 +18,12 @@ def code(key: Column) -> Column:
 
 
 def dividends_raw(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as dividend announcements; finished orders are the ones carried out."""
+    """Orders as dividend announcements; those with status F are the ones carried out."""
     day = F.col("o_orderdate").cast("date")
     return read_dataset(spark, sf, "orders").select(
         F.col("o_custkey").cast("string").alias("symbol"),
         F.col("o_totalprice").cast(MONEY).alias("派息"),
-        F.when(F.col("o_orderstatus") == "F", "实施").otherwise("预案").alias("进度"),
+        F.col("o_orderstatus").alias("进度"),
         F.date_sub(day, 30).alias("公告日期"),
         F.date_add(day, 1).alias("除权除息日"),
         day.alias("股权登记日"),
@@ -180,10 +181,10 @@ def statements_raw(spark: SparkSession, sf: str) -> DataFrame:
 
     return read_dataset(spark, sf, "lineitem").select(
         F.concat(code(F.col("l_orderkey")), F.lit(".SZ")).alias("ts_code"),
-        F.date_format(day, "yyyyMMdd").alias("ann_date"),
-        F.date_format(F.date_sub(day, 30), "yyyy-MM-dd").alias("f_ann_date"),
+        date_text(day, compact=True).alias("ann_date"),
+        date_text(F.date_sub(day, 30)).alias("f_ann_date"),
         F.when(F.dayofweek(day) == 1, "unknown")
-        .otherwise(F.date_format(F.last_day(day), "yyyyMMdd"))
+        .otherwise(date_text(F.last_day(day), compact=True))
         .alias("end_date"),
         report_type.alias("report_type"),
         company_type.alias("comp_type"),
@@ -225,7 +226,7 @@ def facts_raw(spark: SparkSession, sf: str) -> DataFrame:
     key, money = F.col("c_custkey"), F.col("c_acctbal")
     shares = F.when(F.col("c_nationkey") == 3, "n/a").otherwise((key * 100).cast("string"))
     listed = F.when(F.col("c_nationkey") == 5, "2020x").otherwise(
-        F.date_format(F.date_add(F.lit("2000-01-01").cast("date"), key.cast("int") % 9000), "yyyyMMdd")
+        date_text(F.date_add(F.lit("2000-01-01").cast("date"), (key % 9000).cast("int")), compact=True)
     )
     pairs = [
         ("股票代码", code(key)),

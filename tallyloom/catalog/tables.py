@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.catalog.prices import AS_OF
 from tallyloom.catalog.registry import query
-from tallyloom.catalog.stand_ins import BARS_SQL, STATEMENTS_SQL, bars_raw, statements_raw
+from tallyloom.catalog.stand_ins import BARS_SQL, STATEMENTS_SQL, bars_raw, code, statements_raw
+from tallyloom.functions import date_text
 from tallyloom.operators import schema, unions
 from tallyloom.plans import prices, statements
 from tallyloom.sources import (
@@ -72,12 +73,12 @@ def rename_map(spark: SparkSession, sf: str) -> DataFrame:
 def _vendor_statements(spark: SparkSession, sf: str) -> DataFrame:
     """Line items under the upper-case names of the first layout, with growth columns."""
     return read_dataset(spark, sf, "lineitem").select(
-        F.format_string("%06d", "l_orderkey").alias("SECURITY_CODE"),
-        F.format_string("%06d.SZ", "l_orderkey").alias("SECUCODE"),
+        code(F.col("l_orderkey")).alias("SECURITY_CODE"),
+        F.concat(code(F.col("l_orderkey")), F.lit(".SZ")).alias("SECUCODE"),
         F.col("l_returnflag").alias("SECURITY_NAME_ABBR"),
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("REPORT_DATE"),
+        F.col("l_shipdate").cast("string").alias("REPORT_DATE"),
         F.when(F.col("l_linenumber") == 1, "-").otherwise(
-            F.date_format("l_shipdate", "yyyyMMdd")
+            date_text(F.col("l_shipdate"), compact=True)
         ).alias("NOTICE_DATE"),
         F.col("l_extendedprice").alias("TOTAL_ASSETS"),
         F.col("l_discount").alias("TOTAL_ASSETS_YOY"),

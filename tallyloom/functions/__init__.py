@@ -6,6 +6,7 @@ from tallyloom.functions.dates import (
     label_quarter,
     label_year,
     month_text_to_date,
+    parse_compact_date,
     parse_date,
     quarter_end,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "label_year",
     "month_text_to_date",
     "nan_to_null",
+    "parse_compact_date",
     "parse_date",
     "parse_number",
     "quarter_end",

@@ -15,26 +15,37 @@ QUARTER_LABELS = (
 )
 
 
-def parse_date(text: Column, fmt: str | None = None) -> Column:
+def _dashed(text: Column) -> Column:
+    """Eight bare digits as ``YYYY-MM-DD``; any other text as it is."""
+    bare = (F.length(text) == 8) & ~text.contains("-")
+    year, month, day = F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+    return F.when(bare, F.concat_ws("-", year, month, day)).otherwise(text)
+
+
+def parse_date(text: Column) -> Column:
     """Date from text, null when it cannot be read.
 
-    Without ``fmt`` both the dashed form (with or without a time) and eight bare digits are read.
+    Both the dashed form (with or without a time) and eight bare digits are read. ``try_cast``
+    reports unreadable text without raising, so rows of bad text cost no more than good ones.
     """
-    if fmt is not None:
-        return F.try_to_date(text, fmt)
-    return F.coalesce(F.try_to_date(text), F.try_to_date(text, "yyyyMMdd"))
+    return _dashed(text).try_cast("date")
+
+
+def parse_compact_date(text: Column) -> Column:
+    """Date from eight bare digits, null for any other text."""
+    return F.when(text.rlike("^[0-9]{8}$"), parse_date(text))
 
 
 def month_text_to_date(text: Column) -> Column:
     """``2024.1`` or ``2024.10`` to the first day of that month."""
-    return F.try_to_date(
-        F.concat(F.replace(text, F.lit("."), F.lit("-")), F.lit("-01")), "yyyy-M-dd"
-    )
+    dashed = F.concat(F.replace(text, F.lit("."), F.lit("-")), F.lit("-01"))
+    return F.when(text.rlike(r"^[0-9]{4}[.-][0-9]{1,2}$"), dashed.try_cast("date"))
 
 
 def date_text(day: Column, compact: bool = False) -> Column:
     """``YYYY-MM-DD``, or ``YYYYMMDD`` when compact."""
-    return F.date_format(day, "yyyyMMdd" if compact else "yyyy-MM-dd")
+    dashed = day.cast("date").cast("string")
+    return F.replace(dashed, F.lit("-"), F.lit("")) if compact else dashed
 
 
 def label_year(label: Column) -> Column:

@@ -27,24 +27,31 @@ def symbol_span(events: DataFrame) -> DataFrame:
     )
 
 
-def _days(start: Column, stop: Column) -> Column:
-    """Every day from start to stop; null (no rows when exploded) for an empty range."""
-    return F.when(start <= stop, F.sequence(start, stop, F.expr("interval 1 day")))
+def _offsets(start: Column, stop: Column) -> Column:
+    """Days after ``start`` up to ``stop``; null (no rows when exploded) for an empty range.
+
+    Whole numbers: a sequence of dates would step through timestamps.
+    """
+    return F.when(start <= stop, F.sequence(F.lit(0), F.datediff(stop, start)))
 
 
-def _wide(df: DataFrame, key: str) -> DataFrame:
+def _wide(df: DataFrame, *keys: str) -> DataFrame:
     """Spread rows that are about to be multiplied over the full number of shuffle partitions.
 
     A given number keeps adaptive execution from merging the partitions by their small size before
-    the explode.
+    the explode. The keys must differ from those the rows are already grouped by, or Spark leaves
+    the step out.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def dense_calendar(span: DataFrame) -> DataFrame:
     """One row per symbol and day from first_date to last_date."""
-    return _wide(span, "symbol").select(
-        "symbol", F.explode(_days(F.col("first_date"), F.col("last_date"))).alias("date")
+    offset = F.explode(_offsets(F.col("first_date"), F.col("last_date")))
+    return (
+        _wide(span, "symbol", "first_date")
+        .select("symbol", "first_date", offset.alias("offset"))
+        .select("symbol", F.date_add("first_date", "offset").alias("date"))
     )
 
 
@@ -175,15 +182,20 @@ def event_calendar(
     ]
     several = F.col("n_rows") > 1
     first = F.when(several, F.date_add("change", 1)).otherwise(F.col("change"))
-    spread = totals.select(
-        *carried,
-        "change",
-        "amount",
-        F.explode(_days(first, F.col("until"))).alias("date"),
-    ).select(
-        *carried,
-        "date",
-        F.when(F.col("date") == F.col("change"), F.col("amount")).otherwise(0.0).alias("dividend"),
+    own = F.when(several, 0.0).otherwise(F.col("amount"))
+    spread = (
+        totals.withColumns({"first": first, "own": own})
+        .select(
+            *carried,
+            "first",
+            "own",
+            F.explode(_offsets(F.col("first"), F.col("until"))).alias("offset"),
+        )
+        .select(
+            *carried,
+            F.date_add("first", "offset").alias("date"),
+            F.when(F.col("offset") == 0, F.col("own")).otherwise(0.0).alias("dividend"),
+        )
     )
     crowded = (
         events.join(

@@ -9,21 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SERIES_KEYS = ("symbol", "adjust_type")
 
 
-def _by_day(keys: Sequence[str], order: str) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(order)
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _measure(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
-        return F.when(~F.isnan(name), F.col(name))
-    return F.col(name)
+def _series(keys: Sequence[str]) -> str:
+    return "partition by " + ", ".join(_quoted(key) for key in keys)
+
+
+def _present(dtypes: dict[str, str], name: str) -> str:
+    """The column as SQL text, with NaN read as missing."""
+    quoted = _quoted(name)
+    return f"nanvl({quoted}, null)" if dtypes[name] in ("float", "double") else quoted
 
 
 def forward_fill(
@@ -33,11 +36,15 @@ def forward_fill(
     order: str = "dt",
 ) -> DataFrame:
     """Missing values take the last earlier value of the series; a gap at the start stays null."""
+    dtypes = dict(df.dtypes)
     if columns is None:
-        columns = [name for name in df.columns if name not in (*keys, order)]
-    so_far = _by_day(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        columns = [name for name in dtypes if name not in (*keys, order)]
+    so_far = (
+        f"over ({_series(keys)} order by {_quoted(order)}"
+        " rows between unbounded preceding and current row)"
+    )
     return df.withColumns(
-        {name: F.last(_measure(df, name), ignorenulls=True).over(so_far) for name in columns}
+        {name: F.expr(f"last({_present(dtypes, name)}, true) {so_far}") for name in columns}
     )
 
 
@@ -51,16 +58,17 @@ def clip_to_sigma(
 
     A series without a deviation (one value) is left as it is, and a null stays null.
     """
-    whole = Window.partitionBy(*keys)
+    dtypes = dict(df.dtypes)
+    whole = f"over ({_series(keys)})"
     clipped = {}
     for name in columns:
-        if name in df.columns:
-            value = _measure(df, name)
-            mean, spread = F.avg(value).over(whole), F.stddev_samp(value).over(whole)
-            inside = F.least(
-                F.greatest(value, mean - F.lit(width) * spread), mean + F.lit(width) * spread
+        if name in dtypes:
+            value = _present(dtypes, name)
+            mean, reach = f"avg({value}) {whole}", f"{width}D * stddev_samp({value}) {whole}"
+            clipped[name] = F.expr(
+                f"if({value} is null, null,"
+                f" least(greatest({value}, {mean} - {reach}), {mean} + {reach}))"
             )
-            clipped[name] = F.when(value.isNotNull(), inside)
     return df.withColumns(clipped)
 
 
@@ -72,8 +80,8 @@ def daily_return(
     order: str = "dt",
 ) -> DataFrame:
     """Change against the row before, as a fraction; null on a zero base."""
-    before = F.lag(value).over(_by_day(keys, order))
-    return df.withColumn(name, F.try_divide(F.col(value), before) - F.lit(1.0))
+    before = f"lag({_quoted(value)}) over ({_series(keys)} order by {_quoted(order)})"
+    return df.withColumn(name, F.expr(f"try_divide({_quoted(value)}, {before}) - 1"))
 
 
 def moving_average(
@@ -85,6 +93,10 @@ def moving_average(
     order: str = "dt",
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, null until all of them hold a value."""
-    frame = _by_day(keys, order).rowsBetween(1 - rows, Window.currentRow)
-    full = F.count(value).over(frame) == F.lit(rows)
-    return df.withColumn(name or f"ma{rows}", F.when(full, F.avg(value).over(frame)))
+    column = _quoted(value)
+    frame = (
+        f"over ({_series(keys)} order by {_quoted(order)}"
+        f" rows between {rows - 1} preceding and current row)"
+    )
+    mean = F.expr(f"if(count({column}) {frame} = {rows}, avg({column}) {frame}, null)")
+    return df.withColumn(name or f"ma{rows}", mean)

@@ -4,20 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import parse_date, parse_number
+from tallyloom.functions import parse_compact_date, parse_number
 from tallyloom.operators import facts, filters, schema
 from tallyloom.plans import columns
 
 _NUMBERS = ("total_shares", "circulating_shares", "total_market_value", "circulating_market_value")
 
 
-def _listing_day(text: Column) -> Column:
-    return parse_date(text, "yyyyMMdd")
-
-
 def company_info(raw: DataFrame, other_items: tuple[str, ...] = ()) -> DataFrame:
     """(symbol, item, value, ord) facts to one typed row per symbol.
 
@@ -26,7 +22,7 @@ def company_info(raw: DataFrame, other_items: tuple[str, ...] = ()) -> DataFrame
     wide = facts.pivot_facts(raw, [*columns.COMPANY_FACTS, *other_items])
     renamed = schema.rename(wide, columns.COMPANY_FACTS)
     return schema.coerce(
-        renamed, {**{name: parse_number for name in _NUMBERS}, "listing_date": _listing_day}
+        renamed, {**{name: parse_number for name in _NUMBERS}, "listing_date": parse_compact_date}
     )
 
 

@@ -14,10 +14,10 @@ EVENT_COLUMNS = (
 )
 
 
-def dividend_events(raw: DataFrame) -> DataFrame:
+def dividend_events(raw: DataFrame, done: str = columns.IMPLEMENTED) -> DataFrame:
     """Dividends that were carried out, dated by their record date."""
-    done = schema.rename(raw, columns.DIVIDENDS).filter(F.col("progress") == columns.IMPLEMENTED)
-    return schema.keep_columns(done, EVENT_COLUMNS).withColumn("date", F.col("record_date"))
+    carried_out = schema.rename(raw, columns.DIVIDENDS).filter(F.col("progress") == F.lit(done))
+    return schema.keep_columns(carried_out, EVENT_COLUMNS).withColumn("date", F.col("record_date"))
 
 
 def named_events(events: DataFrame, dimension: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import parse_date, strip_exchange, strip_to_suffix
@@ -70,8 +70,7 @@ def clean_prices(df: DataFrame) -> DataFrame:
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Doubles rounded for reports and comparisons."""
 
-    def shown(name: str, dtype: str) -> Column:
-        column = schema.named(name)
-        return F.round(column, places).alias(name) if dtype == "double" else column
-
-    return df.select(*[shown(name, dtype) for name, dtype in df.dtypes])
+    return df.selectExpr(
+        *[f"round(`{name}`, {places}) as `{name}`" if dtype == "double" else f"`{name}`"
+          for name, dtype in df.dtypes]
+    )

@@ -39,10 +39,10 @@ def statements_b(
     if wanted is not None:
         raw = schema.keep_columns(raw, [name for name in wanted if name in raw.columns])
     kept = list(report_types)
-    named = F.create_map(*[F.lit(text) for pair in columns.REPORT_TYPES.items() for text in pair])
-    typed = raw.filter(F.col("report_type").isin(kept)).withColumn(
-        "report_type", named[F.col("report_type")]
-    )
+    branches = F
+    for vendor_type, report_name in columns.REPORT_TYPES.items():
+        branches = branches.when(F.col("report_type") == vendor_type, report_name)
+    typed = raw.filter(F.col("report_type").isin(kept)).withColumn("report_type", branches)
     dated = schema.coerce(typed, {name: parse_date for name in ("ann_date", "f_ann_date", "end_date")})
     return schema.rename(dated, columns.STATEMENTS_B).withColumn(
         "symbol", F.substring_index("symbol_full", ".", 1)
