@@ -1,7 +1,9 @@
-"""Code lists: missing, restricted, sliced."""
+"""Code lists: missing, restricted, sliced. First rows by key."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,25 @@ def restrict_symbols(df: DataFrame, codes: DataFrame, key: str = "symbol") -> Da
     return df.join(codes.select(key).distinct(), key, "left_semi")
 
 
+def _merged_inputs(df: DataFrame) -> DataFrame:
+    """Bring very many input splits down to a few per core, without a shuffle.
+
+    A sort with a limit sends the first rows of every task to one last task; with the number of
+    tasks tied to the cluster, what that task reads does not grow with the table.
+    """
+    spark = df.sparkSession
+    per_core = 4 * spark.sparkContext.defaultParallelism
+    return df.coalesce(max(per_core, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def first_rows(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The first rows by key. Each task keeps only its own first rows; nothing is sorted whole."""
+    return _merged_inputs(df).orderBy(*keys).limit(rows)
+
+
 def slice_symbols(codes: DataFrame, start: int, stop: int, key: str = "symbol") -> DataFrame:
     """Codes at positions [start, stop) in code order."""
-    return codes.select(key).orderBy(key).offset(start).limit(stop - start)
+    return _merged_inputs(codes.select(key)).orderBy(key).offset(start).limit(stop - start)
 
 
 def lookup(df: DataFrame, code: str, key: str = "symbol") -> DataFrame:

@@ -18,13 +18,11 @@ BAR_COLUMNS = (
 ADJUST_TYPES = ("hfq", "none")
 
 
-def coverage(
-    requested: DataFrame, landed: Mapping[str, DataFrame], key: str = "symbol"
-) -> DataFrame:
-    """One row per entity: codes requested, codes landed and the share landed (0 when none).
+def _marked(requested: DataFrame, landed: Mapping[str, DataFrame], key: str) -> DataFrame:
+    """(entity, code, wanted, present): one row per entity and code seen on either side.
 
-    Each side is reduced to distinct codes on the map side; the marks are then added up per
-    entity, so no side is broadcast and nothing is joined.
+    The sides are stacked and reduced on the map side, so a code with very many rows crosses the
+    network as one row per task, nothing is broadcast and nothing is joined.
     """
     marks = []
     for entity, table in landed.items():
@@ -37,20 +35,36 @@ def coverage(
                     F.lit(present).alias("present"),
                 )
             )
-    per_code = (
+    return (
         union_by_name(marks)
+        .filter(F.col("code").isNotNull())
         .groupBy("entity", "code")
         .agg(F.max("wanted").alias("wanted"), F.max("present").alias("present"))
     )
-    counted = per_code.groupBy("entity").agg(
-        F.sum(F.when(F.col("code").isNotNull(), F.col("wanted")).otherwise(0)).alias("requested"),
-        F.sum(F.when(F.col("code").isNotNull(), F.col("present")).otherwise(0)).alias("landed"),
+
+
+def coverage(
+    requested: DataFrame, landed: Mapping[str, DataFrame], key: str = "symbol"
+) -> DataFrame:
+    """One row per entity: codes requested, codes landed and the share landed (0 when none)."""
+    counted = (
+        _marked(requested, landed, key)
+        .groupBy("entity")
+        .agg(F.sum("wanted").alias("requested"), F.sum("present").alias("landed"))
     )
     return counted.withColumn(
         "coverage", F.coalesce(F.try_divide(F.col("landed"), F.col("requested")), F.lit(0.0))
     )
 
 
+def unlanded(
+    requested: DataFrame, landed: Mapping[str, DataFrame], key: str = "symbol"
+) -> DataFrame:
+    """(entity, code) for every code that was requested and has no row in the entity."""
+    lacking = (F.col("wanted") == 1) & (F.col("present") == 0)
+    return _marked(requested, landed, key).filter(lacking).select("entity", F.col("code").alias(key))
+
+
 def rows_per_output(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tallyloom.operators import keys, quality
+from tallyloom.operators import quality
 
 
 def coverage_report(requested: DataFrame, landed: Mapping[str, DataFrame]) -> DataFrame:
@@ -17,10 +15,4 @@ def coverage_report(requested: DataFrame, landed: Mapping[str, DataFrame]) -> Da
 
 def rerun_set(requested: DataFrame, landed: Mapping[str, DataFrame]) -> DataFrame:
     """(entity, symbol) for every requested code that landed no row."""
-    missing = [
-        keys.missing_symbols(requested.select("symbol").distinct(), table).select(
-            F.lit(entity).alias("entity"), "symbol"
-        )
-        for entity, table in landed.items()
-    ]
-    return reduce(DataFrame.unionByName, missing)
+    return quality.unlanded(requested, landed)

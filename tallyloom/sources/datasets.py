@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tallyloom.operators.keys import first_rows
+
 
 def dataset_path(root: str, name: str, suffix: str = "parquet") -> str:
     return f"{root.rstrip('/')}/{name}.{suffix}"
@@ -61,8 +63,5 @@ def write_csv(df: DataFrame, root: str, name: str) -> str:
 def write_csv_sample(
     df: DataFrame, root: str, name: str, keys: Sequence[str], rows: int = 5000
 ) -> str:
-    """The first ``rows`` rows by key as one CSV file next to the full dataset.
-
-    Sorting with a limit keeps only the first rows of each task; the whole table is never sorted.
-    """
-    return write_csv(df.orderBy(*keys).limit(rows), root, name)
+    """The first ``rows`` rows by key as one CSV file next to the full dataset."""
+    return write_csv(first_rows(df, keys, rows), root, name)

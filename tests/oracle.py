@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -24,10 +25,7 @@ def _plain(value):
 
 
 def _rows(records, order):
-    return sorted(
-        (tuple(_plain(record[i]) for i in order) for record in records),
-        key=lambda row: [(value is None, str(value)) for value in row],
-    )
+    return Counter(tuple(_plain(record[i]) for i in order) for record in records)
 
 
 _KINDS = {
@@ -56,7 +54,7 @@ def differences(df, con, sql: str) -> list[str]:
         return [*found, f"{len(rows)} and {len(twin)} rows"]
     ours = _rows(rows, [df.columns.index(name) for name in names])
     theirs = _rows(twin, [list(twin_types).index(name) for name in names])
-    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
-    if wrong:
-        found.append(f"{len(wrong)} rows differ, first {names}: {wrong[0][0]} and {wrong[0][1]}")
+    if ours != theirs:
+        extra, missing = ours - theirs, theirs - ours
+        found.append(f"{extra.total()} rows differ {names}: {next(iter(extra))} {next(iter(missing))}")
     return found
