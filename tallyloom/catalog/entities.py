@@ -8,10 +8,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import code
 from tallyloom.plans import columns, companies
-from tallyloom.sources import read_dataset
 
 
 def _under_raw_names(
@@ -24,7 +24,7 @@ def _under_raw_names(
 
 def _valuation_raw(spark: SparkSession, sf: str) -> DataFrame:
     return _under_raw_names(
-        read_dataset(spark, sf, "orders"),
+        given(spark, sf, "orders"),
         columns.VALUATION,
         {
             "symbol": code(F.col("o_custkey")),
@@ -67,8 +67,8 @@ from lineitem left join part p on l_partkey = p.p_partkey
 )
 def index_weights(spark: SparkSession, sf: str) -> DataFrame:
     """Line items as index members, named by part."""
-    lines = read_dataset(spark, sf, "lineitem").join(
-        read_dataset(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"), "left"
+    lines = given(spark, sf, "lineitem").join(
+        given(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"), "left"
     )
     raw = _under_raw_names(
         lines,
@@ -95,7 +95,7 @@ from orders
 )
 def share_structure(spark: SparkSession, sf: str) -> DataFrame:
     raw = _under_raw_names(
-        read_dataset(spark, sf, "orders"),
+        given(spark, sf, "orders"),
         columns.SHARE_STRUCTURE,
         {
             "symbol": code(F.col("o_custkey")),
@@ -119,7 +119,7 @@ from customer
 )
 def company_info_b(spark: SparkSession, sf: str) -> DataFrame:
     raw = _under_raw_names(
-        read_dataset(spark, sf, "customer"),
+        given(spark, sf, "customer"),
         columns.COMPANY_B,
         {
             "stock_code": F.concat(code(F.col("c_custkey")), F.lit(".SZ")),
@@ -130,3 +130,24 @@ def company_info_b(spark: SparkSession, sf: str) -> DataFrame:
         },
     )
     return companies.company_info_b(raw, dt.date(2024, 1, 31))
+
+
+@query(
+    "stock_indicators",
+    """
+with listed as (select printf('%06d', c_custkey) as symbol from customer order by 1 limit 500)
+select symbol, trade_date, pe
+from (select printf('%06d', o_custkey) as symbol, cast(o_orderdate as date) as trade_date,
+             o_totalprice as pe from orders) o
+where symbol in (select symbol from listed)
+""",
+)
+def stock_indicators(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators of the first 500 codes of the list, the range the job is run with."""
+    raw = given(spark, sf, "orders").select(
+        code(F.col("o_custkey")).alias("symbol"),
+        F.col("o_orderdate").cast("date").alias("trade_date"),
+        F.col("o_totalprice").alias("pe"),
+    )
+    listed = given(spark, sf, "customer").select(code(F.col("c_custkey")).alias("symbol"))
+    return companies.indicators(raw, listed, 0, 500)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import GDP_SQL, MONEY, gdp_raw
 from tallyloom.functions import date_text, label_quarter, label_year, quarter_end
 from tallyloom.operators import quarters
 from tallyloom.plans import columns, macro
-from tallyloom.sources import read_dataset
 
 
 def _cumulative(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,7 +113,7 @@ def money_supply(spark: SparkSession, sf: str) -> DataFrame:
         measures.append(counted.alias(raw_names[f"{name}_yoy"]))
     month = F.concat(F.year(day).cast("string"), F.lit("."), F.month(day).cast("string"))
     raw = (
-        read_dataset(spark, sf, "orders")
+        given(spark, sf, "orders")
         .groupBy(month.alias(raw_names["date"]))
         .agg(*measures)
     )
@@ -130,7 +130,7 @@ from orders
 )
 def date_text_forms(spark: SparkSession, sf: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    return read_dataset(spark, sf, "orders").select(
+    return given(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
         date_text(day).alias("dashed"),
         date_text(day, compact=True).alias("compact"),
@@ -147,7 +147,7 @@ from orders
 )
 def date_parts(spark: SparkSession, sf: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    return read_dataset(spark, sf, "orders").select(
+    return given(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.year(day).alias("year"),
         F.quarter(day).alias("quarter"),

@@ -7,12 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import BARS_SQL, bars_raw, code
 from tallyloom.functions import date_text
 from tallyloom.operators import quality, series
 from tallyloom.plans import prices
-from tallyloom.sources import read_dataset
 
 AS_OF = dt.date(2024, 1, 31)
 FIRST_DAY = dt.date(2000, 1, 1)
@@ -21,8 +21,7 @@ PRICES = ("open", "close", "high", "low")
 
 
 def _bars(spark: SparkSession, sf: str) -> DataFrame:
-    adjusted = {"hfq": bars_raw(spark, sf, 1.5), "none": bars_raw(spark, sf, 1.0)}
-    return prices.bars(adjusted, AS_OF, start=FIRST_DAY)
+    return prices.bars(bars_raw(spark, sf), AS_OF, start=FIRST_DAY)
 
 
 _FILL = ", ".join(
@@ -181,7 +180,7 @@ def validate_prices(spark: SparkSession, sf: str) -> DataFrame:
     bars = _bars(spark, sf).select(
         "symbol", "adjust_type", "dt", F.when(~silent, F.col("close")).alias("close")
     )
-    asked = read_dataset(spark, sf, "customer").select(
+    asked = given(spark, sf, "customer").select(
         code(F.col("c_custkey")).alias("symbol")
     )
     return quality.validate_prices(bars, asked)
@@ -194,7 +193,7 @@ def validate_prices(spark: SparkSession, sf: str) -> DataFrame:
 )
 def filter_recent(spark: SparkSession, sf: str) -> DataFrame:
     """Bars without a given range: the 30 days up to a fixed day."""
-    recent = prices.bars({"none": bars_raw(spark, sf)}, as_of=dt.date(2024, 1, 20))
+    recent = prices.bars({"none": bars_raw(spark, sf)["none"]}, as_of=dt.date(2024, 1, 20))
     return recent.select("dt", "symbol", "close", "adjust_type")
 
 
@@ -208,7 +207,7 @@ from part where p_partkey = 42
 )
 def spot_info(spark: SparkSession, sf: str) -> DataFrame:
     """One fund of the spot table."""
-    spot = read_dataset(spark, sf, "part").select(
+    spot = given(spark, sf, "part").select(
         code(F.col("p_partkey")).alias("代码"),
         F.col("p_name").alias("名称"),
         F.col("p_retailprice").alias("最新价"),
@@ -230,7 +229,7 @@ group by user_id, cast(ts as date)
 def bars_b(spark: SparkSession, sf: str) -> DataFrame:
     """Bars of the second layout: suffixed codes, eight-digit dates, a given range."""
     raw = (
-        read_dataset(spark, sf, "events")
+        given(spark, sf, "events")
         .groupBy(
             F.concat(F.lit("sz"), code(F.col("user_id"))).alias("ts_code"),
             date_text(F.col("ts"), compact=True).alias("trade_date"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import CODES_SQL, code, codes, facts_raw, industry_raw
 from tallyloom.functions import (
@@ -17,7 +18,7 @@ from tallyloom.functions import (
 )
 from tallyloom.operators import keys, quality
 from tallyloom.plans import companies, industry, ingest
-from tallyloom.sources import read_dataset, sql_over_tables
+from tallyloom.sources import sql_over_tables
 
 
 @query(
@@ -56,12 +57,12 @@ def sql_over(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _requested(spark: SparkSession, sf: str) -> DataFrame:
-    return read_dataset(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("symbol"))
+    return given(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("symbol"))
 
 
 def _landed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Orders by status as three landed entities."""
-    orders = read_dataset(spark, sf, "orders")
+    orders = given(spark, sf, "orders")
     return {
         status: orders.filter(F.col("o_orderstatus") == status).select(
             F.col("o_custkey").cast("string").alias("symbol"), "o_orderkey"
@@ -103,11 +104,11 @@ where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDIN
 )
 def restrict_symbols(spark: SparkSession, sf: str) -> DataFrame:
     listed = (
-        read_dataset(spark, sf, "customer")
+        given(spark, sf, "customer")
         .filter(F.col("c_mktsegment") == "BUILDING")
         .select(F.col("c_custkey").cast("string").alias("symbol"))
     )
-    orders = read_dataset(spark, sf, "orders").select(
+    orders = given(spark, sf, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("symbol"), "o_totalprice"
     )
     return keys.restrict_symbols(orders, listed)
@@ -121,7 +122,7 @@ order by symbol limit 500 offset 100
 """,
 )
 def slice_symbols(spark: SparkSession, sf: str) -> DataFrame:
-    listed = read_dataset(spark, sf, "orders").select(
+    listed = given(spark, sf, "orders").select(
         code(F.col("o_orderkey")).alias("symbol")
     )
     return keys.slice_symbols(listed, 100, 600)
@@ -146,7 +147,7 @@ def coverage_report(spark: SparkSession, sf: str) -> DataFrame:
     "select cast(l_linenumber as varchar) as comp_type, count(*) as n_rows from lineitem group by 1",
 )
 def rows_per_output(spark: SparkSession, sf: str) -> DataFrame:
-    lines = read_dataset(spark, sf, "lineitem")
+    lines = given(spark, sf, "lineitem")
     return quality.rows_per_output(
         lines.select(F.col("l_linenumber").cast("string").alias("comp_type")), "comp_type"
     )

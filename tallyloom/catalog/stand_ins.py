@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.catalog.given import given
 from tallyloom.functions import date_text
-from tallyloom.sources import read_dataset
 
 MONEY = "decimal(18,2)"
 
@@ -20,7 +20,7 @@ def code(key: Column) -> Column:
 def dividends_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as dividend announcements; those with status F are the ones carried out."""
     day = F.col("o_orderdate").cast("date")
-    return read_dataset(spark, sf, "orders").select(
+    return given(spark, sf, "orders").select(
         F.col("o_custkey").cast("string").alias("symbol"),
         F.col("o_totalprice").cast(MONEY).alias("派息"),
         F.col("o_orderstatus").alias("进度"),
@@ -32,44 +32,51 @@ def dividends_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stock_names(spark: SparkSession, sf: str) -> DataFrame:
-    return read_dataset(spark, sf, "customer").select(
+    return given(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("symbol"), F.col("c_name").alias("stock_name")
     )
 
 
-def bars_raw(spark: SparkSession, sf: str, factor: float = 1.0) -> DataFrame:
-    """Events as daily bars per user, with a gap in the prices on one day of seven.
+# Factor that turns the stand-in's plain prices into those of each adjust type.
+ADJUST_FACTORS = {"hfq": 1.5, "none": 1.0}
+
+
+def bars_raw(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Events as daily bars per user by adjust type, with a price gap on one day of seven.
 
     Events are reduced on the map side: a user with very many events ends as one row per day.
     """
     daily = (
-        read_dataset(spark, sf, "events")
+        given(spark, sf, "events")
         .groupBy("user_id", F.col("ts").cast("date").alias("日期"))
         .agg(
-            F.min_by("value", "ts").alias("first"),
-            F.max_by("value", "ts").alias("last"),
-            F.max("value").alias("top"),
-            F.min("value").alias("bottom"),
-            F.count(F.lit(1)).cast("double").alias("成交量"),
-            F.sum(F.col("value").cast(MONEY)).cast("double").alias("成交额"),
+            F.expr("min_by(value, ts) as first"),
+            F.expr("max_by(value, ts) as last"),
+            F.expr("max(value) as top"),
+            F.expr("min(value) as bottom"),
+            F.expr("cast(count(1) as double) as `成交量`"),
+            F.expr(f"cast(sum(cast(value as {MONEY})) as double) as `成交额`"),
+        )
+        .withColumns(
+            {
+                "股票代码": F.concat(
+                    F.expr("if(user_id % 2 = 0, 'sh', 'sz')"), code(F.col("user_id"))
+                ),
+                "gap": F.expr("(user_id + day(`日期`)) % 7 = 0"),
+            }
         )
     )
-    gap = F.pmod(F.col("user_id") + F.day("日期"), F.lit(7)) == 0
-
-    def price(name: str) -> Column:
-        return F.when(~gap, F.col(name) * F.lit(factor))
-
-    market = F.when(F.pmod("user_id", F.lit(2)) == 0, "sh").otherwise("sz")
-    return daily.select(
-        "日期",
-        F.concat(market, code(F.col("user_id"))).alias("股票代码"),
-        price("first").alias("开盘"),
-        price("last").alias("收盘"),
-        price("top").alias("最高"),
-        price("bottom").alias("最低"),
-        "成交量",
-        "成交额",
-    )
+    names = {"first": "开盘", "last": "收盘", "top": "最高", "bottom": "最低"}
+    return {
+        adjust_type: daily.selectExpr(
+            "`日期`",
+            "`股票代码`",
+            *[f"if(gap, null, {price} * {factor}D) as `{raw}`" for price, raw in names.items()],
+            "`成交量`",
+            "`成交额`",
+        )
+        for adjust_type, factor in ADJUST_FACTORS.items()
+    }
 
 
 BARS_SQL = """
@@ -95,9 +102,9 @@ raw as (
 
 def industry_raw(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Customers in nations in regions in two groups: constituents and levels 3, 2 and 1."""
-    nation, region = (read_dataset(spark, sf, name) for name in ("nation", "region"))
+    nation, region = (given(spark, sf, name) for name in ("nation", "region"))
     group = F.concat(F.lit("GROUP_"), (F.col("r_regionkey") % 2).cast("string"))
-    stocks = read_dataset(spark, sf, "customer").select(
+    stocks = given(spark, sf, "customer").select(
         F.col("c_custkey").alias("序号"),
         F.concat(code(F.col("c_custkey")), F.lit(".SZ")).alias("股票代码"),
         F.col("c_name").alias("股票简称"),
@@ -127,7 +134,7 @@ def gdp_raw(spark: SparkSession, sf: str) -> DataFrame:
     """Orders per quarter, added up within the year, under cumulative labels."""
     day = F.col("o_orderdate").cast("date")
     quarterly = (
-        read_dataset(spark, sf, "orders")
+        given(spark, sf, "orders")
         .groupBy(F.year(day).alias("year"), F.quarter(day).alias("quarter"))
         .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("amount"))
     )
@@ -179,7 +186,7 @@ def statements_raw(spark: SparkSession, sf: str) -> DataFrame:
     def only(wanted: str, measure: str) -> Column:
         return F.when(company_type == wanted, F.col(measure))
 
-    return read_dataset(spark, sf, "lineitem").select(
+    return given(spark, sf, "lineitem").select(
         F.concat(code(F.col("l_orderkey")), F.lit(".SZ")).alias("ts_code"),
         date_text(day, compact=True).alias("ann_date"),
         date_text(F.date_sub(day, 30)).alias("f_ann_date"),
@@ -245,7 +252,7 @@ def facts_raw(spark: SparkSession, sf: str) -> DataFrame:
         for position, (item, value) in enumerate(pairs)
     ]
     return (
-        read_dataset(spark, sf, "customer")
+        given(spark, sf, "customer")
         .select(code(key).alias("symbol"), F.explode(F.array(*rows)).alias("fact"))
         .select("symbol", "fact.*")
     )
@@ -254,7 +261,7 @@ def facts_raw(spark: SparkSession, sf: str) -> DataFrame:
 def codes(spark: SparkSession, sf: str) -> DataFrame:
     """Order keys spread over all six-digit codes, bare and with exchange text around them."""
     bare = code(F.pmod(F.col("o_orderkey") * 7919, F.lit(1000000)))
-    return read_dataset(spark, sf, "orders").select(
+    return given(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
         bare.alias("code"),
         F.concat(F.lit(" sh"), bare, F.lit("sz ")).alias("dressed"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.catalog.prices import AS_OF
+from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import BARS_SQL, STATEMENTS_SQL, bars_raw, code, statements_raw
 from tallyloom.functions import date_text
@@ -15,7 +16,6 @@ from tallyloom.operators import schema, unions
 from tallyloom.plans import prices, statements
 from tallyloom.sources import (
     read_dataset,
-    read_landing,
     scratch_path,
     write_csv,
     write_csv_sample,
@@ -39,16 +39,12 @@ select cast(o_orderdate as date), cast(o_custkey as varchar), null, o_totalprice
 )
 def batch_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Two landed layouts, each read in one scan with a given schema, stacked by name."""
-    events = read_landing(
-        spark, f"{sf}/events.parquet", "ts timestamp_ntz, user_id long, value double"
-    ).select(
+    events = given(spark, sf, "events").select(
         F.col("ts").cast("date").alias("dt"),
         F.col("user_id").cast("string").alias("symbol"),
         F.col("value").alias("close"),
     )
-    orders = read_landing(
-        spark, f"{sf}/orders.parquet", "o_orderdate timestamp_ntz, o_custkey long, o_totalprice double"
-    ).select(
+    orders = given(spark, sf, "orders").select(
         F.col("o_orderdate").cast("date").alias("dt"),
         F.col("o_custkey").cast("string").alias("symbol"),
         F.col("o_totalprice").alias("total"),
@@ -67,12 +63,12 @@ from part
 )
 def rename_map(spark: SparkSession, sf: str) -> DataFrame:
     mapping = {"p_partkey": "code", "p_name": "权重(%)", "p_size": "PE(TTM)", "absent": "x"}
-    return schema.rename(read_dataset(spark, sf, "part"), mapping)
+    return schema.rename(given(spark, sf, "part"), mapping)
 
 
 def _vendor_statements(spark: SparkSession, sf: str) -> DataFrame:
     """Line items under the upper-case names of the first layout, with growth columns."""
-    return read_dataset(spark, sf, "lineitem").select(
+    return given(spark, sf, "lineitem").select(
         code(F.col("l_orderkey")).alias("SECURITY_CODE"),
         F.concat(code(F.col("l_orderkey")), F.lit(".SZ")).alias("SECUCODE"),
         F.col("l_returnflag").alias("SECURITY_NAME_ABBR"),
@@ -136,19 +132,19 @@ def statements_a(spark: SparkSession, sf: str) -> DataFrame:
     "select s_suppkey, s_name, s_nationkey from supplier",
 )
 def drop_if_present(spark: SparkSession, sf: str) -> DataFrame:
-    return schema.drop_if_present(read_dataset(spark, sf, "supplier"), "s_acctbal", "not_there")
+    return schema.drop_if_present(given(spark, sf, "supplier"), "s_acctbal", "not_there")
 
 
 @query("project_columns", "select l_orderkey, l_extendedprice from lineitem")
 def project_columns(spark: SparkSession, sf: str) -> DataFrame:
     return schema.keep_columns(
-        read_dataset(spark, sf, "lineitem"), ["l_orderkey", "l_extendedprice"]
+        given(spark, sf, "lineitem"), ["l_orderkey", "l_extendedprice"]
     )
 
 
 @query("column_to_front", "select p_type, p_partkey, p_name, p_brand, p_size, p_retailprice from part")
 def column_to_front(spark: SparkSession, sf: str) -> DataFrame:
-    return schema.to_front(read_dataset(spark, sf, "part"), "p_type")
+    return schema.to_front(given(spark, sf, "part"), "p_type")
 
 
 @query(
@@ -160,7 +156,7 @@ from orders
 """,
 )
 def tag_columns(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_dataset(spark, sf, "orders").select(
+    orders = given(spark, sf, "orders").select(
         "o_orderkey", F.col("o_orderdate").cast("date").alias("record_date")
     )
     copied = orders.withColumn("date", F.col("record_date"))
@@ -178,7 +174,7 @@ select p_partkey, case when p_size > 25 then p_size end as partly, p_retailprice
 def prune_null_columns(spark: SparkSession, sf: str) -> DataFrame:
     never = F.when(F.col("p_partkey") < 0, F.col("p_name"))
     return schema.prune_null_columns(
-        read_dataset(spark, sf, "part").select(
+        given(spark, sf, "part").select(
             "p_partkey",
             never.alias("never"),
             F.when(F.col("p_size") > 25, F.col("p_size")).alias("partly"),
@@ -231,7 +227,7 @@ from part
 """,
 )
 def metrics_to_double(spark: SparkSession, sf: str) -> DataFrame:
-    parts = read_dataset(spark, sf, "part").select(
+    parts = given(spark, sf, "part").select(
         "p_partkey", "p_name", "p_size", "p_retailprice", (F.col("p_size") > 25).alias("is_large")
     )
     return schema.metrics_to_double(parts, ("p_partkey",))
@@ -248,8 +244,10 @@ select symbol, dt, close, null, volume from bars where adjust_type = 'hfq'
 )
 def safe_union(spark: SparkSession, sf: str) -> DataFrame:
     """Two layouts with a column missing or empty in one of them, next to inputs to be skipped."""
-    raw = {"none": bars_raw(spark, sf), "hfq": bars_raw(spark, sf, 1.5)}
-    bars = {name: prices.bars({name: table}, AS_OF, dt.date(2000, 1, 1)) for name, table in raw.items()}
+    bars = {
+        name: prices.bars({name: table}, AS_OF, dt.date(2000, 1, 1))
+        for name, table in bars_raw(spark, sf).items()
+    }
     nothing = F.lit(None).cast("double")
     first = bars["none"].select("symbol", "dt", "close", "amount", nothing.alias("unused"))
     second = bars["hfq"].select(
@@ -316,12 +314,13 @@ def split_by_type(spark: SparkSession, sf: str) -> DataFrame:
 @query("sink_parquet_roundtrip", "select * from part")
 def sink_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "parquet_sink")
-    return spark.read.parquet(write_parquet(read_dataset(spark, sf, "part"), root, "part"))
+    write_parquet(given(spark, sf, "part"), root, "part")
+    return read_dataset(spark, root, "part")
 
 
 @query("sink_csv_roundtrip", "select * from part")
 def sink_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    part = read_dataset(spark, sf, "part")
+    part = given(spark, sf, "part")
     path = write_csv(part, scratch_path(spark, "csv_sink"), "part")
     return spark.read.schema(part.schema).option("header", True).csv(path)
 
@@ -333,7 +332,7 @@ select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders order by o
 """,
 )
 def csv_sample(spark: SparkSession, sf: str) -> DataFrame:
-    orders = read_dataset(spark, sf, "orders").select(
+    orders = given(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )
     path = write_csv_sample(orders, scratch_path(spark, "csv_sample"), "orders", ["o_orderkey"])

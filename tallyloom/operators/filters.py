@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def date_range(
     df: DataFrame, column: str, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
-    """Rows with start <= date <= end. A plain comparison, so that it reaches the scan."""
+    """Rows of a date column with start <= date <= end. A plain comparison reaches the scan."""
     if start is not None:
         df = df.filter(F.col(column) >= F.lit(start))
     if end is not None:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions import parse_date
+
 
 def named(name: str) -> Column:
     """Column by literal name; vendor names hold dots, brackets and percent signs."""
@@ -125,6 +127,12 @@ def metrics_to_double(df: DataFrame, reserved: Iterable[str] = ("symbol",)) -> D
     )
 
 
+def as_date(df: DataFrame, name: str) -> DataFrame:
+    """A date column that landed as text, as a timestamp or as a date."""
+    parse = parse_date if dict(df.dtypes)[name] == "string" else lambda value: value.cast("date")
+    return df.withColumn(name, parse(named(name)))
+
+
 def coerce(df: DataFrame, conversions: Mapping[str, object]) -> DataFrame:
     """Apply a column function to each named column that is present."""
     return df.withColumns(

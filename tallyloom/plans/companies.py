@@ -5,10 +5,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyloom.functions import parse_compact_date, parse_number
-from tallyloom.operators import facts, filters, schema
+from tallyloom.operators import facts, filters, keys, schema
 from tallyloom.plans import columns
 
 _NUMBERS = ("total_shares", "circulating_shares", "total_market_value", "circulating_market_value")
@@ -43,7 +42,10 @@ def valuation(
     raw: DataFrame, start: dt.date | None = dt.date(2018, 1, 1), end: dt.date | None = None
 ) -> DataFrame:
     """Daily valuation in a date range; the range reaches the scan."""
-    renamed = schema.rename(raw, columns.VALUATION)
-    return filters.date_range(renamed, "date", start, end).withColumn(
-        "date", F.col("date").cast("date")
-    )
+    renamed = schema.as_date(schema.rename(raw, columns.VALUATION), "date")
+    return filters.date_range(renamed, "date", start, end)
+
+
+def indicators(raw: DataFrame, codes: DataFrame, start: int, stop: int) -> DataFrame:
+    """Indicator rows of the codes at positions [start, stop) of the code list, columns unchanged."""
+    return keys.restrict_symbols(raw, keys.slice_symbols(codes, start, stop))

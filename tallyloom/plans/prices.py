@@ -8,18 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import parse_date, strip_exchange, strip_to_suffix
+from tallyloom.functions import strip_exchange, strip_to_suffix
 from tallyloom.operators import filters, keys, schema, series, unions
 from tallyloom.plans import columns
 
 
-def _bar_day(df: DataFrame) -> DataFrame:
-    """The bar date as a date, whether it landed as text or as a timestamp."""
-    if dict(df.dtypes)["dt"] == "string":
-        return df.withColumn("dt", parse_date(F.col("dt")))
-    return df.withColumn("dt", F.col("dt").cast("date"))
-
-
 def bars(
     adjusted: Mapping[str, DataFrame],
     as_of: dt.date,
@@ -33,7 +26,7 @@ def bars(
     first, last = filters.recent_range(as_of, start, end)
     tables = {}
     for adjust_type, raw in adjusted.items():
-        renamed = _bar_day(schema.rename(raw, columns.BARS_A))
+        renamed = schema.as_date(schema.rename(raw, columns.BARS_A), "dt")
         tables[adjust_type] = filters.date_range(renamed, "dt", first, last).withColumn(
             "symbol", strip_exchange(F.col("symbol"))
         )
@@ -45,7 +38,7 @@ def bars_b(
 ) -> DataFrame:
     """Unadjusted stock bars of the second layout, under suffixed codes."""
     first, last = filters.recent_range(as_of, start, end)
-    renamed = _bar_day(schema.rename(raw, columns.BARS_B))
+    renamed = schema.as_date(schema.rename(raw, columns.BARS_B), "dt")
     return schema.tag(
         filters.date_range(renamed, "dt", first, last).withColumn(
             "symbol", strip_to_suffix(F.col("symbol"))
