@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyloom.operators.schema import present
+
 
 def known_events(events: DataFrame) -> DataFrame:
     """Events with a symbol and a date; the time of day is dropped."""
@@ -124,7 +126,7 @@ def event_calendar(
     Events are summed per (symbol, date) on the map side before anything is shuffled, so a symbol
     with very many events arrives as at most one row per day.
     """
-    events = known_events(events).select("symbol", "date", amount)
+    events = known_events(events).select("symbol", "date", present(events, amount).alias(amount))
     daily = _wide(
         events.groupBy("symbol", "date").agg(
             F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("n_events")
@@ -157,7 +159,7 @@ def event_calendar(
     )
 
     def total(name: str) -> Column:
-        return F.coalesce((F.col(name) * F.col("copies")).cast("double"), F.lit(0.0))
+        return F.coalesce(F.col(name).cast("double") * F.col("copies"), F.lit(0.0))
 
     totals = totals.select(
         "symbol",

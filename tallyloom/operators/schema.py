@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.functions import parse_date
+from tallyloom.functions import nan_to_null, parse_date
 
 
 def named(name: str) -> Column:
@@ -63,9 +63,12 @@ def add_if_missing(df: DataFrame, name: str, value: Column) -> DataFrame:
 def _present(field: T.StructField) -> Column:
     """The column with NaN read as missing."""
     column = named(field.name)
-    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        return F.when(~F.isnan(column), column)
-    return column
+    return nan_to_null(column) if isinstance(field.dataType, (T.FloatType, T.DoubleType)) else column
+
+
+def present(df: DataFrame, name: str) -> Column:
+    """A column of a table with NaN read as missing."""
+    return _present(df.schema[name])
 
 
 def present_counts(df: DataFrame) -> list[Column]:

@@ -174,3 +174,14 @@ def test_dividend_events(spark, rows):
 def test_repeated_symbols(spark, rows):
     names = spark.createDataFrame([("a", "A"), ("a", "B"), ("b", "C")], "symbol string, stock_name string")
     assert rows(dividends.repeated_symbols(names)) == [("a", 2)]
+
+
+def test_double_dividends_with_nan(spark, rows):
+    table = spark.createDataFrame(
+        [("x", D(2024, 3, 1), float("nan")), ("x", D(2024, 3, 2), 1.5)],
+        "symbol string, date date, dividend double",
+    )
+    names = spark.createDataFrame([("x", "X"), ("x", "X"), ("x", "X")], "symbol string, stock_name string")
+    found = dividends.dividend_calendar(table, names)
+    picked = rows(found, "date", "dividend", "rolling_12m_dividend")
+    assert picked == [(D(2024, 3, 1), 0.0, 0.0)] * 3 + [(D(2024, 3, 2), 1.5, 4.5)] * 3
