@@ -15,6 +15,7 @@ from tallyloom.functions import date_text
 from tallyloom.operators import schema, unions
 from tallyloom.plans import prices, statements
 from tallyloom.sources import (
+    read_csv,
     read_dataset,
     scratch_path,
     write_csv,
@@ -322,7 +323,7 @@ def sink_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def sink_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     part = given(spark, sf, "part")
     path = write_csv(part, scratch_path(spark, "csv_sink"), "part")
-    return spark.read.schema(part.schema).option("header", True).csv(path)
+    return read_csv(spark, path, part.schema)
 
 
 @query(
@@ -336,4 +337,4 @@ def csv_sample(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
     )
     path = write_csv_sample(orders, scratch_path(spark, "csv_sample"), "orders", ["o_orderkey"])
-    return spark.read.schema(orders.schema).option("header", True).csv(path)
+    return read_csv(spark, path, orders.schema)

@@ -21,22 +21,27 @@ ADJUST_TYPES = ("hfq", "none")
 def _marked(requested: DataFrame, landed: Mapping[str, DataFrame], key: str) -> DataFrame:
     """(entity, code, wanted, present): one row per entity and code seen on either side.
 
-    The sides are stacked and reduced on the map side, so a code with very many rows crosses the
-    network as one row per task, nothing is broadcast and nothing is joined.
+    Each table is read once. The sides are stacked and reduced on the map side, so a code with very
+    many rows crosses the network as one row per task; nothing is broadcast and nothing is joined.
     """
-    marks = []
-    for entity, table in landed.items():
-        for source, wanted, present in ((requested, 1, 0), (table, 0, 1)):
-            marks.append(
-                source.select(
-                    F.lit(entity).alias("entity"),
-                    F.col(key).alias("code"),
-                    F.lit(wanted).alias("wanted"),
-                    F.lit(present).alias("present"),
-                )
-            )
+    entities = F.explode(F.array(*[F.lit(entity) for entity in landed]))
+    asked = requested.select(
+        entities.alias("entity"),
+        F.col(key).alias("code"),
+        F.lit(1).alias("wanted"),
+        F.lit(0).alias("present"),
+    )
+    found = [
+        table.select(
+            F.lit(entity).alias("entity"),
+            F.col(key).alias("code"),
+            F.lit(0).alias("wanted"),
+            F.lit(1).alias("present"),
+        )
+        for entity, table in landed.items()
+    ]
     return (
-        union_by_name(marks)
+        union_by_name([asked, *found])
         .filter(F.col("code").isNotNull())
         .groupBy("entity", "code")
         .agg(F.max("wanted").alias("wanted"), F.max("present").alias("present"))

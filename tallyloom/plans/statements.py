@@ -122,8 +122,7 @@ def split_by_company_type(
         part = schema.keep_columns(stage.filter(F.col("split_type") == company_type), kept)
         target = f"{name}_type_{company_type}"
         path = write_parquet(part, root, target)
-        write_csv_sample(
-            part, root, target, [key for key in sample_keys if key in kept], sample_rows
-        )
+        keys = [key for key in sample_keys if key in kept] or kept
+        write_csv_sample(part, root, target, keys, sample_rows)
         parts.append(SplitPart(company_type, path, row["n_rows"], tuple(kept)))
     return parts

@@ -1,6 +1,7 @@
 """Reading landed tables and writing datasets."""
 
 from tallyloom.sources.datasets import (
+    read_csv,
     read_dataset,
     read_landing,
     sql_over_tables,
@@ -11,6 +12,7 @@ from tallyloom.sources.datasets import (
 from tallyloom.sources.scratch import scratch_path
 
 __all__ = [
+    "read_csv",
     "read_dataset",
     "read_landing",
     "scratch_path",

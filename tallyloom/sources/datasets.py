@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 from tallyloom.operators.keys import first_rows
 
 
+CSV_FORM = {"header": True, "escape": '"'}
+
+
 def dataset_path(root: str, name: str, suffix: str = "parquet") -> str:
     return f"{root.rstrip('/')}/{name}.{suffix}"
 
@@ -54,12 +57,17 @@ def write_parquet(df: DataFrame, root: str, name: str) -> str:
 
 
 def write_csv(df: DataFrame, root: str, name: str) -> str:
-    """Overwrite a named CSV dataset with a header row in each file; returns its path."""
+    """Overwrite a named CSV dataset, a header row in each file, quotes doubled; returns its path."""
     path = dataset_path(root, name, "csv")
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_FORM).csv(path)
     return path
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A CSV dataset as written by ``write_csv``, under a given schema."""
+    return spark.read.schema(schema).options(**CSV_FORM).csv(path)
+
+
 def write_csv_sample(
     df: DataFrame, root: str, name: str, keys: Sequence[str], rows: int = 5000
 ) -> str:

@@ -8,6 +8,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.operators import calendar
 from tallyloom.plans import dividends
@@ -79,6 +80,22 @@ def test_month_ends(spark):
     assert calendar_rows(spark, events, {}) == restated(events, {})
 
 
+@pytest.mark.parametrize("months", [1, 3, 11, 12])
+def test_leaving_day_on_every_day(spark, months):
+    """Against a look at each following day, for four years with a leap day in them."""
+    days = pd.date_range("2019-01-01", "2022-12-31")
+    backs = [(day.date(), (day - pd.DateOffset(months=months)).date()) for day in days]
+    expected, at = {}, 0
+    for start in days:
+        while at < len(backs) and backs[at][1] <= start.date():
+            at += 1
+        if at < len(backs):
+            expected[start.date()] = backs[at][0]
+    table = spark.createDataFrame([(day,) for day in expected], "day date")
+    leaving = calendar._leaving_day(F.col("day"), months).alias("leaving")
+    assert {r["day"]: r["leaving"] for r in table.select("day", leaving).collect()} == expected
+
+
 def test_month_end_clamp_is_inside(spark):
     events = [("x", D(2023, 2, 28), Decimal("1.50")), ("x", D(2024, 1, 31), None)]
     by_day = {row[0]: row for row in calendar_rows(spark, events, {})}

@@ -94,13 +94,14 @@ def test_sql_over_tables_leaves_no_views(spark, rows, tmp_path):
 
 
 def test_csv_and_sample(spark, rows, tmp_path):
-    table = spark.range(100).withColumn("text", F.when(F.col("id") % 2 == 0, "a,\"b\"")).repartition(5)
+    text = F.when(F.col("id") % 2 == 0, 'a,"b"')
+    table = spark.range(100).withColumn("text", text).repartition(5)
     full = sources.write_csv(table, str(tmp_path), "full")
-    back = spark.read.schema(table.schema).option("header", True).option("escape", '"').csv(full)
-    assert rows(back, "id") == rows(table, "id")
+    assert rows(sources.read_csv(spark, full, table.schema)) == rows(table)
+    assert any('"a,""b"""' in file.read_text() for file in (tmp_path / "full.csv").glob("*.csv"))
     sample = sources.write_csv_sample(table, str(tmp_path), "sample", ["id"], rows=7)
-    picked = spark.read.schema(table.schema).option("header", True).csv(sample)
-    assert [r["id"] for r in picked.orderBy("id").collect()] == list(range(7))
+    picked = sources.read_csv(spark, sample, table.schema)
+    assert [row["id"] for row in picked.orderBy("id").collect()] == list(range(7))
 
 
 def test_scratch_is_under_the_session_setting(spark):
@@ -148,6 +149,14 @@ def test_statements_b(spark, rows):
     assert len(columns.INCOME_COLUMNS) == len(set(columns.INCOME_COLUMNS)) == 94
 
 
+def test_report_types_are_filtered_at_the_scan(spark, tmp_path):
+    path = sources.write_parquet(statement_rows(spark), str(tmp_path), "landed")
+    built = statements.balance_sheets(spark.read.parquet(path)).select("symbol", "report_type")
+    text = built._jdf.queryExecution().toString()
+    assert "In(report_type, [1,6])" in text
+    assert "ReadSchema: struct<ts_code:string,report_type:string>" in text
+
+
 def test_split_by_company_type(spark, rows, tmp_path):
     built = statements.income_statements(statement_rows(spark))
     parts = statements.split_by_company_type(spark, built, str(tmp_path), "income")
