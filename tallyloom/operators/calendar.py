@@ -9,7 +9,7 @@ step of the job, with nothing sorted or shuffled after it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.schema import present
@@ -29,12 +29,12 @@ def symbol_span(events: DataFrame) -> DataFrame:
     )
 
 
-def _offsets(start: Column, stop: Column) -> Column:
-    """Days after ``start`` up to ``stop``; null (no rows when exploded) for an empty range.
+def _offsets(start: str, stop: str) -> str:
+    """Exploded days after ``start`` up to ``stop``, as SQL text; no rows for an empty range.
 
     Whole numbers: a sequence of dates would step through timestamps.
     """
-    return F.when(start <= stop, F.sequence(F.lit(0), F.datediff(stop, start)))
+    return f"explode(if({start} <= {stop}, sequence(0, datediff({stop}, {start})), null))"
 
 
 def _wide(df: DataFrame, *keys: str) -> DataFrame:
@@ -49,11 +49,10 @@ def _wide(df: DataFrame, *keys: str) -> DataFrame:
 
 def dense_calendar(span: DataFrame) -> DataFrame:
     """One row per symbol and day from first_date to last_date."""
-    offset = F.explode(_offsets(F.col("first_date"), F.col("last_date")))
     return (
         _wide(span, "symbol", "first_date")
-        .select("symbol", "first_date", offset.alias("offset"))
-        .select("symbol", F.date_add("first_date", "offset").alias("date"))
+        .selectExpr("symbol", "first_date", f"{_offsets('first_date', 'last_date')} as offset")
+        .selectExpr("symbol", "date_add(first_date, offset) as date")
     )
 
 
@@ -71,48 +70,75 @@ def prior_year_total(totals: DataFrame) -> DataFrame:
     )
 
 
-def _leaving_day(day: Column, months: int) -> Column:
-    """First day whose date ``months`` months earlier is after ``day``.
+def _leaving_day(day: str, months: int) -> str:
+    """First day whose date ``months`` months earlier is after ``day``, as SQL text.
 
     Going back from a long month to a short one stops at the short month's last day, so an event
     on the last day of a month stays until the whole target month is over.
     """
-    ahead = F.add_months(day, months)
-    return F.date_add(F.when(day == F.last_day(day), F.last_day(ahead)).otherwise(ahead), 1)
+    ahead = f"add_months({day}, {months})"
+    return f"date_add(if({day} = last_day({day}), last_day({ahead}), {ahead}), 1)"
 
 
 def _change_days(daily: DataFrame, months: int) -> DataFrame:
     """(symbol, date, amount, n_events) at events, at leaving days and at new years in between."""
-    by_date = Window.partitionBy("symbol").orderBy("date")
-    following = F.lead("date").over(by_date)
-    last = F.max("date").over(Window.partitionBy("symbol"))
-    new_years = F.when(
-        F.year("following") > F.year("date"),
-        F.transform(
-            F.sequence(F.year("date") + 1, F.year("following")),
-            lambda year: F.make_date(year, F.lit(1), F.lit(1)),
-        ),
-    )
-    leaving = F.when(F.col("leaving") <= F.col("last"), F.array("leaving"))
-    none = F.array().cast("array<date>")
-    change = F.explode(
-        F.concat(F.array("date"), F.coalesce(leaving, none), F.coalesce(new_years, none))
+    leaving = "if(leaving <= last, array(leaving), array())"
+    new_years = (
+        "if(year(following) > year(date),"
+        " transform(sequence(year(date) + 1, year(following)), y -> make_date(y, 1, 1)), array())"
     )
     return (
-        daily.withColumns({"following": following, "last": last})
-        .withColumn("leaving", _leaving_day(F.col("date"), months))
-        .select("symbol", change.alias("change"), "date", "amount", "n_events")
+        daily.selectExpr(
+            "*",
+            "lead(date) over (partition by symbol order by date) as following",
+            "max(date) over (partition by symbol) as last",
+            f"{_leaving_day('date', months)} as leaving",
+        )
+        .selectExpr("*", f"explode(concat(array(date), {leaving}, {new_years})) as change")
         .groupBy("symbol", "change")
         .agg(
-            F.sum(F.when(F.col("change") == F.col("date"), F.col("amount"))).alias("amount"),
-            F.sum(F.when(F.col("change") == F.col("date"), F.col("n_events")).otherwise(0)).alias(
-                "n_events"
-            ),
+            F.expr("sum(if(change = date, amount, null)) as amount"),
+            F.expr("sum(if(change = date, n_events, 0)) as n_events"),
         )
         .withColumnRenamed("change", "date")
     )
 
 
+def _totals(changes: DataFrame, names: DataFrame, months: int) -> DataFrame:
+    """What holds from each change day until the next: the day's own sum and the three totals."""
+    return (
+        changes.selectExpr("*", "year(date) as year")
+        .selectExpr(
+            "*",
+            "lead(date) over (partition by symbol order by date) as next_change",
+            "sum(amount) over (partition by symbol order by date"
+            f" range between interval '{months}' month preceding and current row) as rolling",
+            "sum(amount) over (partition by symbol, year order by date) as to_date",
+            "sum(amount) over (partition by symbol order by year"
+            " range between 1 preceding and 1 preceding) as before",
+        )
+        .join(names, "symbol", "left")
+        .selectExpr("*", "coalesce(copies, 1) as times")
+        .selectExpr(
+            "symbol",
+            "stock_name",
+            "year",
+            "times",
+            "n_events * times as n_rows",
+            "date as change",
+            "coalesce(date_sub(next_change, 1), date) as until",
+            "coalesce(cast(amount as double), 0D) as amount",
+            "coalesce(cast(before as double) * times, 0D) as last_year_total_dividend",
+            "coalesce(cast(to_date as double) * times, 0D) as current_year_total_dividend",
+            "coalesce(cast(rolling as double) * times, 0D) as rolling_12m_dividend",
+        )
+    )
+
+
+_CALENDAR = ("date", "symbol", "stock_name", "dividend", "year")
+_TOTALS = ("last_year_total_dividend", "current_year_total_dividend", "rolling_12m_dividend")
+
+
 def event_calendar(
     events: DataFrame, dimension: DataFrame, amount: str = "dividend", months: int = 11
 ) -> DataFrame:
@@ -126,97 +152,31 @@ def event_calendar(
     Events are summed per (symbol, date) on the map side before anything is shuffled, so a symbol
     with very many events arrives as at most one row per day.
     """
-    events = known_events(events).select("symbol", "date", present(events, amount).alias(amount))
-    daily = _wide(
-        events.groupBy("symbol", "date").agg(
-            F.sum(amount).alias("amount"), F.count(F.lit(1)).alias("n_events")
-        ),
-        "symbol",
-    )
-    rolling = F.expr(
-        "sum(amount) over (partition by symbol order by date"
-        f" range between interval '{months}' month preceding and current row)"
+    events = known_events(events).select("symbol", "date", present(events, amount).alias("paid"))
+    daily = events.groupBy("symbol", "date").agg(
+        F.expr("sum(paid) as amount"), F.expr("count(1) as n_events")
     )
-    by_date = Window.partitionBy("symbol").orderBy("date")
-    in_year = Window.partitionBy("symbol", "year").orderBy("date")
-    year_before = Window.partitionBy("symbol").orderBy("year").rangeBetween(-1, -1)
     names = dimension.groupBy("symbol").agg(
-        F.min("stock_name").alias("stock_name"), F.count(F.lit(1)).alias("copies")
-    )
-    totals = (
-        _change_days(daily, months)
-        .withColumn("year", F.year("date"))
-        .withColumns(
-            {
-                "rolling": rolling,
-                "next_change": F.lead("date").over(by_date),
-                "to_date": F.sum("amount").over(in_year),
-                "before": F.sum("amount").over(year_before),
-            }
-        )
-        .join(names, "symbol", "left")
-        .withColumn("copies", F.coalesce("copies", F.lit(1)))
+        F.expr("min(stock_name) as stock_name"), F.expr("count(1) as copies")
     )
+    totals = _totals(_change_days(_wide(daily, "symbol"), months), names, months)
 
-    def total(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("double") * F.col("copies"), F.lit(0.0))
-
-    totals = totals.select(
-        "symbol",
-        "stock_name",
-        "year",
-        "copies",
-        F.col("date").alias("change"),
-        F.coalesce(F.date_sub("next_change", 1), "date").alias("until"),
-        (F.col("n_events") * F.col("copies")).alias("n_rows"),
-        F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("amount"),
-        total("before").alias("last_year_total_dividend"),
-        total("to_date").alias("current_year_total_dividend"),
-        total("rolling").alias("rolling_12m_dividend"),
-    )
-    carried = [
-        "symbol",
-        "stock_name",
-        "year",
-        "last_year_total_dividend",
-        "current_year_total_dividend",
-        "rolling_12m_dividend",
-    ]
-    several = F.col("n_rows") > 1
-    first = F.when(several, F.date_add("change", 1)).otherwise(F.col("change"))
-    own = F.when(several, 0.0).otherwise(F.col("amount"))
+    kept = ("symbol", "stock_name", "year", *_TOTALS)
     spread = (
-        totals.withColumns({"first": first, "own": own})
-        .select(
-            *carried,
-            "first",
-            "own",
-            F.explode(_offsets(F.col("first"), F.col("until"))).alias("offset"),
-        )
-        .select(
-            *carried,
-            F.date_add("first", "offset").alias("date"),
-            F.when(F.col("offset") == 0, F.col("own")).otherwise(0.0).alias("dividend"),
+        totals.selectExpr(
+            *kept,
+            "until",
+            "if(n_rows > 1, date_add(change, 1), change) as first",
+            "if(n_rows > 1, 0D, amount) as own",
         )
+        .selectExpr(*kept, "first", "own", f"{_offsets('first', 'until')} as offset")
+        .selectExpr(*kept, "date_add(first, offset) as date", "if(offset = 0, own, 0D) as dividend")
     )
     crowded = (
         events.join(
-            totals.filter(several).withColumnRenamed("change", "date"), ["symbol", "date"]
+            totals.filter("n_rows > 1").withColumnRenamed("change", "date"), ["symbol", "date"]
         )
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-        .select(
-            *carried,
-            "date",
-            F.coalesce(F.col(amount).cast("double"), F.lit(0.0)).alias("dividend"),
-        )
-    )
-    return spread.unionByName(crowded).select(
-        "date",
-        "symbol",
-        "stock_name",
-        "dividend",
-        "year",
-        "last_year_total_dividend",
-        "current_year_total_dividend",
-        "rolling_12m_dividend",
+        .selectExpr("*", "explode(sequence(1L, times)) as copy")
+        .selectExpr(*kept, "date", "coalesce(cast(paid as double), 0D) as dividend")
     )
+    return spread.unionByName(crowded).select(*_CALENDAR, *_TOTALS)
