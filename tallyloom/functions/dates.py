@@ -63,4 +63,4 @@ def label_quarter(label: Column) -> Column:
 
 def quarter_end(year: Column, quarter: Column) -> Column:
     """Last day of a quarter."""
-    return F.last_day(F.make_date(year.cast("int"), quarter.cast("int") * 3, F.lit(1)))
+    return F.last_day(F.make_date(year.try_cast("int"), quarter.cast("int") * 3, F.lit(1)))

@@ -22,10 +22,10 @@ def quarterly_gdp(raw: DataFrame) -> DataFrame:
     """Single-quarter GDP and its growth from cumulative rows; unknown labels are left out."""
     label = schema.named(columns.GDP_LABEL)
     cumulative = raw.select(
-        label_year(label).cast("int").alias("year"),
+        label_year(label).try_cast("int").alias("year"),
         label_quarter(label).alias("quarter"),
         schema.named(columns.GDP_VALUE).cast("double").alias("cumulative"),
-    ).filter(F.col("quarter").isNotNull())
+    ).filter("year is not null and quarter is not null")
     single = quarters.decumulate(cumulative, "cumulative", "quarter_gdp")
     return quarters.year_on_year(single, "quarter_gdp", "monthly_gdp_yoy")
 

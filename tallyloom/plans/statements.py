@@ -8,11 +8,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions import parse_date
 from tallyloom.operators import filters, schema
 from tallyloom.plans import columns
-from tallyloom.sources import scratch_path, write_csv_sample, write_parquet
+from tallyloom.sources import read_landing, scratch_path, write_csv_sample, write_parquet
 
 FIRST_END_DATE = dt.date(2010, 1, 1)
 
@@ -94,7 +95,8 @@ def split_by_company_type(
 
     The filtered rows are written once, by type, to the shared scratch folder: the plan behind
     ``df`` runs once, and each later step reads only its own directory. One aggregation then counts
-    the values per type and column; its at most four rows give the schemas.
+    the values per type and column; its at most four rows give the schemas. The staged rows are left
+    to the cleanup of that folder.
     """
     staged = scratch_path(spark, "split")
     (
@@ -104,8 +106,8 @@ def split_by_company_type(
         .write.partitionBy("split_type")
         .parquet(staged)
     )
-    schema_by_name = df.schema.add("split_type", "string")
-    stage = spark.read.schema(schema_by_name).parquet(staged)
+    split_field = T.StructField("split_type", T.StringType())
+    stage = read_landing(spark, staged, T.StructType([*df.schema.fields, split_field]))
     measured = stage.drop("split_type")
     counts = {
         row["split_type"]: row

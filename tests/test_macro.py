@@ -50,6 +50,8 @@ def test_missing_quarter_unknown_label_and_zero_base(spark):
         ("2023年第1-3季度", 60.0),
         ("2023年第1-4季度", 90.0),
         ("2023年全年", 90.0),
+        ("年份第1季度", 90.0),
+        (None, 90.0),
     ]
     found = macro.quarterly_gdp(spark.createDataFrame(data, SCHEMA)).collect()
     single = {(row["year"], row["quarter"]): row["quarter_gdp"] for row in found}

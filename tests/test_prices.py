@@ -4,6 +4,8 @@ import datetime as dt
 import random
 import statistics
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tallyloom.operators import quality, series
@@ -94,6 +96,13 @@ def test_bars_default_range_is_thirty_days(spark):
     assert sorted(row["dt"].day for row in later.collect()) == [20, 31]
 
 
+def test_fund_bars_bring_their_symbol(spark, rows):
+    """Funds land without a code column; the code comes from the landing path."""
+    raw = landed(spark, 1.0).drop("股票代码").selectExpr("*", "'sh510300' as symbol")
+    built = prices.bars({"none": raw, "hfq": raw}, dt.date(2024, 1, 31))
+    assert {row["symbol"] for row in built.collect()} == {"510300"} and built.count() == 6
+
+
 def test_bars_b(spark):
     raw = spark.createDataFrame([("sh600000", "20240105", 1.5)], "ts_code string, trade_date string, vol double")
     row = prices.bars_b(raw, dt.date(2024, 1, 10)).first()
@@ -154,3 +163,31 @@ def test_spot_info(spark):
     assert [r.asDict() for r in row] == [
         {"symbol": "510500", "name": "B", "update_date": dt.date(2024, 1, 1)}
     ]
+
+
+def test_clean_prices_like_pandas(spark):
+    """Several random series against the same steps on each one alone."""
+    dice, data = random.Random(11), []
+    for symbol in ("a", "b", "c"):
+        for adjust in ("hfq", "none"):
+            for i in range(dice.choice([1, 4, 30, 60])):
+                price = dice.choice([None, float("nan"), 500.0, *([dice.uniform(5, 15)] * 12)])
+                day = DAY + dt.timedelta(days=i * dice.choice([1, 1, 1]))
+                data.append((symbol, adjust, day, price, price, price, price))
+    dice.shuffle(data)
+    table = spark.createDataFrame(data, SCHEMA)
+    found = prices.clean_prices(table).toPandas().sort_values(["symbol", "adjust_type", "dt"])
+    frame = pd.DataFrame(data, columns=table.columns).sort_values(["symbol", "adjust_type", "dt"])
+    for keys, group in frame.groupby(["symbol", "adjust_type"]):
+        close = group["close"].astype(float).ffill()
+        mean, spread = close.mean(), close.std()
+        if spread == spread:
+            close = close.clip(mean - 3 * spread, mean + 3 * spread)
+        own = found[(found["symbol"] == keys[0]) & (found["adjust_type"] == keys[1])]
+        for name, expected in {
+            "close": close,
+            "daily_return": close / close.shift(1) - 1,
+            "ma5": close.rolling(5).mean(),
+            "ma20": close.rolling(20).mean(),
+        }.items():
+            np.testing.assert_allclose(own[name].astype(float), expected, rtol=1e-9, atol=1e-9)
