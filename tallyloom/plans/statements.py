@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,13 +119,17 @@ def split_by_company_type(
         )
         .collect()
     }
-    parts = []
-    for company_type, row in sorted(counts.items()):
+
+    def write(company_type: str) -> SplitPart:
+        row = counts[company_type]
         kept = [column for column, count in zip(measured.columns, row["counts"]) if count]
         part = schema.keep_columns(stage.filter(F.col("split_type") == company_type), kept)
         target = f"{name}_type_{company_type}"
         path = write_parquet(part, root, target)
         keys = [key for key in sample_keys if key in kept] or kept
         write_csv_sample(part, root, target, keys, sample_rows)
-        parts.append(SplitPart(company_type, path, row["n_rows"], tuple(kept)))
-    return parts
+        return SplitPart(company_type, path, row["n_rows"], tuple(kept))
+
+    # The parts differ much in size; submitted together, the small ones run beside the large one.
+    with ThreadPoolExecutor(max_workers=len(columns.COMPANY_TYPES)) as pool:
+        return list(pool.map(write, sorted(counts)))
