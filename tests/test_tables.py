@@ -220,3 +220,23 @@ def test_code_lists(spark, rows):
         ("one", "b"), ("one", "c"), ("two", "a"), ("two", "b"), ("two", "c"),
     ]
     assert rows(quality.rows_per_output(landed, "symbol")) == [("a", 2), ("x", 1)]
+
+
+class _Cluster:
+    """The few parts of a session that the scratch folder asks for."""
+
+    def __init__(self, master, setting=None):
+        self.conf = self.sparkContext = self
+        self.master, self.setting = master, setting
+
+    def get(self, key, default=None):
+        return self.setting if key == "spark.checkpoint.dir" and self.setting else default
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_scratch_on_a_cluster_needs_the_setting():
+    assert sources.scratch_path(_Cluster("yarn", "s3a://shared/x/"), "t").startswith("s3a://shared/x/t-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        sources.scratch_path(_Cluster("yarn"), "t")
