@@ -5,10 +5,14 @@ from __future__ import annotations
 import __spark_entry__
 import oracle
 import pytest
+from tallyloom.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+
+
+def test_entry_lists_them():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(ORACLES) <= set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 @pytest.fixture(scope="module")
