@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, mixing, packing, pii, warc
+from tallyloom.llm import exact_dedup, language, mixing, packing, pii, quality, recompression, warc
 from tallyloom.llm.tables import table
 
 
@@ -34,17 +34,32 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc_revisits": op2_warc_revisits,
     "op4_source_mix": op4_source_mix,
     "op5_packing": op5_packing,
+    "op6_quality_resampling": op6_quality_resampling,
+    "op7_language": op7_language,
     "op9_personal_data": op9_personal_data,
+    "op10_repeated_passages": op10_repeated_passages,
 }
 
 ORACLES: dict[str, str] = {}
