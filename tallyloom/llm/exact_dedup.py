@@ -34,10 +34,15 @@ def frequent_digests(digests: DataFrame) -> DataFrame:
     """``(digest, keep_id, group_size)`` of the digests that a Misra-Gries pass proposes and an exact
     count confirms to be repeated; at most ``WINNERS`` rows of ``digests`` ``(id, digest)``."""
     part = digests.select("digest", F.pmod(F.spark_partition_id(), F.lit(_MERGES)).alias("part"))
-    sketches = part.groupBy("part").agg(F.expr(f"approx_top_k_accumulate(digest, {TRACKED})").alias("sketch"))
-    proposed = sketches.select(
-        F.expr(f"explode(approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {WINNERS}))").alias("top")
-    ).select(F.col("top.item").alias("digest"))
+    summaries = part.groupBy("part").agg(F.expr(f"approx_top_k(digest, {WINNERS}, {TRACKED})").alias("counters"))
+    proposed = (
+        summaries.select(F.explode("counters").alias("top"))
+        .groupBy(F.col("top.item").alias("digest"))
+        .agg(F.sum("top.count").alias("counter"))
+        .orderBy(F.desc("counter"), "digest")
+        .limit(WINNERS)
+        .select("digest")
+    )
     counted = (
         digests.join(F.broadcast(proposed), "digest")
         .groupBy("digest")
