@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import exact_dedup, language, mixing, packing, pii, quality, recompression, warc
+from tallyloom.llm import embeddings, exact_dedup, language, mixing, packing, pii, quality, recompression, warc
 from tallyloom.llm.tables import table
 
 
@@ -42,6 +42,10 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -58,6 +62,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_quality_resampling": op6_quality_resampling,
     "op7_language": op7_language,
+    "op8_embeddings": op8_embeddings,
     "op9_personal_data": op9_personal_data,
     "op10_repeated_passages": op10_repeated_passages,
 }
