@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import embeddings, exact_dedup, language, mixing, packing, pii, quality, recompression, warc
+from tallyloom.llm import embeddings, exact_dedup, jaccard_join, language, mixing, packing, pii, quality, recompression, warc
 from tallyloom.llm.tables import table
 
 
@@ -20,6 +20,10 @@ def op2_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc_revisits": op2_warc_revisits,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_source_mix": op4_source_mix,
     "op5_packing": op5_packing,
     "op6_quality_resampling": op6_quality_resampling,
