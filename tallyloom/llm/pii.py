@@ -176,11 +176,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text_column: str = "text") ->
         .groupBy("entity").agg(F.count("*").alias("with_entity"))
     )
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_column)), F.lit(_WORDS), F.lit(0)))
-    with_term = (
-        docs.select(F.explode(words).alias("term"))
-        .join(together.select("term").distinct(), "term", "left_semi")
-        .groupBy("term").agg(F.count("*").alias("with_term"))
-    )
+    with_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
     documents = F.lit(found.count())
     pmi = F.log2(F.col("both") * documents / (F.col("with_term") * F.col("with_entity")))
     information = F.log2(documents / F.col("with_entity"))
