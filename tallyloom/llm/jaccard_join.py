@@ -7,7 +7,9 @@ list of them (``FREQUENT``) goes, and is arbitrary else. These first shingles ar
 classes share say who must be compared.
 
 Each class is at home in the cell of its first shared shingle, and visits the smaller cells in which a class
-with a shared shingle lives. In a cell the sets of its classes are an inverted index, and every other class there is
+with a shared shingle lives. Bit maps of the sets then bound each overlap from above: a shingle whose bit the other
+set lacks is not shared. Classes that no bound lets through leave the cell, so that sets are
+read for few documents. In a cell the sets of its classes are an inverted index, and every other class there is
 a query: DivideSkip sets the longest lists aside, merges the short ones to find the classes that
 occur often enough for the rest to suffice, and looks those up in the long ones by binary search, until each
 class that reaches the overlap for its own size is known or already connected.
@@ -45,6 +47,7 @@ FREQUENT_FROM = 16
 BLOCK = 1 << 20
 MU = 0.0085
 _LAST = 1 << 62
+_CLASSIFIED = "doc_id long, n_shingles long, class long, shingle long, classes long, bits binary"
 
 
 def shingle_sets(column: pa.Array, n: int = N) -> list[np.ndarray]:
@@ -77,7 +80,81 @@ def _parts(batches: Iterator[pa.RecordBatch], n: int):
 
 
 def _batch(names: list[str], *columns: list | np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+    kinds = [pa.binary() if name == "bits" else pa.int64() for name in names]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def bit_map(shingles: np.ndarray) -> bytes:
+    """The set's shingles by their low bits, in the next power of two above four bits a shingle."""
+    width = 1 << max(6, int(4 * len(shingles) - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[shingles & (width - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _folded(bits: np.ndarray) -> np.ndarray:
+    """Bit maps in half the width."""
+    half = bits.shape[1] // 2
+    return bits[:, :half] | bits[:, half:]
+
+
+class BitMaps:
+    """Bit maps of sets, to bound overlaps with a query from above."""
+
+    def __init__(self, sizes: np.ndarray, maps: list[bytes]):
+        self.parts = []
+        widths = np.array([len(m) for m in maps])
+        for width in np.unique(widths).tolist():
+            at = np.flatnonzero(widths == width)
+            bits = np.frombuffer(b"".join(maps[i] for i in at.tolist()), dtype=np.uint64).reshape(len(at), -1)
+            self.parts.append((width, at, sizes[at], bits))
+
+    def reach(self, size: int, bits: bytes, similarity: int) -> np.ndarray:
+        """The sets that may reach the similarity with a set of that size and bit map."""
+        found = []
+        for width, at, sizes, own in self.parts:
+            near = np.flatnonzero((100 * sizes >= similarity * size) & (100 * size >= similarity * sizes))
+            if not len(near):
+                continue
+            query, rows = np.frombuffer(bits, dtype=np.uint64).reshape(1, -1), own[near]
+            while query.shape[1] > rows.shape[1]:
+                query = _folded(query)
+            while rows.shape[1] > query.shape[1]:
+                rows = _folded(rows)
+            most = np.minimum(
+                size - np.bitwise_count(query & ~rows).sum(axis=1, dtype=np.int64),
+                sizes[near] - np.bitwise_count(rows & ~query).sum(axis=1, dtype=np.int64),
+            )
+            found.append(at[near[(100 + similarity) * most >= similarity * (size + sizes[near])]])
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+
+
+def _sieve(similarity: int):
+    """Rows of groups that have a partner in reach."""
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tallyloom.llm.grouped import groups
+
+        for group in groups(batches, ["cell"]):
+            role = np.asarray(group.column("role"))
+            inside = np.flatnonzero(role < 2)
+            if not len(inside) or len(role) < 2:
+                continue
+            sizes = np.asarray(group.column("n"))
+            maps = group.column("bits").to_pylist()
+            index = BitMaps(sizes[inside], [maps[i] for i in inside.tolist()])
+            kept = np.zeros(len(role), dtype=bool)
+            for q in np.flatnonzero(role > 0).tolist():
+                hits = inside[index.reach(int(sizes[q]), maps[q], similarity)]
+                hits = hits[hits != q]
+                if len(hits):
+                    kept[q] = True
+                    kept[hits] = True
+            if kept.any():
+                kept = group.select(["cell", "role", "class"]).filter(pa.array(kept))
+                yield from kept.combine_chunks().to_batches()
+
+    return sieve
 
 
 def _classified(n: int):
@@ -85,14 +162,14 @@ def _classified(n: int):
     batch have: the shingle and how many."""
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "class", "shingle", "classes"]
+        names = ["doc_id", "n_shingles", "class", "shingle", "classes", "bits"]
         at, held, met = None, [], set()
 
         def repeated() -> pa.RecordBatch:
             shingles, counts = np.unique(np.concatenate(held), return_counts=True)
             many = counts > 1
             none = [None] * int(many.sum())
-            return _batch(names, none, none, none, shingles[many], counts[many])
+            return _batch(names, none, none, none, shingles[many], counts[many], none)
 
         for batch, part, sets in _parts(batches, n):
             if batch is not at:
@@ -105,7 +182,8 @@ def _classified(n: int):
                     met.add(c)
                     held.append(s)
             none = [None] * len(sets)
-            yield _batch(names, part.column("doc_id").to_pylist(), [len(s) for s in sets], classes, none, none)
+            ids, bits = part.column("doc_id").to_pylist(), [bit_map(s) if len(s) else None for s in sets]
+            yield _batch(names, ids, [len(s) for s in sets], classes, none, none, bits)
         if held:
             yield repeated()
 
@@ -304,13 +382,11 @@ def components(
     """One row per document: id, ``n_shingles`` and ``component_id``, the smallest id reachable by links."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    found = written(
-        texts.mapInArrow(_classified(n), "doc_id long, n_shingles long, class long, shingle long, classes long"), "sets"
-    )
+    found = written(texts.mapInArrow(_classified(n), _CLASSIFIED), "sets")
     rows = found.where("shingle is null").select("doc_id", "n_shingles", "class")
+    kinds = found.where("class is not null").groupBy("class")
     classes = written(
-        rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")),
-        "classes",
+        kinds.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bits").alias("bits")), "classes"
     )
     frequent = (
         found.where("shingle is not null").groupBy("shingle").agg(F.sum("classes").alias("classes"))
@@ -326,16 +402,16 @@ def components(
     homes = written(shared.groupBy("class").agg(F.min("shingle").alias("home")), "homes")
     placed = written(shared.join(homes, "class"), "placed")
     lived = placed.select("shingle", F.col("home").alias("cell")).distinct()
-    visits = placed.join(lived, "shingle").where("cell < home").select("class", "cell").distinct()
-    visits = written(visits.join(classes, "class").select("class", "cell", "n"), "visits")
     members = homes.join(classes.where("rep is not null"), "class").select("class", F.col("home").alias("cell"), "n", "rep")
     members = written(members, "members")
-    wanted = members.select(F.col("class"), F.col("rep").alias("doc_id"))
-    sets = written(texts.join(wanted, "doc_id").mapInArrow(_sets(n), "class long, rep long, shingles binary"), "shingles")
-
     sizes = members.groupBy("cell").agg(
-        F.count("*").alias("live"), F.sum("n").alias("weight"), F.min("class").alias("leader")
-    )
+        F.count("*").alias("live"), F.sum("n").alias("weight"), F.min("class").alias("leader"),
+        F.min("n").alias("least"), F.max("n").alias("most"),
+    )
+    visits = placed.join(lived, "shingle").where("cell < home").select("class", "cell").distinct()
+    visits = visits.join(members.select("class", "n"), "class").join(sizes.select("cell", "least", "most"), "cell")
+    visits = visits.where(f"100 * most >= {similarity} * n and 100 * n >= {similarity} * least")
+    visits = written(visits.select("class", "cell", "n"), "visits")
     callers = visits.groupBy("cell").agg(F.count("*").alias("calls"), F.sum("n").alias("call_weight"))
     cells = (
         sizes.join(callers, "cell", "left").na.fill(0, ["calls", "call_weight"])
@@ -346,21 +422,34 @@ def components(
     )
     cells = written(cells, "cells")
     inside = members.join(cells, "cell").withColumn("block", F.pmod(F.xxhash64("class"), "blocks"))
-    nothing = F.lit(None).cast("long").alias("component")
 
     def group(*keys: str):
         return F.xxhash64(*keys).alias("cell")
 
     index = inside.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
-    index = index.select(group("cell", "block", "part"), F.when(F.col("part") == 0, 1).otherwise(0).alias("role"), "class", nothing)
+    role = F.when(F.col("part") == 0, 1).otherwise(0).cast("long").alias("role")
+    small = index.where("blocks = 1").select(group("cell", "block", "part"), role, "class")
+    index = index.where("blocks > 1").select(group("cell", "block", "part"), role, "class")
     calls = visits.join(cells.where("blocks = 1"), "cell").withColumn("block", F.lit(0).cast("long"))
     calls = calls.withColumn("part", F.pmod(F.xxhash64("class"), "parts"))
-    calls = calls.select(group("cell", "block", "part"), F.lit(2).alias("role"), "class", nothing)
+    calls = calls.select(group("cell", "block", "part"), F.lit(2).cast("long").alias("role"), "class")
+    small = small.unionByName(calls).join(classes.select("class", "n", "bits"), "class")
+    small = small.select("cell", "role", "class", "n", "bits").repartition("cell").sortWithinPartitions("cell")
+    small = written(small.mapInArrow(_sieve(similarity), "cell long, role long, class long"), "sieved")
     large = cells.where("blocks > 1")
     leaders = large.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)))
     leaders = leaders.where(F.col("block") != F.pmod(F.xxhash64("leader"), "blocks")).withColumn("part", F.lit(0).cast("long"))
-    leaders = leaders.select(group("cell", "block", "part"), F.lit(2).alias("role"), F.col("leader").alias("class"), nothing)
-    links = _linked(index.unionByName(calls).unionByName(leaders), sets, similarity, "links")
+    leaders = leaders.select(
+        group("cell", "block", "part"), F.lit(2).cast("long").alias("role"), F.col("leader").alias("class")
+    )
+    together = small.unionByName(index).unionByName(leaders)
+    in_large = members.join(large.select("cell"), "cell").select("class").unionByName(
+        visits.join(large.select("cell"), "cell").select("class")
+    )
+    wanted = small.select("class").unionByName(in_large).distinct().join(members.select("class", "rep"), "class")
+    wanted = written(wanted.select("class", F.col("rep").alias("doc_id")), "wanted")
+    sets = written(texts.join(wanted, "doc_id").mapInArrow(_sets(n), "class long, rep long, shingles binary"), "shingles")
+    links = _linked(together.withColumn("component", F.lit(None).cast("long")), sets, similarity, "links")
     joined = connected_components(links)
 
     if large.limit(1).count():
