@@ -11,27 +11,23 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import code
-from tallyloom.plans import columns, companies
+from tallyloom.plans import companies
 
 
-def _under_raw_names(
-    df: DataFrame, mapping: Mapping[str, str], values: Mapping[str, Column]
-) -> DataFrame:
-    """``values`` by dataset name, selected under the raw names of ``mapping``."""
-    raw_name = {name: raw for raw, name in mapping.items()}
-    return df.select(*[value.alias(raw_name.get(name, name)) for name, value in values.items()])
+def _under_raw_names(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """``values`` under the raw names that are written out for them."""
+    return df.select(*[value.alias(name) for name, value in values.items()])
 
 
 def _valuation_raw(spark: SparkSession, sf: str) -> DataFrame:
     return _under_raw_names(
         given(spark, sf, "orders"),
-        columns.VALUATION,
         {
             "symbol": code(F.col("o_custkey")),
-            "date": F.col("o_orderdate"),
-            "close_price": F.col("o_totalprice"),
-            "pe_ttm": F.col("o_totalprice") / F.lit(16.0),
-            "pe_static": F.col("o_totalprice") / F.lit(8.0),
+            "数据日期": F.col("o_orderdate"),
+            "当日收盘价": F.col("o_totalprice"),
+            "PE(TTM)": F.col("o_totalprice") / F.lit(16.0),
+            "PE(静)": F.col("o_totalprice") / F.lit(8.0),
         },
     )
 
@@ -72,13 +68,12 @@ def index_weights(spark: SparkSession, sf: str) -> DataFrame:
     )
     raw = _under_raw_names(
         lines,
-        columns.INDEX_WEIGHTS,
         {
-            "date": F.col("l_shipdate").cast("date"),
-            "index_code": F.concat("l_returnflag", "l_linestatus"),
-            "stock_code": code(F.col("l_partkey")),
-            "stock_name": F.col("p_name"),
-            "weight": F.col("l_discount"),
+            "日期": F.col("l_shipdate").cast("date"),
+            "指数代码": F.concat("l_returnflag", "l_linestatus"),
+            "成分券代码": code(F.col("l_partkey")),
+            "成分券名称": F.col("p_name"),
+            "权重(%)": F.col("l_discount"),
         },
     )
     return companies.index_weights(raw)
@@ -96,13 +91,12 @@ from orders
 def share_structure(spark: SparkSession, sf: str) -> DataFrame:
     raw = _under_raw_names(
         given(spark, sf, "orders"),
-        columns.SHARE_STRUCTURE,
         {
             "symbol": code(F.col("o_custkey")),
-            "change_date": F.col("o_orderdate").cast("date"),
-            "total_share": F.col("o_totalprice"),
-            "share_restricted": F.col("o_totalprice") / F.lit(4.0),
-            "change_reason": F.col("o_orderpriority"),
+            "变更日期": F.col("o_orderdate").cast("date"),
+            "总股本": F.col("o_totalprice"),
+            "流通受限股份": F.col("o_totalprice") / F.lit(4.0),
+            "变动原因": F.col("o_orderpriority"),
         },
     )
     return companies.share_structure(raw)
@@ -120,11 +114,10 @@ from customer
 def company_info_b(spark: SparkSession, sf: str) -> DataFrame:
     raw = _under_raw_names(
         given(spark, sf, "customer"),
-        columns.COMPANY_B,
         {
-            "stock_code": F.concat(code(F.col("c_custkey")), F.lit(".SZ")),
-            "stock_name": F.col("c_name"),
-            "total_shares": F.col("c_acctbal"),
+            "ts_code": F.concat(code(F.col("c_custkey")), F.lit(".SZ")),
+            "name": F.col("c_name"),
+            "total_share": F.col("c_acctbal"),
             "industry": F.col("c_mktsegment"),
             "symbol": code(F.col("c_custkey")),
         },
@@ -144,10 +137,43 @@ where symbol in (select symbol from listed)
 )
 def stock_indicators(spark: SparkSession, sf: str) -> DataFrame:
     """Indicators of the first 500 codes of the list, the range the job is run with."""
+    return companies.indicators(*_indicators_raw(spark, sf), 0, 500)
+
+
+def _indicators_raw(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     raw = given(spark, sf, "orders").select(
         code(F.col("o_custkey")).alias("symbol"),
         F.col("o_orderdate").cast("date").alias("trade_date"),
         F.col("o_totalprice").alias("pe"),
     )
-    listed = given(spark, sf, "customer").select(code(F.col("c_custkey")).alias("symbol"))
-    return companies.indicators(raw, listed, 0, 500)
+    return raw, given(spark, sf, "customer").select(code(F.col("c_custkey")).alias("symbol"))
+
+
+@query(
+    "stock_indicators_all",
+    """
+select printf('%06d', o_custkey) as symbol, cast(o_orderdate as date) as trade_date, o_totalprice as pe
+from orders where o_custkey in (select c_custkey from customer)
+""",
+)
+def stock_indicators_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Indicators of all codes of the list."""
+    return companies.indicators(*_indicators_raw(spark, sf))
+
+
+@query(
+    "index_weights_of_one",
+    """
+select cast(l_shipdate as date) as date, '000300' as index_code, printf('%06d', l_partkey) as stock_code,
+       l_discount as weight
+from lineitem where l_returnflag = 'R'
+""",
+)
+def index_weights_of_one(spark: SparkSession, sf: str) -> DataFrame:
+    """Members of one index, landed without its code."""
+    raw = given(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(
+        F.col("l_shipdate").cast("date").alias("日期"),
+        code(F.col("l_partkey")).alias("成分券代码"),
+        F.col("l_discount").alias("权重(%)"),
+    )
+    return companies.index_weights(raw, index_code="000300")

@@ -84,6 +84,17 @@ _MONEY_PARTS = {
     "savings_deposit": "o_orderpriority = '3-MEDIUM'",
     "other_deposit": "o_orderpriority = '5-LOW'",
 }
+# Vendor names of the money table.
+_MONEY_NAMES = {
+    "m2": "货币和准货币（广义货币M2）",
+    "m1": "货币(狭义货币M1)",
+    "m0": "流通中现金(M0)",
+    "demand_deposit": "活期存款",
+    "quasi_money": "准货币",
+    "time_deposit": "定期存款",
+    "savings_deposit": "储蓄存款",
+    "other_deposit": "其他存款",
+}
 _MONEY_SQL = ", ".join(
     f"cast(sum(case when {part} then cast(o_totalprice as decimal(18,2)) end) as double) as {name},"
     f" cast(count(case when {part} then 1 end) as double) as {name}_yoy"
@@ -100,7 +111,6 @@ from orders where year(o_orderdate) >= 1997 group by 1
 )
 def money_supply(spark: SparkSession, sf: str) -> DataFrame:
     """Orders per month under the vendor's column names, the month as text like 1997.3."""
-    raw_names = {name: raw for raw, name in columns.MONEY_SUPPLY.items()}
     day = F.col("o_orderdate").cast("date")
 
     def added(part: str) -> Column:
@@ -108,13 +118,13 @@ def money_supply(spark: SparkSession, sf: str) -> DataFrame:
 
     measures = []
     for name, part in _MONEY_PARTS.items():
-        measures.append(added(part).alias(raw_names[name]))
+        measures.append(added(part).alias(_MONEY_NAMES[name]))
         counted = F.count(F.when(F.expr(part), 1)).cast("double")
-        measures.append(counted.alias(raw_names[f"{name}_yoy"]))
+        measures.append(counted.alias(f"{_MONEY_NAMES[name]}同比增长"))
     month = F.concat(F.year(day).cast("string"), F.lit("."), F.month(day).cast("string"))
     raw = (
         given(spark, sf, "orders")
-        .groupBy(month.alias(raw_names["date"]))
+        .groupBy(month.alias("统计时间"))
         .agg(*measures)
     )
     return macro.money_supply(raw, start_year=1997)

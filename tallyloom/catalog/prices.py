@@ -15,13 +15,12 @@ from tallyloom.operators import quality, series
 from tallyloom.plans import prices
 
 AS_OF = dt.date(2024, 1, 31)
-FIRST_DAY = dt.date(2000, 1, 1)
 
 PRICES = ("open", "close", "high", "low")
 
 
 def _bars(spark: SparkSession, sf: str) -> DataFrame:
-    return prices.bars(bars_raw(spark, sf), AS_OF, start=FIRST_DAY)
+    return prices.bars(bars_raw(spark, sf))
 
 
 _FILL = ", ".join(
@@ -242,4 +241,23 @@ def bars_b(spark: SparkSession, sf: str) -> DataFrame:
             F.count(F.lit(1)).cast("double").alias("vol"),
         )
     )
-    return prices.bars_b(raw, AS_OF, dt.date(2024, 1, 5), dt.date(2024, 1, 25))
+    return prices.bars_b(raw, start=dt.date(2024, 1, 5), end=dt.date(2024, 1, 25))
+
+
+@query(
+    "bar_columns",
+    """
+select c.name, c.name in ('symbol', 'dt', 'open', 'close', 'high', 'low', 'volume', 'amount',
+                          'adjust_type') as is_present,
+       (select count(distinct (user_id, cast(ts as date))) * 2 from events) as n_rows
+from (select unnest(['symbol', 'dt', 'open', 'close', 'high', 'low', 'volume', 'amount', 'amplitude',
+                     'change_percent', 'change_amount', 'turnover_rate', 'adjust_type']) as name) c
+""",
+)
+def bar_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Which columns of a complete bar the built bars have, and over how many rows."""
+    bars = _bars(spark, sf)
+    missing = quality.missing_columns(bars)
+    names = F.explode(F.array(*[F.lit(name) for name in quality.BAR_COLUMNS]))
+    counted = bars.agg(F.count(F.lit(1)).alias("n_rows")).select(names.alias("name"), "n_rows")
+    return counted.select("name", (~F.col("name").isin(missing)).alias("is_present"), "n_rows")

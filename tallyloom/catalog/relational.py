@@ -238,4 +238,23 @@ from customer
 """,
 )
 def eav_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return companies.company_info(facts_raw(spark, sf), ("地域",))
+    return companies.company_info(facts_raw(spark, sf), ("地域",), others=None)
+
+
+@query(
+    "company_facts_others",
+    f"""
+select printf('%06d', c_custkey) as symbol, c_name as stock_name, 1::bigint as n_others,
+       'R' || c_nationkey as region
+from customer
+""",
+)
+def company_facts_others(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts outside the map, kept under their own names."""
+    info = companies.company_info(facts_raw(spark, sf))
+    return info.select(
+        "symbol",
+        "stock_name",
+        F.size("other_facts").cast("long").alias("n_others"),
+        F.element_at("other_facts", F.lit("地域")).alias("region"),
+    )

@@ -93,12 +93,13 @@ _NOTICE = "case when l_linenumber <> 1 then cast(l_shipdate as date) end"
 select {_CODE} as security_code, {_CODE} || '.SZ' as secucode, l_returnflag as security_name_abbr,
        cast(l_shipdate as date) as report_date,
        case when l_linenumber = 1 then '-' else strftime(l_shipdate, '%Y%m%d') end as notice_date,
-       l_extendedprice as total_assets, l_discount as total_assets_yoy, l_tax as goodwill_yoy
+       l_extendedprice as total_assets, l_discount as total_assets_yoy, l_tax as goodwill_yoy,
+       {_CODE} as symbol
 from lineitem
 """,
 )
 def lowercase_columns(spark: SparkSession, sf: str) -> DataFrame:
-    """The Hong Kong statement build: lower-case names, report date parsed."""
+    """The Hong Kong statement build: lower-case names, report date parsed, symbol."""
     return statements.statements_hk(_vendor_statements(spark, sf))
 
 
@@ -245,10 +246,10 @@ select symbol, dt, close, null, volume from bars where adjust_type = 'hfq'
 )
 def safe_union(spark: SparkSession, sf: str) -> DataFrame:
     """Two layouts with a column missing or empty in one of them, next to inputs to be skipped."""
-    bars = {
-        name: prices.bars({name: table}, AS_OF, dt.date(2000, 1, 1))
-        for name, table in bars_raw(spark, sf).items()
-    }
+    root = scratch_path(spark, "safe_union")
+    for name, table in bars_raw(spark, sf).items():
+        write_parquet(prices.bars({name: table}), root, name)  # landed once, read by what follows
+    bars = {name: read_dataset(spark, root, name) for name in ("none", "hfq")}
     nothing = F.lit(None).cast("double")
     first = bars["none"].select("symbol", "dt", "close", "amount", nothing.alias("unused"))
     second = bars["hfq"].select(
@@ -273,6 +274,12 @@ def balance_sheets(spark: SparkSession, sf: str) -> DataFrame:
     return statements.balance_sheets(statements_raw(spark, sf))
 
 
+@query("cash_flow_statements", f"with {STATEMENTS_SQL} select * from named")
+def cash_flow_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """The cash flow build over all four report types, all columns."""
+    return statements.cash_flow_statements(statements_raw(spark, sf))
+
+
 SPLIT_SINCE = dt.date(1998, 1, 1)
 
 

@@ -15,20 +15,23 @@ QUARTER_LABELS = (
 )
 
 
-def _dashed(text: Column) -> Column:
-    """Eight bare digits as ``YYYY-MM-DD``; any other text as it is."""
-    bare = (F.length(text) == 8) & ~text.contains("-")
-    year, month, day = F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
-    return F.when(bare, F.concat_ws("-", year, month, day)).otherwise(text)
+# The date forms that are read, each over the whole text: year, month and day apart by one of - / .
+# or eight digits, then a time of day or nothing.
+_TIME = r"(?:[ T][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?"
+_APART = rf"^\s*([0-9]{{4}})([-/.])([0-9]{{1,2}})\2([0-9]{{1,2}}){_TIME}\s*$"
+_TOGETHER = rf"^\s*([0-9]{{4}})([0-9]{{2}})([0-9]{{2}}){_TIME}\s*$"
 
 
 def parse_date(text: Column) -> Column:
     """Date from text, null when it cannot be read.
 
-    Both the dashed form (with or without a time) and eight bare digits are read. ``try_cast``
-    reports unreadable text without raising, so rows of bad text cost no more than good ones.
+    ``try_cast`` reports unreadable text without raising, so rows of bad text cost no more than
+    good ones.
     """
-    return _dashed(text).try_cast("date")
+    apart = F.regexp_replace(text, _APART, "$1-$3-$4")
+    together = F.regexp_replace(text, _TOGETHER, "$1-$2-$3")
+    dashed = F.when(text.rlike(_APART), apart).when(text.rlike(_TOGETHER), together)
+    return dashed.try_cast("date")
 
 
 def parse_compact_date(text: Column) -> Column:

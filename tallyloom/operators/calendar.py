@@ -23,8 +23,8 @@ def known_events(events: DataFrame) -> DataFrame:
 
 
 def symbol_span(events: DataFrame) -> DataFrame:
-    """First and last date per symbol."""
-    return events.groupBy("symbol").agg(
+    """First and last date per symbol, of events with both."""
+    return known_events(events).groupBy("symbol").agg(
         F.min("date").alias("first_date"), F.max("date").alias("last_date")
     )
 
@@ -57,8 +57,11 @@ def dense_calendar(span: DataFrame) -> DataFrame:
 
 
 def yearly_total(events: DataFrame, amount: str = "dividend") -> DataFrame:
-    """Total per symbol and year."""
-    return events.groupBy("symbol", F.year("date").alias("year")).agg(F.sum(amount).alias("total"))
+    """Total per symbol and year; NaN is missing."""
+    known = known_events(events)
+    return known.groupBy("symbol", F.year("date").alias("year")).agg(
+        F.sum(present(known, amount)).alias("total")
+    )
 
 
 def prior_year_total(totals: DataFrame) -> DataFrame:

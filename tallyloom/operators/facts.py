@@ -15,15 +15,19 @@ def pivot_facts(
     item: str = "item",
     value: str = "value",
     order: str = "ord",
+    others: str | None = None,
 ) -> DataFrame:
     """One row per symbol and one column per listed item; the last value of an item wins.
 
-    The items are given, so no job runs to find them and the schema is fixed; ``max_by`` combines
-    on the map side, so a symbol with very many facts is reduced before the shuffle.
+    Items that are not listed go to the map column ``others``, or are left out without one. The
+    items are given, so no job runs to find them and the schema is fixed; the last value of each
+    (symbol, item) is found on the map side first, so a symbol with very many facts is reduced
+    before the shuffle. ``max_by`` over text sorts the facts in each task.
     """
-    return facts.groupBy(key).agg(
-        *[
-            F.max_by(F.col(value), F.when(F.col(item) == F.lit(name), F.col(order))).alias(name)
-            for name in items
-        ]
-    )
+    last = facts.groupBy(key, item).agg(F.max_by(value, order).alias(value))
+    listed = F.coalesce(F.col(item).isin(list(items)), F.lit(False))
+    wide = [F.max(F.when(F.col(item) == F.lit(name), F.col(value))).alias(name) for name in items]
+    if others is not None:
+        rest = F.when(~listed & F.col(item).isNotNull(), F.struct(item, value))
+        wide.append(F.map_from_entries(F.array_sort(F.collect_list(rest))).alias(others))
+    return last.groupBy(key).agg(*wide)

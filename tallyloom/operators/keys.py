@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,25 +22,58 @@ def restrict_symbols(df: DataFrame, codes: DataFrame, key: str = "symbol") -> Da
     return df.join(codes.select(key).distinct(), key, "left_semi")
 
 
-def _merged_inputs(df: DataFrame) -> DataFrame:
-    """Bring very many input splits down to a few per core, without a shuffle.
-
-    A sort with a limit sends the first rows of every task to one last task; with the number of
-    tasks tied to the cluster, what that task reads does not grow with the table.
-    """
-    spark = df.sparkSession
-    per_core = 4 * spark.sparkContext.defaultParallelism
-    return df.coalesce(max(per_core, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+_BUCKETS = 64
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """The first rows by key. Each task keeps only its own first rows; nothing is sorted whole."""
-    return _merged_inputs(df).orderBy(*keys).limit(rows)
-
+    """The first rows by key.
 
-def slice_symbols(codes: DataFrame, start: int, stop: int, key: str = "symbol") -> DataFrame:
-    """Codes at positions [start, stop) in code order."""
-    return _merged_inputs(codes.select(key)).orderBy(key).offset(start).limit(stop - start)
+    The last key that belongs to them is found over the keys alone, in ``_BUCKETS`` hashed parts of
+    which each keeps its first rows; one row of it reaches the driver. The table is then scanned for
+    rows up to that key, so the final sort reads little more than it returns.
+    """
+    narrow = df.select(F.struct(*keys).alias("at"))
+    order = Window.partitionBy(F.pmod(F.xxhash64("at"), F.lit(_BUCKETS))).orderBy("at")
+    firsts = narrow.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
+    last = firsts.orderBy("at").limit(rows).agg(F.max("at").alias("at")).first()["at"]
+    if last is None:
+        return df.limit(0)
+    bound = F.struct(*[F.lit(value).cast(df.schema[key].dataType) for key, value in zip(keys, last)])
+    lead = F.col(keys[0])
+    if last[0] is not None:
+        df = df.filter(lead.isNull() | (lead <= F.lit(last[0])))
+    return df.filter(F.struct(*keys) <= bound).orderBy(*keys).limit(rows)
+
+
+def slice_symbols(
+    codes: DataFrame, start: int, stop: int | None = None, key: str = "symbol"
+) -> DataFrame:
+    """Codes at positions [start, stop) in code order, null first.
+
+    The codes are written once in ranges; the sizes of the ranges, one number each, tell which of
+    them hold the slice, and only their rows are numbered.
+    """
+    from tallyloom.sources.scratch import scratch_path  # the sources import this module
+
+    ranges = codes.select(key).repartitionByRange(key).withColumn("range", F.spark_partition_id())
+    spark = codes.sparkSession
+    path = scratch_path(spark, "slice")
+    ranges.write.parquet(path)
+    staged = spark.read.schema(ranges.schema).parquet(path)
+    counted = staged.groupBy("range").agg(F.count("*").alias("n")).collect()
+    sizes = sorted((row["range"], row["n"]) for row in counted)
+    first, offsets = 0, {}
+    for number, size in sizes:
+        if first + size > start and (stop is None or first < stop):
+            offsets[number] = first
+        first += size
+    if not offsets:
+        return codes.select(key).limit(0)
+    before = F.element_at(F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair]), F.col("range"))
+    place = before + F.row_number().over(Window.partitionBy("range").orderBy(key)) - 1
+    numbered = staged.filter(F.col("range").isin(list(offsets))).withColumn("place", place)
+    wanted = F.col("place") >= start
+    return numbered.filter(wanted if stop is None else wanted & (F.col("place") < stop)).select(key)
 
 
 def lookup(df: DataFrame, code: str, key: str = "symbol") -> DataFrame:

@@ -52,8 +52,14 @@ def coverage(
     requested: DataFrame, landed: Mapping[str, DataFrame], key: str = "symbol"
 ) -> DataFrame:
     """One row per entity: codes requested, codes landed and the share landed (0 when none)."""
+    entities = F.explode(F.array(*[F.lit(entity) for entity in landed]))
+    every = requested.sparkSession.range(1).select(
+        entities.alias("entity"), F.lit(0).alias("wanted"), F.lit(0).alias("present")
+    )
     counted = (
         _marked(requested, landed, key)
+        .drop("code")
+        .unionByName(every)
         .groupBy("entity")
         .agg(F.sum("wanted").alias("requested"), F.sum("present").alias("landed"))
     )
@@ -82,6 +88,9 @@ def validate_prices(
 ) -> DataFrame:
     """One verdict per symbol: valid when it is named and has a row with some value.
 
+    ``others`` are no values: a row that holds only a day and an adjust type says nothing about the
+    price. With ``others=()`` such rows count.
+
     With ``requested`` the symbols without any row get a verdict too.
     """
     values = prices.drop(key, *others)

@@ -80,8 +80,9 @@ def daily_return(
     order: str = "dt",
 ) -> DataFrame:
     """Change against the row before, as a fraction; null on a zero base."""
-    before = f"lag({_quoted(value)}) over ({_series(keys)} order by {_quoted(order)})"
-    return df.withColumn(name, F.expr(f"try_divide({_quoted(value)}, {before}) - 1"))
+    current = _present(dict(df.dtypes), value)
+    before = f"lag({current}) over ({_series(keys)} order by {_quoted(order)})"
+    return df.withColumn(name, F.expr(f"try_divide({current}, {before}) - 1"))
 
 
 def moving_average(
@@ -93,7 +94,7 @@ def moving_average(
     order: str = "dt",
 ) -> DataFrame:
     """Mean of the last ``rows`` rows, null until all of them hold a value."""
-    column = _quoted(value)
+    column = _present(dict(df.dtypes), value)
     frame = (
         f"over ({_series(keys)} order by {_quoted(order)}"
         f" rows between {rows - 1} preceding and current row)"

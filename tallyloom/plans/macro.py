@@ -10,7 +10,7 @@ from tallyloom.operators import filters, quarters, schema
 from tallyloom.plans import columns
 
 
-def money_supply(raw: DataFrame, start_year: int | str | None = 2000) -> DataFrame:
+def money_supply(raw: DataFrame, start_year: int | str | None = None) -> DataFrame:
     """Monthly money supply, newest first. The month is read as text: ``2024.10`` is October."""
     dated = schema.rename(raw, columns.MONEY_SUPPLY).withColumn(
         "date", month_text_to_date(F.col("date").cast("string"))
@@ -30,7 +30,7 @@ def quarterly_gdp(raw: DataFrame) -> DataFrame:
     return quarters.year_on_year(single, "quarter_gdp", "monthly_gdp_yoy")
 
 
-def gdp_monthly(raw: DataFrame, start_year: int | str | None = 2007) -> DataFrame:
+def gdp_monthly(raw: DataFrame, start_year: int | str | None = None) -> DataFrame:
     """Monthly GDP, newest first. The start year is applied after the growth is known."""
     months = quarters.quarters_to_months(quarterly_gdp(raw), "quarter_gdp", "monthly_gdp")
     if start_year is not None:

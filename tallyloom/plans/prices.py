@@ -15,38 +15,43 @@ from tallyloom.plans import columns
 
 def bars(
     adjusted: Mapping[str, DataFrame],
-    as_of: dt.date,
+    as_of: dt.date | None = None,
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> DataFrame:
     """Stock or fund bars of the first layout, one landed table per adjust type.
 
-    Without a range the 30 days up to ``as_of`` are taken.
+    All bars without a range. With ``as_of`` an end that is not given is filled from the 30 days up
+    to that day.
     """
-    first, last = filters.recent_range(as_of, start, end)
     tables = {}
     for adjust_type, raw in adjusted.items():
-        renamed = schema.as_date(schema.rename(raw, columns.BARS_A), "dt")
-        tables[adjust_type] = filters.date_range(renamed, "dt", first, last).withColumn(
-            "symbol", strip_exchange(F.col("symbol"))
-        )
+        renamed = _in_range(schema.rename(raw, columns.BARS_A), as_of, start, end)
+        tables[adjust_type] = renamed.withColumn("symbol", strip_exchange(F.col("symbol")))
     return unions.tagged_union(tables, "adjust_type")
 
 
 def bars_b(
-    raw: DataFrame, as_of: dt.date, start: dt.date | None = None, end: dt.date | None = None
+    raw: DataFrame,
+    as_of: dt.date | None = None,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
 ) -> DataFrame:
-    """Unadjusted stock bars of the second layout, under suffixed codes."""
-    first, last = filters.recent_range(as_of, start, end)
-    renamed = schema.as_date(schema.rename(raw, columns.BARS_B), "dt")
+    """Unadjusted stock bars of the second layout, under suffixed codes; the range as in ``bars``."""
+    renamed = _in_range(schema.rename(raw, columns.BARS_B), as_of, start, end)
     return schema.tag(
-        filters.date_range(renamed, "dt", first, last).withColumn(
-            "symbol", strip_to_suffix(F.col("symbol"))
-        ),
-        adjust_type="none",
+        renamed.withColumn("symbol", strip_to_suffix(F.col("symbol"))), adjust_type="none"
     )
 
 
+def _in_range(
+    df: DataFrame, as_of: dt.date | None, start: dt.date | None, end: dt.date | None
+) -> DataFrame:
+    if as_of is not None:
+        start, end = filters.recent_range(as_of, start, end)
+    return filters.landed_range(df, "dt", start, end)
+
+
 def spot_info(raw: DataFrame, code: str, as_of: dt.date) -> DataFrame:
     """The spot row of one fund, stamped with the day it was read."""
     renamed = schema.rename(raw, columns.SPOT)

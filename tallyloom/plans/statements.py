@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -14,9 +15,7 @@ from pyspark.sql import types as T
 from tallyloom.functions import parse_date
 from tallyloom.operators import filters, schema
 from tallyloom.plans import columns
-from tallyloom.sources import read_landing, scratch_path, write_csv_sample, write_parquet
-
-FIRST_END_DATE = dt.date(2010, 1, 1)
+from tallyloom.sources import read_landing, remove, write_csv_sample, write_parquet
 
 
 def statements_a(raw: DataFrame) -> DataFrame:
@@ -64,8 +63,11 @@ def cash_flow_statements(raw: DataFrame) -> DataFrame:
 
 
 def statements_hk(raw: DataFrame) -> DataFrame:
-    """Hong Kong statements: lower-case names, report date parsed."""
-    return schema.coerce(schema.lowercase_columns(raw), {"report_date": parse_date})
+    """Hong Kong statements: lower-case names, report date parsed, ``symbol`` from the code."""
+    lowered = schema.coerce(schema.lowercase_columns(raw), {"report_date": parse_date})
+    if "security_code" not in lowered.columns:
+        return lowered
+    return schema.add_if_missing(lowered, "symbol", F.col("security_code"))
 
 
 def clean_statement(df: DataFrame, keys: Iterable[str]) -> DataFrame:
@@ -88,18 +90,19 @@ def split_by_company_type(
     df: DataFrame,
     root: str,
     name: str,
-    since: dt.date = FIRST_END_DATE,
-    sample_keys: Sequence[str] = ("symbol", "end_date"),
+    since: dt.date | None = None,
+    sample_keys: Sequence[str] = ("symbol", "end_date", "report_type", "f_ann_date", "ann_date"),
     sample_rows: int = 5000,
 ) -> list[SplitPart]:
     """One dataset per company type, each without the columns that are null in all its rows.
 
-    The filtered rows are written once, by type, to the shared scratch folder: the plan behind
-    ``df`` runs once, and each later step reads only its own directory. One aggregation then counts
-    the values per type and column; its at most four rows give the schemas. The staged rows are left
-    to the cleanup of that folder.
+    The filtered rows are written once, by type, below ``root``: the plan behind ``df`` runs once,
+    and each later step reads only its own directory. One aggregation then counts the values per
+    type and column; its at most four rows give the schemas. A type without rows gets an empty
+    dataset with all columns, so nothing of an earlier run stays. The staged rows are removed at
+    the end.
     """
-    staged = scratch_path(spark, "split")
+    staged = f"{root.rstrip('/')}/_split-{uuid.uuid4().hex}"
     (
         filters.date_range(df, "end_date", start=since)
         .filter(F.col("comp_type").isin(list(columns.COMPANY_TYPES)))
@@ -121,15 +124,20 @@ def split_by_company_type(
     }
 
     def write(company_type: str) -> SplitPart:
-        row = counts[company_type]
-        kept = [column for column, count in zip(measured.columns, row["counts"]) if count]
+        row = counts.get(company_type)
+        n_rows = row["n_rows"] if row else 0
+        counted = zip(measured.columns, row["counts"] if row else [1] * len(measured.columns))
+        kept = [column for column, count in counted if count]
         part = schema.keep_columns(stage.filter(F.col("split_type") == company_type), kept)
         target = f"{name}_type_{company_type}"
         path = write_parquet(part, root, target)
         keys = [key for key in sample_keys if key in kept] or kept
         write_csv_sample(part, root, target, keys, sample_rows)
-        return SplitPart(company_type, path, row["n_rows"], tuple(kept))
+        return SplitPart(company_type, path, n_rows, tuple(kept))
 
     # The parts differ much in size; submitted together, the small ones run beside the large one.
-    with ThreadPoolExecutor(max_workers=len(columns.COMPANY_TYPES)) as pool:
-        return list(pool.map(write, sorted(counts)))
+    try:
+        with ThreadPoolExecutor(max_workers=len(columns.COMPANY_TYPES)) as pool:
+            return list(pool.map(write, sorted(columns.COMPANY_TYPES)))
+    finally:
+        remove(spark, staged)

@@ -4,6 +4,7 @@ from tallyloom.sources.datasets import (
     read_csv,
     read_dataset,
     read_landing,
+    remove,
     sql_over_tables,
     write_csv,
     write_csv_sample,
@@ -15,6 +16,7 @@ __all__ = [
     "read_csv",
     "read_dataset",
     "read_landing",
+    "remove",
     "scratch_path",
     "sql_over_tables",
     "write_csv",

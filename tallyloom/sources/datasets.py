@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,18 @@ from pyspark.sql import types as T
 from tallyloom.operators.keys import first_rows
 
 
-CSV_FORM = {"header": True, "escape": '"'}
+# Text comes back as it was: blanks at its ends, empty text apart from null, line breaks in quotes.
+# Files with line breaks in text are not split, so they are kept small.
+CSV_FORM = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "nullValue": "\\N",
+    "emptyValue": "",
+    "lineSep": "\n",
+}
+CSV_ROWS_PER_FILE = 500_000
 
 
 def dataset_path(root: str, name: str, suffix: str = "parquet") -> str:
@@ -37,16 +50,31 @@ def read_landing(
 def sql_over_tables(spark: SparkSession, tables: Mapping[str, str | DataFrame], sql: str) -> DataFrame:
     """Run SQL over Parquet paths (or DataFrames) known by alias for this one query.
 
-    The statement is analysed before the aliases are dropped; they do not outlive the call.
+    Aliases are common table expressions in front of the statement, so views of the same name stay
+    as they are. A DataFrame stands behind a view with a name of its own until the statement is
+    analysed.
     """
+    views, parts = [], []
     for alias, table in tables.items():
-        df = spark.read.parquet(table) if isinstance(table, str) else table
-        df.createOrReplaceTempView(alias)
+        if isinstance(table, str):
+            source = f"parquet.`{table}`"
+        else:
+            source = f"tallyloom_{uuid.uuid4().hex}"
+            table.createOrReplaceTempView(source)
+            views.append(source)
+        parts.append(f"`{alias}` as (select * from {source})")
+    rest = re.sub(r"^\s*with\s", ", ", sql, count=1, flags=re.IGNORECASE)
     try:
-        return spark.sql(sql)
+        return spark.sql(f"with {', '.join(parts)} {rest}" if parts else sql)
     finally:
-        for alias in tables:
-            spark.catalog.dropTempView(alias)
+        for view in views:
+            spark.catalog.dropTempView(view)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own making, wherever it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_parquet(df: DataFrame, root: str, name: str) -> str:
@@ -59,13 +87,15 @@ def write_parquet(df: DataFrame, root: str, name: str) -> str:
 def write_csv(df: DataFrame, root: str, name: str) -> str:
     """Overwrite a named CSV dataset, a header row in each file, quotes doubled; returns its path."""
     path = dataset_path(root, name, "csv")
-    df.write.mode("overwrite").options(**CSV_FORM).csv(path)
+    df.write.mode("overwrite").options(
+        **{**CSV_FORM, "emptyValue": '""', "maxRecordsPerFile": CSV_ROWS_PER_FILE}
+    ).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A CSV dataset as written by ``write_csv``, under a given schema."""
-    return spark.read.schema(schema).options(**CSV_FORM).csv(path)
+    return spark.read.schema(schema).options(**CSV_FORM, multiLine=True).csv(path)
 
 
 def write_csv_sample(

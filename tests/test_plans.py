@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 
-import __spark_entry__
 import pytest
+from tallyloom.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = __spark_entry__.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas", "InArrow")
 
 
@@ -47,6 +46,6 @@ def test_only_needed_columns_are_read(spark, plan):
 
 
 def test_no_query_works_without_its_tables():
-    for name, sql in __spark_entry__.oracle_sql().items():
+    for name, sql in ORACLES.items():
         tables = ("customer", "orders", "lineitem", "events", "part", "supplier", "nation", "region")
         assert any(table in sql for table in tables), name

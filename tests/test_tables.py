@@ -159,9 +159,11 @@ def test_report_types_are_filtered_at_the_scan(spark, tmp_path):
 
 def test_split_by_company_type(spark, rows, tmp_path):
     built = statements.income_statements(statement_rows(spark))
-    parts = statements.split_by_company_type(spark, built, str(tmp_path), "income")
-    assert [(part.company_type, part.n_rows) for part in parts] == [("1", 1), ("2", 1)]
-    one, two = (spark.read.parquet(part.path) for part in parts)
+    since = dt.date(2010, 1, 1)
+    parts = statements.split_by_company_type(spark, built, str(tmp_path), "income", since)
+    assert [(part.company_type, part.n_rows) for part in parts] == [("1", 1), ("2", 1), ("3", 0), ("4", 0)]
+    one, two, three, _ = (spark.read.parquet(part.path) for part in parts)
+    assert set(three.columns) == set(built.columns) and three.count() == 0
     assert "int_income" not in one.columns and "ebit" not in two.columns
     assert rows(two, "comp_type", "int_income") == [("2", 5.0)]
     assert (tmp_path / "income_type_2.csv").is_dir()
