@@ -88,7 +88,7 @@ def _weigh(ratio: np.ndarray):
                 weight = np.bincount(row, weights=ratio[buckets], minlength=part.num_rows)
                 grams = np.bincount(row, minlength=part.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(weight), pa.array(grams)], ["doc_id", "log_weight", "n_grams"]
+                    [part.column("doc_id"), pa.array(weight, pa.float64()), pa.array(grams, pa.int64())], ["doc_id", "log_weight", "n_grams"]
                 )
 
     return weigh

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import embeddings, exact_dedup, jaccard_join, language, mixing, packing, pii, quality, recompression, warc
+from tallyloom.llm.sql import ORACLES
 from tallyloom.llm.tables import table
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
@@ -71,5 +74,3 @@ QUERIES = {
     "op9_personal_data": op9_personal_data,
     "op10_repeated_passages": op10_repeated_passages,
 }
-
-ORACLES: dict[str, str] = {}
