@@ -301,18 +301,21 @@ def remove_repeats(
     )
     copies = whole.join(firsts, "whole_sha256").where("doc_id > first_id").select("doc_id", "whole_sha256")
     named = found.where("anchor is not null and doc_id is not null").select("doc_id", "anchor")
-    shared = named.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    # both sides of the joins below are written tables: a frequent key is then a skew that can be split
+    shared = named.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared = written(shared.where("low < high").select("anchor"), "shared")
     of_doc = (
-        named.join(shared.select("anchor"), "anchor")
+        named.join(shared, "anchor")
         .groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
         .join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
     )
     candidates = written(texts.join(of_doc, "doc_id").withColumn("row", F.monotonically_increasing_id()), "candidates")
     windows = candidates.mapInArrow(_tied_windows(window, rounds), "doc_id long, row long, place int, hash long")
     windows = written(windows, "windows")
-    smallest = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    smallest = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    smallest = written(smallest.where("low < high").select("hash", "low"), "smallest")
     repeats = (
-        windows.join(smallest.select("hash", "low"), "hash").where("doc_id > low")
+        windows.join(smallest, "hash").where("doc_id > low")
         .groupBy("row").agg(F.collect_set("place").alias("places"))
     )
     hit = candidates.select("row", "doc_id", "text").join(repeats, "row")
