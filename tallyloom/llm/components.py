@@ -12,8 +12,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of the links ``(a, b)``; the component is its smallest node.
 
     Large-star and small-star steps in turn: each links a node's neighbours to its smallest
-    neighbour, until nothing changes. A node's neighbours meet only in a partial minimum and in a join
-    that adaptive execution can split, so a node with very many links is no hot spot. Links to
+    neighbour, until nothing changes. A node's neighbours meet only in a partial minimum and in a join of
+    written tables that adaptive execution can split, so a node with very many links is no hot spot. Links to
     oneself and null ends are ignored; no links give no rows.
     """
     edges = written(
@@ -37,6 +37,7 @@ def connected_components(links: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least"))
+    least = written(least, "least")
     return (
         both.where("b > a")
         .join(least, "a")
@@ -46,6 +47,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    least = written(edges.groupBy("a").agg(F.min("b").alias("least")), "least")
     moved = edges.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.union(least.select("a", F.col("least").alias("b"))).distinct()

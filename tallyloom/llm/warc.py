@@ -81,7 +81,7 @@ def write_archives(
         F.col(url_column).cast("string").alias("url"),
         F.coalesce(F.col(payload_column), F.lit("")).alias("payload"),
     ).withColumns({"payload_digest": payload_digest(F.col("payload")), "payload_bytes": F.octet_length("payload")})
-    firsts = resolve(rows.select("page_id", "payload_digest", "payload_bytes"), least)
+    firsts = written(resolve(rows.select("page_id", "payload_digest", "payload_bytes"), least), "firsts")
     rows = rows.join(firsts, "payload_digest", "left")
     page, first = F.col("page_id"), F.col("first_id")
     revisit = first.isNotNull() & (F.col("payload_bytes") >= least) & ~page.eqNullSafe(first)
