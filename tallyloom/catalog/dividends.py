@@ -22,10 +22,9 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
     return dividends.dividend_events(dividends_raw(spark, sf), done="F")
 
 
-@query(
-    "dividend_calendar",
-    f"""
-with {EVENTS_SQL}, named as (
+def _calendar_sql(events: str) -> str:
+    return f"""
+with {events}, named as (
   select e.*, c.c_name as stock_name
   from events_done e left join customer c on e.symbol = cast(c.c_custkey as varchar)
 ), span as (
@@ -49,12 +48,26 @@ select f.date, f.symbol, f.stock_name, cast(f.dividend as double) as dividend,
             range between interval 11 month preceding and current row) as double)
          as rolling_12m_dividend
 from filled f left join yearly p on f.symbol = p.symbol and f.y = p.y + 1
-""",
-)
+"""
+
+
+@query("dividend_calendar", _calendar_sql(EVENTS_SQL))
 def dividend_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return dividends.dividend_calendar(_events(spark, sf), stock_names(spark, sf))
 
 
+@query(
+    "dividend_calendar_crowded",
+    _calendar_sql(EVENTS_SQL.replace("cast(o_orderdate as date)", "cast(date_trunc('quarter', o_orderdate) as date)")),
+)
+def dividend_calendar_crowded(spark: SparkSession, sf: str) -> DataFrame:
+    """All events of a quarter on its first day: many days with several events."""
+    raw = dividends_raw(spark, sf)
+    crowded = raw.withColumn("股权登记日", F.trunc("股权登记日", "quarter"))
+    events = dividends.dividend_events(crowded, done="F")
+    return dividends.dividend_calendar(events, stock_names(spark, sf))
+
+
 @query(
     "calendar_densify",
     f"""

@@ -138,10 +138,32 @@ def _totals(changes: DataFrame, names: DataFrame, months: int) -> DataFrame:
     )
 
 
+def _written(df: DataFrame) -> DataFrame:
+    from tallyloom.sources.scratch import scratch_path  # the sources import operators
+
+    path = scratch_path(df.sparkSession, "calendar")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _CALENDAR = ("date", "symbol", "stock_name", "dividend", "year")
 _TOTALS = ("last_year_total_dividend", "current_year_total_dividend", "rolling_12m_dividend")
 
 
+def change_totals(
+    events: DataFrame, dimension: DataFrame, amount: str = "dividend", months: int = 11
+) -> DataFrame:
+    """What holds from each change day of a symbol on: its day's own sum and the three totals."""
+    paid = known_events(events).select("symbol", "date", present(events, amount).alias("paid"))
+    daily = paid.groupBy("symbol", "date").agg(
+        F.expr("sum(paid) as amount"), F.expr("count(1) as n_events")
+    )
+    names = dimension.groupBy("symbol").agg(
+        F.expr("min(stock_name) as stock_name"), F.expr("count(1) as copies")
+    )
+    return _totals(_change_days(_wide(daily, "symbol"), months), names, months)
+
+
 def event_calendar(
     events: DataFrame, dimension: DataFrame, amount: str = "dividend", months: int = 11
 ) -> DataFrame:
@@ -153,16 +175,12 @@ def event_calendar(
     The rolling span goes ``months`` months back, both ends included.
 
     Events are summed per (symbol, date) on the map side before anything is shuffled, so a symbol
-    with very many events arrives as at most one row per day.
+    with very many events arrives as at most one row per day. What holds from each change day is
+    worked out once and written to the shared scratch folder; days with several events then take
+    their own amounts from the events of those days.
     """
+    totals = _written(change_totals(events, dimension, amount, months))
     events = known_events(events).select("symbol", "date", present(events, amount).alias("paid"))
-    daily = events.groupBy("symbol", "date").agg(
-        F.expr("sum(paid) as amount"), F.expr("count(1) as n_events")
-    )
-    names = dimension.groupBy("symbol").agg(
-        F.expr("min(stock_name) as stock_name"), F.expr("count(1) as copies")
-    )
-    totals = _totals(_change_days(_wide(daily, "symbol"), months), names, months)
 
     kept = ("symbol", "stock_name", "year", *_TOTALS)
     spread = (

@@ -130,7 +130,7 @@ def test_hot_symbol_crosses_the_network_once_per_day(spark, plan):
     assert {row[7] for row in found if row[:2] == (D(2024, 1, 6), "hot")} == {400.0}
     table = spark.createDataFrame(events, "symbol string, date date, dividend decimal(18,2)")
     names = spark.createDataFrame([], "symbol string, stock_name string")
-    text = plan(dividends.dividend_calendar(table, names))
+    text = plan(calendar.change_totals(table, names))
     assert "partial_sum(paid" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 

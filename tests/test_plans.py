@@ -49,3 +49,8 @@ def test_no_query_works_without_its_tables():
     for name, sql in ORACLES.items():
         tables = ("customer", "orders", "lineitem", "events", "part", "supplier", "nation", "region")
         assert any(table in sql for table in tables), name
+
+
+def test_calendar_windows_run_once(spark, plan):
+    text = plan(QUERIES["dividend_calendar"](spark, SF))
+    assert text.count("Window [") <= 5
