@@ -26,7 +26,7 @@ DICTIONARY = 112 << 10
 SAMPLE = 256
 #: zstandard's parameters: short matches tell languages apart, so they are searched for from 3 bytes on.
 PARAMETERS = {
-    "window_log": 18, "hash_log": 15, "chain_log": 15, "search_log": 2, "min_match": 3, "target_length": 0, "strategy": 3,
+    "window_log": 18, "hash_log": 15, "chain_log": 15, "search_log": 2, "min_match": 3, "target_length": 0, "strategy": 4,
 }
 #: A text is rejected unless the second-best result is larger by this share.
 MARGIN = 0.01
