@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from tallyloom.catalog.given import given
 from tallyloom.catalog.registry import query
 from tallyloom.catalog.stand_ins import GDP_SQL, MONEY, gdp_raw
-from tallyloom.functions import date_text, label_quarter, label_year, quarter_end
+from tallyloom.functions import (
+    date_text,
+    day_quarter,
+    day_year,
+    label_quarter,
+    label_year,
+    quarter_end,
+)
 from tallyloom.operators import quarters
 from tallyloom.plans import columns, macro
 
@@ -156,9 +163,9 @@ from orders
 """,
 )
 def date_parts(spark: SparkSession, sf: str) -> DataFrame:
-    day = F.col("o_orderdate").cast("date")
+    landed = date_text(F.col("o_orderdate"), compact=True)
     return given(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
+        day_year(landed).alias("year"),
+        day_quarter(F.col("o_orderdate")).alias("quarter"),
     )

@@ -3,6 +3,8 @@
 from tallyloom.functions.codes import first_digits, full_symbol, strip_exchange, strip_to_suffix
 from tallyloom.functions.dates import (
     date_text,
+    day_quarter,
+    day_year,
     label_quarter,
     label_year,
     month_text_to_date,
@@ -14,6 +16,8 @@ from tallyloom.functions.numbers import nan_to_null, parse_number
 
 __all__ = [
     "date_text",
+    "day_quarter",
+    "day_year",
     "first_digits",
     "full_symbol",
     "label_quarter",

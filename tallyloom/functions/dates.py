@@ -51,6 +51,21 @@ def date_text(day: Column, compact: bool = False) -> Column:
     return F.replace(dashed, F.lit("-"), F.lit("")) if compact else dashed
 
 
+def day_year(day: Column) -> Column:
+    """Year of a date, or of text in one of the readable forms."""
+    return F.year(_day(day))
+
+
+def day_quarter(day: Column) -> Column:
+    """Quarter of a date, or of text in one of the readable forms."""
+    return F.quarter(_day(day))
+
+
+def _day(value: Column) -> Column:
+    """Text as it is read by ``parse_date``; a timestamp's text holds its date."""
+    return parse_date(value.cast("string"))
+
+
 def label_year(label: Column) -> Column:
     """Year text at the head of a quarter label."""
     return F.substring(label, 1, 4)
