@@ -91,7 +91,7 @@ def survivors(
     digest = text_digest(F.col(text_column), normalise).alias("digest")
     digests = written(docs.select(F.col(id_column).alias("id"), digest), "digests")
     winners = F.broadcast(frequent_digests(digests).select("digest", "keep_id"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"), digest)
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), digest)
     lost = F.col("keep_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep_id"))
     left = rows.join(winners, "digest", "left").where(~lost)
     return left.groupBy("digest").agg(F.max_by("row", F.struct("id")).alias("row")).select("row.*")

@@ -1,13 +1,14 @@
 """Documents whose sets of word n-grams overlap, by T-occurrence search.
 
 Documents with equal sets are one class, told by 64 bits of a digest. A partner of a class of n
-shingles shares at least 3n/4 of them (at similarity 0.75), so among the first n - 3n/4 + 1 in any order that
-all agree on, two partners share one. The order puts frequent shingles last, as far as a bounded
+shingles shares at least 3n/4 of them (at similarity 0.75), and a partner that is not smaller at least 6n/7. So in any
+order that all agree on, the first n - 6n/7 + 1 shingles of the smaller partner and the first n - 3n/4 + 1
+of the larger one have one in common. The order puts frequent shingles last, as far as a bounded
 list of them (``FREQUENT``) goes, and is arbitrary else. These first shingles are shuffled; those that two
 classes share say who must be compared.
 
-Each class is at home in the cell of its first shared shingle, and visits the smaller cells in which a class
-with a shared shingle lives. Bit maps of the sets then bound each overlap from above: a shingle whose bit the other
+Each class is at home in the cell of the first shared one of its first 1/7, and each class visits the cells where a
+class lives that is not larger and has one of the visitor's first shingles there. Bit maps of the sets then bound each overlap from above: a shingle whose bit the other
 set lacks is not shared. Classes that no bound lets through leave the cell, so that sets are
 read for few documents. In a cell the sets of its classes are an inverted index, and every other class there is
 a query: DivideSkip sets the longest lists aside, merges the short ones to find the classes that
@@ -47,6 +48,7 @@ FREQUENT_FROM = 16
 BLOCK = 1 << 20
 MU = 0.0085
 _LAST = 1 << 62
+_FIRST = "shingle long, class long, leading long"
 _CLASSIFIED = "doc_id long, n_shingles long, class long, shingle long, classes long, bits binary"
 
 
@@ -191,8 +193,8 @@ def _classified(n: int):
 
 
 def _first_shingles(n: int, similarity: int, frequent):
-    """``(shingle, class)`` for the first shingles of every class; frequent ones come last in the
-    order and carry a high bit."""
+    """``(shingle, class, leading)`` for the first shingles of every class; frequent ones come last in the
+    order and carry a high bit. ``leading`` is 1 for those by which larger partners find the class."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = frequent.value
@@ -200,7 +202,7 @@ def _first_shingles(n: int, similarity: int, frequent):
         for batch, _, sets in _parts(batches, n):
             if batch is not at:
                 at, met = batch, set()
-            shingles, classes = [], []
+            shingles, classes, leading = [], [], []
             for s in sets:
                 c = _class(s) if len(s) else None
                 if c is None or c in met:
@@ -211,8 +213,11 @@ def _first_shingles(n: int, similarity: int, frequent):
                 taken = np.concatenate([s[~common], s[common] | _LAST])[:wanted]
                 shingles.append(taken)
                 classes.append(np.full(len(taken), c))
+                own = len(s) - -(-2 * similarity * len(s) // (100 + similarity)) + 1
+                leading.append((np.arange(len(taken)) < own).astype(np.int64))
             if shingles:
-                yield _batch(["shingle", "class"], np.concatenate(shingles), np.concatenate(classes))
+                columns = (np.concatenate(c) for c in (shingles, classes, leading))
+                yield _batch(["shingle", "class", "leading"], *columns)
 
     return first
 
@@ -220,8 +225,8 @@ def _first_shingles(n: int, similarity: int, frequent):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by shingle and class, once each those whose shingle another class has; all of a
     frequent shingle."""
-    names = ["shingle", "class"]
-    tail = np.zeros((0, 2), dtype=np.int64)
+    names = ["shingle", "class", "leading"]
+    tail = np.zeros((0, 3), dtype=np.int64)
     told = 0  # rows of the tail that are decided
 
     def keep(rows: np.ndarray, until: int) -> pa.RecordBatch:
@@ -231,7 +236,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept[:-1] |= like
         kept[:told] = False
         kept[until:] = False
-        return _batch(names, rows[kept, 0], rows[kept, 1])
+        return _batch(names, rows[kept, 0], rows[kept, 1], rows[kept, 2])
 
     for batch in batches:
         rows = np.concatenate([tail, np.stack([np.asarray(batch.column(c)) for c in names], axis=1)])
@@ -394,24 +399,28 @@ def components(
         .select("shingle").toArrow()
     )
     frequent = spark.sparkContext.broadcast(np.sort(np.asarray(frequent.column("shingle").combine_chunks(), dtype=np.int64)))
-    first = texts.mapInArrow(_first_shingles(n, similarity, frequent), "shingle long, class long")
+    first = texts.mapInArrow(_first_shingles(n, similarity, frequent), _FIRST)
     salt = F.when(F.col("shingle") >= _LAST, F.pmod(F.col("class"), F.lit(64))).otherwise(0)
     first = first.withColumn("salt", salt).repartition("shingle", "salt").sortWithinPartitions("shingle", "class")
-    shared = written(first.select("shingle", "class").mapInArrow(_shared, "shingle long, class long"), "shared")
-
-    homes = written(shared.groupBy("class").agg(F.min("shingle").alias("home")), "homes")
-    placed = written(shared.join(homes, "class"), "placed")
-    lived = placed.select("shingle", F.col("home").alias("cell")).distinct()
-    members = homes.join(classes.where("rep is not null"), "class").select("class", F.col("home").alias("cell"), "n", "rep")
-    members = written(members, "members")
-    sizes = members.groupBy("cell").agg(
-        F.count("*").alias("live"), F.sum("n").alias("weight"), F.min("class").alias("leader"),
-        F.min("n").alias("least"), F.max("n").alias("most"),
+    shared = written(first.select("shingle", "class", "leading").mapInArrow(_shared, _FIRST), "shared")
+
+    homes = written(shared.where("leading = 1").groupBy("class").agg(F.min("shingle").alias("home")), "homes")
+    known = classes.where("rep is not null").select("class", "rep", "n")
+    placed = written(shared.join(known, "class").join(homes, "class", "left").drop("rep"), "placed")
+    # who lives where, for each leading shingle; a visitor is not smaller than some member and not too large for all
+    lived = (
+        placed.where("leading = 1").groupBy("shingle", F.col("home").alias("cell"))
+        .agg(F.min("n").alias("least"), F.max("n").alias("most"))
     )
-    visits = placed.join(lived, "shingle").where("cell < home").select("class", "cell").distinct()
-    visits = visits.join(members.select("class", "n"), "class").join(sizes.select("cell", "least", "most"), "cell")
-    visits = visits.where(f"100 * most >= {similarity} * n and 100 * n >= {similarity} * least")
-    visits = written(visits.select("class", "cell", "n"), "visits")
+    lived = written(lived, "lived")
+    members = written(homes.join(known, "class").select("class", F.col("home").alias("cell"), "n", "rep"), "members")
+    sizes = members.groupBy("cell").agg(
+        F.count("*").alias("live"), F.sum("n").alias("weight"), F.min("class").alias("leader")
+    )
+    visits = placed.join(lived, "shingle").where(
+        f"least <= n and 100 * most >= {similarity} * n and not cell <=> home"
+    )
+    visits = written(visits.select("class", "cell", "n").distinct(), "visits")
     callers = visits.groupBy("cell").agg(F.count("*").alias("calls"), F.sum("n").alias("call_weight"))
     cells = (
         sizes.join(callers, "cell", "left").na.fill(0, ["calls", "call_weight"])
@@ -446,14 +455,14 @@ def components(
     in_large = members.join(large.select("cell"), "cell").select("class").unionByName(
         visits.join(large.select("cell"), "cell").select("class")
     )
-    wanted = small.select("class").unionByName(in_large).distinct().join(members.select("class", "rep"), "class")
+    wanted = small.select("class").unionByName(in_large).distinct().join(known.select("class", "rep"), "class")
     wanted = written(wanted.select("class", F.col("rep").alias("doc_id")), "wanted")
     sets = written(texts.join(wanted, "doc_id").mapInArrow(_sets(n), "class long, rep long, shingles binary"), "shingles")
     links = _linked(together.withColumn("component", F.lit(None).cast("long")), sets, similarity, "links")
     joined = connected_components(links)
 
     if large.limit(1).count():
-        links = links.unionByName(_across(large, members, visits, joined, sets, similarity))
+        links = links.unionByName(_across(large, members, visits, known, joined, sets, similarity))
         joined = connected_components(links)
     component = F.coalesce("component", "rep", "doc_id")
     return (
@@ -464,14 +473,20 @@ def components(
 
 
 def _across(
-    large: DataFrame, members: DataFrame, visits: DataFrame, joined: DataFrame, sets: DataFrame, similarity: int
+    large: DataFrame,
+    members: DataFrame,
+    visits: DataFrame,
+    known: DataFrame,
+    joined: DataFrame,
+    sets: DataFrame,
+    similarity: int,
 ) -> DataFrame:
     """Links between classes of different components in cells of several blocks.
 
     A large component has chunks of its own, the others of a cell share chunks; a class meets the chunks
     that hold anything but its own component.
     """
-    reps = members.select("class", "rep").distinct()
+    reps = known.select("class", "rep")
     both = members.select("class", "cell", "n", F.lit(True).alias("lives")).unionByName(
         visits.withColumn("lives", F.lit(False))
     )
@@ -513,5 +528,5 @@ def representatives(docs: DataFrame, id_column: str = "doc_id", text_column: str
     stay."""
     found = components(docs, id_column, text_column)
     lost = found.where(F.col(id_column) > F.col("component_id")).select(F.col(id_column).alias("lost_id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("id"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"))
     return rows.join(lost, F.col("id") == F.col("lost_id"), "left_anti").select("row.*")

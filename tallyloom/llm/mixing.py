@@ -180,7 +180,7 @@ def mixed_documents(
         F.col(id_column).alias("mix_id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("copies")
     )
     copies = copies.groupBy("mix_id").agg(F.max("copies").alias("copies")).where("copies > 0")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_column).alias("mix_id"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("mix_id"))
     return rows.join(copies, rows["mix_id"].eqNullSafe(copies["mix_id"])).select(
         "row", F.explode(F.sequence(F.lit(1), F.col("copies")))
     ).select("row.*")
