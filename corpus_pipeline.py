@@ -19,7 +19,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that importance resampling keeps."""
     decided = quality.resample(docs, table(spark, sf_dir, "labels"))
     lost = decided.where(~F.col("kept")).select(F.col("doc_id").alias("lost_id")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"))
     return rows.join(lost, F.col("id") == F.col("lost_id"), "left_anti").select("row.*")
 
 
