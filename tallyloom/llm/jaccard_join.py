@@ -7,7 +7,7 @@ of the larger one have one in common. The order puts frequent shingles last, as
 list of them (``FREQUENT``) goes, and is arbitrary else. These first shingles are shuffled; those that two
 classes share say who must be compared.
 
-Each class is at home in the cell of the first shared one of its first 1/7, and each class visits the cells where a
+Each class is at home in the cell of one of its shared shingles in the first 1/7, and visits the cells where a
 class lives that is not larger and has one of the visitor's first shingles there. Bit maps of the sets then bound each overlap from above: a shingle whose bit the other
 set lacks is not shared. Classes that no bound lets through leave the cell, so that sets are
 read for few documents. In a cell the sets of its classes are an inverted index, and every other class there is
@@ -404,10 +404,14 @@ def components(
     first = first.withColumn("salt", salt).repartition("shingle", "salt").sortWithinPartitions("shingle", "class")
     shared = written(first.select("shingle", "class", "leading").mapInArrow(_shared, _FIRST), "shared")
 
-    homes = written(shared.where("leading = 1").groupBy("class").agg(F.min("shingle").alias("home")), "homes")
+    # a frequent shingle, if there is one: texts made of the same passages then live together
+    frequent_home = F.min(F.when(F.col("shingle") >= _LAST, F.col("shingle")))
+    homes = shared.where("leading = 1").groupBy("class").agg(F.coalesce(frequent_home, F.min("shingle")).alias("home"))
+    homes = written(homes, "homes")
     known = classes.where("rep is not null").select("class", "rep", "n")
     placed = written(shared.join(known, "class").join(homes, "class", "left").drop("rep"), "placed")
-    # who lives where, for each leading shingle; a visitor is not smaller than some member and not too large for all
+    # Who lives where, for each leading shingle. Of two classes that both lead with it, that with the larger home
+    # visits; else the larger class does.
     lived = (
         placed.where("leading = 1").groupBy("shingle", F.col("home").alias("cell"))
         .agg(F.min("n").alias("least"), F.max("n").alias("most"))
@@ -418,7 +422,8 @@ def components(
         F.count("*").alias("live"), F.sum("n").alias("weight"), F.min("class").alias("leader")
     )
     visits = placed.join(lived, "shingle").where(
-        f"least <= n and 100 * most >= {similarity} * n and not cell <=> home"
+        f"100 * most >= {similarity} * n and 100 * n >= {similarity} * least"
+        " and if(leading = 1, cell < home, least <= n and not cell <=> home)"
     )
     visits = written(visits.select("class", "cell", "n").distinct(), "visits")
     callers = visits.groupBy("cell").agg(F.count("*").alias("calls"), F.sum("n").alias("call_weight"))
