@@ -248,6 +248,22 @@ def test_language(spark, odd, none):
     assert language.identify(none).count() == 0
 
 
+def test_language_of_the_whole_text(spark):
+    """A short beginning in one language does not outweigh a long rest in another."""
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    dictionaries = language.fit(given)
+
+    def held(lang: str, size: int) -> str:
+        rows = given.where(language.held_out() & (F.col("lang") == lang)).orderBy("doc_id").select("text").collect()
+        text = " ".join(r["text"] for r in rows)
+        return (text * (size // len(text) + 1))[:size]
+
+    mixed = [(1, held("fr", 32 << 10) + held("en", 128 << 10), "x"), (2, held("de", 64 << 10) + held("es", 500 << 10), "x"),
+             (3, held("en", 8 << 10) + held("de", 24 << 10), "x")]
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(docs(spark, mixed), dictionaries).collect()}
+    assert found == {1: "en", 2: "es", 3: "de"}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(2)
     a = rng.standard_normal(16)
