@@ -1,15 +1,20 @@
 """Personal data: base patterns, and terms that disclose a protected entity by co-occurrence.
 
 The base patterns find e-mail addresses, IP addresses, payment card and phone numbers. Each found value is a
-protected entity e. The corpus then tells how much a term t near it discloses: with p over documents,
-PMI(t; e) = log p(t, e) / (p(t) p(e)) as a share of the information IC(e) = -log p(e). At a share of
-1 every document with t has e. Terms at ``THRESHOLD`` or above, seen around e in ``SUPPORT`` different
-contexts, become spans of kind ``term`` in the documents with e; ``sanitised`` generalises spans to
-their kind, and removes terms that disclose all (``REMOVE``).
-
-Counts cover all documents: document frequencies of candidate terms come from every text. Terms of an
-entity are words of ``REACH`` characters to either side, so a very frequent entity brings a bounded
-number of rows for each occurrence, reduced on the map side.
+protected entity e. The corpus then tells how much a term t (a word of four letters or more) discloses: with p
+over documents, PMI(t; e) = log p(t, e) / (p(t) p(e)) as a share of the information IC(e) = -log p(e). At a
+share of 1 every document with t has e. The doubt about small counts is in the estimate: p(e|t) is the lower
+end of its Wilson interval at ``Z``, so no count is left out and few sightings weigh less. Terms at ``THRESHOLD``
+or above for any entity become spans of kind ``term`` in all documents, with the entity or without it;
+``sanitised`` generalises spans to their kind, and removes terms that disclose all (``REMOVE``).
+
+Terms and entities meet anywhere in a document. Three steps bound the work and leave the result as it is:
+a share of ``THRESHOLD`` needs p(e|t) >= p(e)^(1 - THRESHOLD), and no more than all documents with e hold both, so only
+terms in at most n(e)^THRESHOLD N^(1 - THRESHOLD) documents can reach it; terms above the largest such bound are
+dropped before rows are shuffled, the ``FREQUENT`` commonest of them by a broadcast; and entities of the
+same documents, which have the same shares, are counted as one (sets of documents are told by 64-bit hashes).
+Words of all texts meet the disclosing terms by a shuffle of those whose hash falls into one of ``BUCKETS`` that
+a disclosing term falls into, and texts likewise their terms; at most so many numbers are broadcast.
 
 Defined results: null text is empty and has no spans. Patterns are matched from the left without overlap
 within a kind; a match that fails its test is dropped and not tried again. Positions count code
@@ -25,10 +30,12 @@ from tallyloom.llm.tables import written
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-SUPPORT = 3
 THRESHOLD = 0.8
 REMOVE = 0.95
-REACH = 100
+#: p(e|t) is at least the estimate with a confidence of 0.9.
+Z = 1.2816
+FREQUENT = 1 << 13
+BUCKETS = 1 << 20
 
 # The look-behinds start a match only at the start of a run, or where the last match ended. A match
 # that could start later in the run could start there too, and long runs are read once.
@@ -123,19 +130,14 @@ def _joined(spans: Column) -> Column:
 
 
 def _found(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Every document with its base spans; the text only where there are some."""
+    """Every document with its text and its base spans."""
     texts = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     kinds = texts.select("id", "text", *[spans.alias(kind) for kind, spans in base_spans(F.col("text")).items()])
     base = F.array_sort(F.concat(*[_labelled(F.col(kind), kind, i) for i, kind in enumerate(KINDS)]))
     rows = kinds.select(
         "id", "text", *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS], base.alias("base")
     )
-    return written(
-        rows.withColumn("text", F.when(F.size("base") > 0, F.col("text"))).withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "personal",
-    )
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "personal", "zstd")
 
 
 def _entity(kind: Column, value: Column) -> Column:
@@ -143,70 +145,76 @@ def _entity(kind: Column, value: Column) -> Column:
     return F.concat_ws(":", kind, plain)
 
 
-def _near(found: DataFrame) -> DataFrame:
-    """``(row, entity, context, term)``: the words around each base span."""
-    span = found.where(F.size("base") > 0).select("row", "text", F.explode("base").alias("span"))
-    first = F.greatest(F.lit(0), F.col("span.start") - REACH)
-    before = F.substring(F.col("text"), first + 1, F.col("span.start") - first)
-    after = F.substring(F.col("text"), F.col("span.end") + 1, F.lit(REACH))
-    # a word that the window cuts is no term
-    before = F.when(first > 0, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.when(F.length(after) == REACH, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    context = F.lower(F.concat(before, F.lit(" "), after))
-    return (
-        span.select("row", _entity(F.col("span.kind"), F.col("span.value")).alias("entity"), context.alias("around"))
-        .select("row", "entity", F.xxhash64("around").alias("context"),
-                F.explode(F.array_distinct(F.regexp_extract_all("around", F.lit(_WORDS), F.lit(0)))).alias("term"))
-    )
+def _terms(found: DataFrame) -> DataFrame:
+    """``(row, term)``: the distinct words of whole texts."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0)))
+    return found.select("row", F.explode(words).alias("term"))
+
+
+def _lower(both: Column, of: Column) -> Column:
+    """Lower end of the Wilson interval of ``both`` out of ``of``."""
+    p, z2 = both / of, Z * Z
+    return (p + z2 / (2 * of) - Z * F.sqrt(p * (1 - p) / of + z2 / (4 * of * of))) / (1 + z2 / of)
+
 
+def _most(with_entity: Column, documents: int) -> Column:
+    """A term in more documents than this cannot disclose the entity (a little is added for rounding)."""
+    return F.pow(with_entity, F.lit(THRESHOLD)) * documents ** (1 - THRESHOLD) * (1 + 1e-9)
 
-def disclosures(docs: DataFrame, found: DataFrame, text_column: str = "text") -> DataFrame:
-    """``(entity, term, share)`` of the terms that disclose an entity."""
-    near = _near(found)
+
+def disclosures(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(term, share)`` of the terms that disclose an entity, with the largest share, and the
+    commonest terms, which disclose none."""
+    values = F.array_distinct(F.transform("base", lambda s: _entity(s["kind"], s["value"])))
+    held = written(found.where(F.size("base") > 0).select("row", F.explode(values).alias("entity")), "held")
+    entities = held.groupBy("entity").agg(
+        F.count("*").alias("with_entity"), F.min("row").alias("first"), F.bit_xor(F.xxhash64("row")).alias("rows")
+    )
+    documents = found.count()
+    entities = written(entities.where(F.col("with_entity") < documents), "entities")
+    limit = entities.agg(F.max(_most(F.col("with_entity"), documents))).first()[0] or 0.0
+    counts = written(_terms(found).groupBy("term").agg(F.count("*").alias("with_term")), "terms")
+    frequent = counts.where(F.col("with_term") > limit).orderBy(F.desc("with_term"), "term").limit(FREQUENT)
+    frequent = written(frequent.select("term"), "frequent")
+    rare = counts.where(F.col("with_term") <= limit)
+    # entities of the same documents are one class
+    classes = held.join(entities, "entity").groupBy("row", "with_entity", "first", "rows").agg(F.lit(1).alias("one"))
+    terms = _terms(found.where(F.size("base") > 0)).join(F.broadcast(frequent), "term", "left_anti").join(rare, "term")
     together = (
-        near.groupBy("entity", "term", "context", "row").agg(F.lit(1).alias("one"))
-        .groupBy("entity", "term", "context").agg(F.count("*").alias("rows"))
-        .groupBy("entity", "term").agg(F.sum("rows").alias("both"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= SUPPORT)
+        classes.join(terms, "row").where(F.col("with_term") <= _most(F.col("with_entity"), documents))
+        .groupBy("with_entity", "first", "rows", "term", "with_term").agg(F.count("*").alias("both"))
     )
-    together = written(together, "together")
-    with_entity = (
-        found.where(F.size("base") > 0)
-        .select(F.explode(F.array_distinct(F.transform("base", lambda s: _entity(s["kind"], s["value"])))).alias("entity"))
-        .groupBy("entity").agg(F.count("*").alias("with_entity"))
-    )
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_column)), F.lit(_WORDS), F.lit(0)))
-    with_term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("with_term"))
-    documents = F.lit(found.count())
-    pmi = F.log2(F.col("both") * documents / (F.col("with_term") * F.col("with_entity")))
+    pmi = F.log2(_lower(F.col("both"), F.col("with_term")) * documents / F.col("with_entity"))
     information = F.log2(documents / F.col("with_entity"))
-    return (
-        together.join(with_entity, "entity").join(with_term, "term")
-        .where(F.col("with_entity") < documents)
-        .select("entity", "term", (pmi / information).alias("share"))
+    shares = (
+        together.select("term", (pmi / information).alias("share"))
         .where(F.col("share") >= THRESHOLD)
+        .groupBy("term").agg(F.max("share").alias("share"))
     )
+    return written(shares, "disclosures"), frequent
+
+
+def _bucketed(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """The inner join of a written table ``few``; rows of ``many`` in no bucket of it are dropped before the shuffle."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")
+    buckets = written(few.select(bucket).distinct(), "buckets")
+    return many.select("*", bucket).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket").join(few, key)
 
 
 def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256``,
-    ``spans``, and for the sanitiser ``text`` (null without base spans) and ``found`` (all spans)."""
+    ``spans``, and for the sanitiser ``text`` and ``found`` (all spans)."""
     found = _found(docs, id_column, text_column)
-    shares = written(disclosures(docs, found, text_column), "disclosures")
-    entities = found.where(F.size("base") > 0).select(
-        "row", F.explode(F.array_distinct(F.transform("base", lambda s: _entity(s["kind"], s["value"])))).alias("entity")
+    shares, frequent = disclosures(found)
+    # a disclosing term is marked wherever it stands
+    words = _terms(found).join(F.broadcast(frequent), "term", "left_anti")
+    terms = _bucketed(words, shares, "term").groupBy("row").agg(
+        F.sort_array(F.collect_list("term")).alias("terms"),
+        F.collect_list(F.when(F.col("share") >= REMOVE, F.col("term"))).alias("full"),
     )
-    terms = (
-        entities.join(shares, "entity")
-        .groupBy("row", "term").agg(F.max("share").alias("share"))
-        .groupBy("row").agg(
-            F.sort_array(F.collect_list("term")).alias("terms"),
-            F.collect_list(F.when(F.col("share") >= REMOVE, F.col("term"))).alias("full"),
-        )
-    )
-    rows = found.join(terms, "row", "left")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
-    rows = rows.withColumn("hits", F.when(F.col("terms").isNotNull(), spans_of(F.col("text"), pattern)))
+    marked = _bucketed(found.select("row", "text"), written(terms, "marks"), "row")
+    rows = found.join(marked.select("row", spans_of(F.col("text"), pattern).alias("hits"), "full"), "row", "left")
     apart = F.filter(
         F.coalesce("hits", F.expr(f"cast(array() as {_SPAN})")),
         lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])),

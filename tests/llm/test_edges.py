@@ -340,6 +340,25 @@ def test_terms_that_disclose(spark):
     assert "Zebulon" not in by_id[0]["sanitised"] and by_id[20]["sanitised"] is None
 
 
+def terms_of(spark, rows) -> dict[int, set[str]]:
+    """The terms marked in each document."""
+    texts, found = {i: t for i, t, _ in rows}, {}
+    for r in pii.personal_data(docs(spark, rows)).collect():
+        spans = [span.split(":") for span in r["spans"].split(",") if span]
+        found[r["doc_id"]] = {texts[r["doc_id"]][int(a) : int(b)] for kind, a, b in spans if kind == "term"}
+    return found
+
+
+def test_terms_of_few_contexts(spark):
+    """Copies count as documents, and two sightings in a large table are enough."""
+    rows = [(i, f"Zebulon writes from zeb@home.org {prose(1, 20)}", "a") for i in range(5)]
+    rows += [(i, f"Quillon {prose(i, 9)} quill@home.net", "a") for i in (5, 6)]
+    rows += [(i, f"{prose(i, 20)} writes from", "a") for i in range(7, 500)]
+    found = terms_of(spark, rows)
+    assert all("Zebulon" in found[i] and "writes" not in found[i] for i in range(5))
+    assert "Quillon" in found[5] and "Quillon" in found[6]
+
+
 def test_warc(spark, tmp_path):
     payloads = ["", None, "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n", "x" * 3_000_000, "same", "same", "same", "ends\r\n", "\r", "日本\n"]
     rows = [(i, f"http://h/{i} \r\n", p) for i, p in enumerate(payloads)] + [(None, None, "same"), (4, "http://h/4", "same")]
