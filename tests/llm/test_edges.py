@@ -359,6 +359,15 @@ def test_terms_of_few_contexts(spark):
     assert "Quillon" in found[5] and "Quillon" in found[6]
 
 
+def test_terms_far_from_the_entity(spark):
+    """Terms and entities meet anywhere in a document."""
+    far = "common words " * 40
+    rows = [(i, f"Zebulon {far}{prose(i, 30)} {far}zeb@home.org", "a") for i in range(5)]
+    rows += [(i, f"{prose(i, 40)} common words", "a") for i in range(5, 40)]
+    found = terms_of(spark, rows)
+    assert all("Zebulon" in found[i] and not found[i] & {"common", "words"} for i in range(5))
+
+
 def test_warc(spark, tmp_path):
     payloads = ["", None, "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n", "x" * 3_000_000, "same", "same", "same", "ends\r\n", "\r", "日本\n"]
     rows = [(i, f"http://h/{i} \r\n", p) for i, p in enumerate(payloads)] + [(None, None, "same"), (4, "http://h/4", "same")]
