@@ -368,6 +368,15 @@ def test_terms_far_from_the_entity(spark):
     assert all("Zebulon" in found[i] and not found[i] & {"common", "words"} for i in range(5))
 
 
+def test_terms_without_the_entity(spark):
+    """A disclosing term is marked where the entity does not stand."""
+    rows = [(i, f"{prose(i, 30)} Zebulon writes from zeb@home.org", "a") for i in range(9)]
+    rows += [(9, f"{prose(9, 30)} zebulon, alone", "a")]
+    rows += [(i, f"{prose(i, 40)} common words", "a") for i in range(10, 100)]
+    found = terms_of(spark, rows)
+    assert found[9] == {"zebulon"} and all("Zebulon" in found[i] for i in range(9)) and not found[50]
+
+
 def test_warc(spark, tmp_path):
     payloads = ["", None, "a\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n", "x" * 3_000_000, "same", "same", "same", "ends\r\n", "\r", "日本\n"]
     rows = [(i, f"http://h/{i} \r\n", p) for i, p in enumerate(payloads)] + [(None, None, "same"), (4, "http://h/4", "same")]
