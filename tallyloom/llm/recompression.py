@@ -299,7 +299,10 @@ def remove_repeats(
         .groupBy("whole_sha256").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
         .where("copies > 1").drop("copies")
     )
-    copies = whole.join(firsts, "whole_sha256").where("doc_id > first_id").select("doc_id", "whole_sha256")
+    copies = whole.join(firsts, "whole_sha256").where("doc_id > first_id").groupBy("doc_id").agg(F.count("*").alias("copied"))
+    # an id that also has a text of its own stays
+    rows_of_id = whole.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    gone = copies.join(rows_of_id, "doc_id").where("copied = rows").select("doc_id")
     named = found.where("anchor is not null and doc_id is not null").select("doc_id", "anchor")
     # both sides of the joins below are written tables: a frequent key is then a skew that can be split
     shared = named.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -307,7 +310,7 @@ def remove_repeats(
     of_doc = (
         named.join(shared, "anchor")
         .groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-        .join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
+        .join(gone, "doc_id", "left_anti")
     )
     candidates = written(texts.join(of_doc, "doc_id").withColumn("row", F.monotonically_increasing_id()), "candidates")
     windows = candidates.mapInArrow(_tied_windows(window, rounds), "doc_id long, row long, place int, hash long")

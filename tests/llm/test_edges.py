@@ -419,6 +419,15 @@ def test_repeated_passages(spark, odd, none):
     assert recompression.remove_repeats(none).count() == 0
 
 
+def test_repeated_passages_of_a_repeated_id(spark):
+    """A copy does not take another text of its id out of the candidates."""
+    copied, shared, later = prose(900, 80), prose(901, 60), prose(902, 60)
+    rows = [(1, copied), (2, shared + " end"), (7, copied), (7, f"{shared} {later}"), (9, f"{later} rest")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["n_removed"]) for r in recompression.remove_repeats(frame).collect())
+    assert found == [(1, 0), (2, 0), (7, 60), (7, 80), (9, 60)]
+
+
 def test_repeated_passages_by_brute_force(spark):
     """Runs, periods, repeats at ends, passages that many share, windows with one letter."""
     rng = random.Random(6)
