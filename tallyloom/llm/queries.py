@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import embeddings, exact_dedup, jaccard_join, language, mixing, packing, pii, quality, recompression, warc
+from tallyloom.llm import (
+    class_ngrams,
+    embeddings,
+    exact_dedup,
+    hard_negatives,
+    jaccard_join,
+    language,
+    mixing,
+    packing,
+    pii,
+    quality,
+    recompression,
+    vector_codes,
+    warc,
+)
 from tallyloom.llm.sql import ORACLES
 from tallyloom.llm.tables import table
 
@@ -62,6 +76,25 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = class_ngrams.score_documents(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    vectors = vectors.withColumn("label", hard_negatives.shifted(F.col("label"), F.col("vec_id")))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc_revisits": op2_warc_revisits,
@@ -73,4 +106,7 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_personal_data": op9_personal_data,
     "op10_repeated_passages": op10_repeated_passages,
+    "op11_lm_scores": op11_lm_scores,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_hard_negatives": op13_hard_negatives,
 }

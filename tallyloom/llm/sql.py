@@ -168,6 +168,72 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n, 0) as n_removed,
 from words left join removed using (doc_id) left join left_over using (doc_id)
 """
 
+_FIXED = "[cast(floor(256 * cast(x as double)) as bigint) for x in embedding]"
+_FINITE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+_DISTANCE = "list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+
+
+def _assigned(step: int) -> str:
+    return f"""assigned{step} as materialized (
+  select vec_id, part, arg_min(entry, apart * 64 + entry) as entry, cast(min(apart) as bigint) as apart
+  from (select p.vec_id, p.part, b.entry, {_DISTANCE} as apart from pieces p join books{step} b using (part))
+  group by vec_id, part
+)"""
+
+
+def _moved_books(step: int) -> str:
+    return f"""means{step} as (
+  select part, entry, list(m order by place) as v from (
+    select part, entry, place, cast(floor(cast(sum(x) as double) / count(*)) as bigint) as m
+    from (select part, entry, unnest(v) as x, unnest(range(1, len(v) + 1)) as place
+          from assigned{step - 1} join pieces using (vec_id, part))
+    group by part, entry, place) group by part, entry
+), books{step} as materialized (
+  select part, entry, coalesce(n.v, o.v) as v from books{step - 1} o left join means{step} n using (part, entry)
+)"""
+
+
+VECTOR_CODES = f"""
+with kept as materialized (select vec_id, label, {_FIXED} as v from embeddings where {_FINITE}),
+pieces as materialized (
+  select vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] as v
+  from (select vec_id, v, unnest(range(16)) as part from kept)
+), books0 as materialized (
+  select part, entry, v from pieces join (
+    select vec_id, row_number() over (order by vec_id) - 1 as entry from kept order by vec_id limit 64) using (vec_id)
+), {_assigned(0)}, {_moved_books(1)}, {_assigned(1)}, {_moved_books(2)}, {_assigned(2)},
+final as (
+  select vec_id, string_agg(lower(printf('%02x', cast(entry as integer))), '' order by part) as code, cast(sum(apart) as bigint) as error
+  from assigned2 group by vec_id
+), digest as (
+  select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) as codebooks_sha256 from books2
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from final join kept using (vec_id) cross join digest
+"""
+
+HARD_NEGATIVES = f"""
+with rows as materialized (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, {_FIXED} as v
+  from embeddings where label is not null and {_FINITE}
+), scored as materialized (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+         cast(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) as bigint) as score
+  from (select * from rows where vec_id % 100 = 0) a join rows b on a.vec_id <> b.vec_id
+), positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over best as integer) as rank, other_id as negative_id,
+       positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and score <= positive_score
+window best as (partition by anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over best <= 5
+"""
+
 ORACLES = {
     "op1_exact_dedup": EXACT_DEDUP,
     "op2_warc_revisits": WARC_REVISITS,
@@ -175,4 +241,6 @@ ORACLES = {
     "op4_source_mix": SOURCE_MIX,
     "op8_embeddings": EMBEDDINGS,
     "op10_repeated_passages": REPEATED_PASSAGES,
+    "op12_vector_codes": VECTOR_CODES,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }
