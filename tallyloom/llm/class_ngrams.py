@@ -3,28 +3,31 @@
 Tokens are the words of a text with A-Z in lower case, then one end of text. Every word belongs to one class, and
 P(w | v) = P(class of w | class of v) P(w | class of w), where the first word follows an end.
 
-Exchange clustering. Bigrams of the whole training corpus are counted once. In each round a word's counts before
-and after it, by class, tell for every class how much the likelihood of the corpus changes if the word moves there;
-the word takes the best class (the lower one of equals). All words of a round are weighed against the same
-class counts, so the result does not depend on the partitioning, and as moves at one time could chase
-each other, a round moves half of the words, by their hash. Words seen fewer than ``OFTEN`` times are one class
-while the others move, and then take their best class in the same way. The assignment with the greatest
-likelihood of all rounds is kept.
+Exchange clustering. A word's counts of classes after it and before it tell, for every class, how much the
+likelihood of the corpus changes if the word moves there; the word takes the best class (the lower one of
+equals). Words are weighed against the class counts at the start of a round, so the result does not depend on the
+partitioning; as moves at one time could chase each other, a round moves half of the words, by their
+hash, and where the likelihood falls all the same it goes back and moves half as many. The ``BANDS[0]`` commonest words are exchanged for ``ROUNDS`` rounds, while all others are one class of their own, and the
+assignment of the greatest likelihood stays. Then the next commonest words leave that class for their best one, a
+band of ranks at a time, and at last all the other words do.
 
 Smoothing. Class transitions are interpolated with the class frequencies by Witten-Bell weights. In each class the words
 seen once stand for the words not seen: an unknown word has the class's share of them. Its class is not known, so the
 score sums over all classes it could have (a forward step). The probabilities of all words and one unknown word
 add up to 1 after every class.
 
-At scale. A text is read twice: for its bigrams, and for its score. The ``LOCAL`` commonest words travel to the tasks
-with their classes and counts, and all that lies between them is scored where the text is read. The other
-tokens meet the word table by a shuffle of (document, position, word), without the text; the word table
-is written first, so a frequent word that training has not seen can be split. Class tables have ``CLASSES`` squared numbers;
-these, the sums of the word table and the ``LOCAL`` words are all that reaches the driver. Words are told by 64-bit hashes.
+At scale. Texts are read twice: to count words, and to turn them into numbers, which are written. The ``LOCAL`` commonest
+words of all texts travel to the tasks (as hashes, counts and classes); a round is a pass over the numbers
+that leaves counts of (word, class) by blocks of words, added up by block. Tokens of other
+words meet by word, to get their class and count, and go back to their texts, all without the text. A word that is
+not among the commonest has at most one in ``LOCAL`` of all tokens, so no word is a hot spot; a common word that
+training lacks is not sent to its name. The driver holds ``LOCAL`` words and class tables, whatever the
+corpus. Words are told by 64-bit hashes.
 
 Defined results: null text is empty and consists of its end. A row without id is for training. Rows that repeat are texts of
-their own. Without training rows every class is equally likely and ``base_score`` is 0. An empty table gives no
-rows. Very long texts are read in slices of rows; one text has to fit a task. Columns beyond the two named ones are ignored, whatever their names.
+their own. Without training rows all but the end is unknown and ``base_score`` is 0. An empty table gives no
+rows. A text of any length is read whole; one text has to fit a task. Columns beyond the two named ones are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -38,24 +41,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.tables import written
-from tallyloom.llm.words import LOWER, slices, word_hashes
+from tallyloom.llm.words import LOWER, mix, slices, word_hashes
 
 CLASSES = 64
-ROUNDS = 12
-OFTEN = 4
-LOCAL = 1 << 17
-#: The end of a text, and the words seen seldom, as names beside the hashes of words.
-END, SELDOM = np.int64(1), np.int64(2)
-_END_CLASS, _SELDOM_CLASS = 0, 1
+ROUNDS = 10
+BANDS = (1 << 14,)
+LOCAL = 1 << 18
+_END, _OPEN, _FIRST = 0, 1, 2
+_END_CLASS, _OPEN_CLASS = 0, 1
 _WORDS_AT_ONCE = 2048
 _ENTRIES_AT_ONCE = 1 << 14
+_TOKENS_AT_ONCE = 4 << 20
+_BLOCK = 256
 _SLICE = 8 << 20
 
 
+class Common(NamedTuple):
+    """The commonest words by rank: hash, and count in the training texts."""
+
+    word: np.ndarray
+    n: np.ndarray
+
+
 class Model(NamedTuple):
-    """The word table ``(word, n, class)``, and what the tasks need of the classes."""
+    """Classes and counts of the common words (``kind`` by number, with end and open first), and the class tables."""
 
-    words: DataFrame
+    common: Common
+    kind: np.ndarray
+    texts: int
     tokens: int
     distinct: int
     transitions: np.ndarray
@@ -63,65 +76,166 @@ class Model(NamedTuple):
     unknown: np.ndarray
 
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of the rows, and the index of each row's first one (one more than rows)."""
-    words, bounds = word_hashes(column, LOWER)
-    stream = np.insert(words.view(np.int64), bounds[1:], END)
-    return stream, bounds + np.arange(len(bounds))
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[np.ndarray] = []
+    size = 0
 
+    def counted() -> pa.RecordBatch:
+        word, at = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        n = np.bincount(at, minlength=len(word))
+        train = np.bincount(at, weights=np.concatenate([t for _, t in held]), minlength=len(word)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(word), pa.array(train), pa.array(n)], ["word", "n", "all"])
 
-def _bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text", _SLICE):
-            stream, _ = _tokens(part.column("text"))
-            names, code = np.unique(stream, return_inverse=True)
-            before = np.empty_like(code)
-            before[1:] = code[:-1]
-            before[:1] = np.searchsorted(names, END)
-            pair, n = np.unique(before * len(names) + code, return_counts=True)
-            columns = [names[pair // len(names)], names[pair % len(names)], n]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["before", "word", "n"])
+            words, bounds = word_hashes(part.column("text"), LOWER)
+            train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            held.append((words.view(np.int64), np.repeat(train, np.diff(bounds))))
+            size += len(words)
+            if size >= _TOKENS_AT_ONCE:
+                yield counted()
+                held, size = [], 0
+    if held:
+        yield counted()
 
 
-def bigrams(texts: DataFrame) -> DataFrame:
-    """``(before, word, n)`` of all rows of ``text``, as a written table."""
-    pairs = texts.select("text").mapInArrow(_bigrams, "before long, word long, n long")
-    pairs = pairs.groupBy("before", "word").agg(F.sum("n").alias("n"))
-    return written(pairs.sortWithinPartitions("before", "word"), "bigrams", "zstd")
+def count_words(texts: DataFrame) -> DataFrame:
+    """``(word, n, all)``: occurrences in the training texts and in all, as a written table."""
+    counts = texts.select("held_out", "text").mapInArrow(_counts, "word long, n long, all long")
+    return written(counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("all").alias("all")), "words")
 
 
-def _named(pairs: DataFrame, words: DataFrame, column: str, name: str) -> DataFrame:
-    """The class of the word in ``column`` as ``name``."""
-    return pairs.join(words.select(F.col("word").alias(column), F.col("class").alias(name)), column)
+def commonest(counts: DataFrame, limit: int) -> Common:
+    rows = counts.orderBy(F.desc("all"), "word").limit(limit).select("word", "n").toArrow()
+    return Common(np.asarray(rows.column("word"), dtype=np.int64), np.asarray(rows.column("n"), dtype=np.int64))
 
 
-def _matrix(pairs: DataFrame, classes: int) -> np.ndarray:
-    """Counts of class after class."""
-    counts = pairs.groupBy("class_before", "class").agg(F.sum("n").alias("n")).collect()
-    matrix = np.zeros((classes, classes))
-    for r in counts:
-        matrix[r["class_before"], r["class"]] = r["n"]
-    return matrix
+def _numbers(common: Common):
+    order = np.argsort(common.word)
+    names = common.word[order]
 
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", _SLICE):
+                words, bounds = word_hashes(part.column("text"), LOWER)
+                words = words.view(np.int64)
+                code = np.full(len(words), _OPEN, dtype="<u4")
+                if len(names):
+                    at = np.minimum(np.searchsorted(names, words), len(names) - 1)
+                    found = names[at] == words
+                    code[found] = order[at[found]] + _FIRST
+                places = np.flatnonzero(code == _OPEN)
+                opened = words[places].astype("<i8")
+                stream = np.insert(code, bounds[1:], _END)
+                bounds_open = np.searchsorted(places, bounds)
+                bounds = bounds + np.arange(len(bounds))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("id"), part.column("held_out"),
+                        pa.array([stream[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
+                        pa.array([opened[a:b].tobytes() for a, b in zip(bounds_open[:-1], bounds_open[1:], strict=True)], pa.binary()),
+                    ],
+                    ["id", "held_out", "codes", "open"],
+                )
 
-def _profiles(pairs: DataFrame, classes: int, moving: Column) -> DataFrame:
-    """For each word that may move, its class and counts by class after it (from 0) and before it (from ``classes``).
+    return number
 
-    ``moving`` is a condition on ``word``. A word has at most twice as many counts as there are classes.
-    """
-    after = pairs.select(
-        F.col("before").alias("word"), F.col("class_before").alias("own"), F.col("class").alias("at"), "n",
-        F.when(F.col("before") == F.col("word"), F.col("n")).otherwise(0).alias("self"),
-    )
-    before = pairs.select(
-        "word", F.col("class").alias("own"), (F.col("class_before") + classes).alias("at"), "n", F.lit(0).cast("long").alias("self")
-    )
-    counts = after.where(moving).union(before.where(moving)).groupBy("word", "own", "at").agg(
-        F.sum("n").alias("n"), F.sum("self").alias("self")
-    )
-    return counts.groupBy("word", "own").agg(
-        F.collect_list(F.struct("at", "n")).alias("counts"), F.sum("self").alias("self")
+
+def numbered(texts: DataFrame, common: Common) -> DataFrame:
+    """Texts as numbers: a written table of ``id``, ``held_out``, ``codes`` (end 0, other words 1, common words
+    from 2 by rank), ``open`` (the hashes of the other words) and ``row``."""
+    rows = texts.select("id", "held_out", "text").mapInArrow(
+        _numbers(common), "id long, held_out boolean, codes binary, open binary"
     )
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "numbers", "zstd")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], limit: int = _TOKENS_AT_ONCE) -> Iterator[np.ndarray]:
+    """The numbers of whole texts one after the other, about ``limit`` at a time."""
+    held, size = [], 0
+    for batch in batches:
+        for value in batch.column("codes").to_pylist():
+            held.append(value)
+            size += len(value) // 4
+            if size >= limit:
+                yield np.frombuffer(b"".join(held), dtype="<u4")
+                held, size = [], 0
+    if held:
+        yield np.frombuffer(b"".join(held), dtype="<u4")
+
+
+def _blob(at: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    return at.astype("<u2").tobytes(), n.astype("<i8").tobytes()
+
+
+_PROFILES = "block long, at binary, n binary"
+
+
+def _profile(kind: np.ndarray, turn: np.ndarray, classes: int):
+    """Counts of (word, class after, class before) for the words whose turn it is, and of class after class."""
+    slot = np.full(len(kind), -1, dtype=np.int64)
+    slot[turn] = np.arange(len(turn))
+    wide = 2 * classes + 1
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix = np.zeros(classes * classes, dtype=np.int64)
+        for stream in _runs(batches):
+            before = np.r_[np.uint32(_END), stream[:-1]]
+            here, there = kind[stream], kind[before]
+            matrix += np.bincount(there * classes + here, minlength=classes * classes)
+            one, other = slot[before], slot[stream]
+            left, right = one >= 0, other >= 0
+            same = left & (before == stream)
+            cells = np.concatenate(
+                [one[left] * wide + here[left], other[right] * wide + classes + there[right], one[same] * wide + 2 * classes]
+            )
+            cell, n = np.unique(cells, return_counts=True)
+            blocks, starts = np.unique(cell // (wide * _BLOCK), return_index=True)
+            ends = np.r_[starts, len(cell)][1:]
+            blobs = [_blob(cell[a:b] - k * wide * _BLOCK, n[a:b]) for k, a, b in zip(blocks, starts, ends, strict=True)]
+            if blobs:
+                at, counts = zip(*blobs, strict=True)
+                yield _profile_rows(blocks.tolist(), at, counts)
+        at = np.flatnonzero(matrix)
+        if len(at):
+            yield _profile_rows([-1], *([x] for x in _blob(at, matrix[at])))
+
+    return profile
+
+
+def _profile_rows(block, at, n) -> pa.RecordBatch:
+    columns = [pa.array(block, pa.int64()), pa.array(list(at), pa.binary()), pa.array(list(n), pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["block", "at", "n"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block, added up."""
+    total, now = np.zeros(1 << 16, dtype=np.int64), None
+
+    def done() -> pa.RecordBatch:
+        at = np.flatnonzero(total)
+        return _profile_rows([now], *([x] for x in _blob(at, total[at])))
+
+    for batch in batches:
+        for block, at, n in zip(*(batch.column(c).to_pylist() for c in ("block", "at", "n")), strict=True):
+            if block != now:
+                if now is not None:
+                    yield done()
+                total[:], now = 0, block
+            total[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+    if now is not None:
+        yield done()
+
+
+def _profiles(train: DataFrame, kind: np.ndarray, turn: np.ndarray, classes: int) -> tuple[DataFrame, np.ndarray]:
+    """The counts of the words in ``turn``, and of class after class."""
+    parts = train.select("codes").mapInArrow(_profile(kind, turn, classes), _PROFILES)
+    parts = parts.repartition("block").sortWithinPartitions("block")
+    blocks = written(parts.mapInArrow(_added, _PROFILES), "profiles", "zstd")
+    matrix = np.zeros(classes * classes)
+    for r in blocks.where("block = -1").collect():
+        matrix[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<i8")
+    return blocks.where("block >= 0"), matrix.reshape(classes, classes)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -177,163 +291,324 @@ def gains(
     return gain
 
 
-def _moves(matrix: np.ndarray):
+def _best(own: np.ndarray, gain: np.ndarray) -> np.ndarray:
+    """The best class of each word but the end's; a word moves only if that is better than staying."""
+    gain[:, _END_CLASS] = -np.inf
+    stay = gain[np.arange(len(own)), own]
+    return np.where(gain.max(axis=1) > stay + 1e-9 * np.maximum(1, np.abs(stay)), gain.argmax(axis=1), own)
+
+
+def _moves(kind: np.ndarray, turn: np.ndarray, matrix: np.ndarray):
+    classes = len(matrix)
+    wide = 2 * classes + 1
+
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, _WORDS_AT_ONCE):
-                part = batch.slice(i, _WORDS_AT_ONCE)
-                lists = part.column("counts")
-                size = np.diff(np.asarray(lists.offsets))
-                entries = lists.flatten()
-                own = np.asarray(part.column("own"), dtype=np.int64)
-                gain = gains(
-                    own, np.repeat(np.arange(len(own)), size), np.asarray(entries.field("at"), dtype=np.int64),
-                    np.asarray(entries.field("n")), np.asarray(part.column("self")), matrix,
-                )
-                gain[:, _END_CLASS] = -np.inf
-                stay = gain[np.arange(len(own)), own]
-                best = gain.argmax(axis=1)
-                best = np.where(gain.max(axis=1) > stay + 1e-9 * np.maximum(1, np.abs(stay)), best, own)
-                yield pa.RecordBatch.from_arrays([part.column("word"), pa.array(best.astype(np.int32))], ["word", "to"])
+            for block, at, n in zip(*(batch.column(c).to_pylist() for c in ("block", "at", "n")), strict=True):
+                slot, cell = np.divmod(np.frombuffer(at, "<u2").astype(np.int64), wide)
+                n = np.frombuffer(n, "<i8")
+                seen, word = np.unique(slot, return_inverse=True)
+                code = turn[seen + block * _BLOCK]
+                repeats = np.zeros(len(seen))
+                again = cell == 2 * classes
+                repeats[word[again]] = n[again]
+                gain = gains(kind[code], word[~again], cell[~again], n[~again], repeats, matrix)
+                best = _best(kind[code], gain)
+                yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(best)], ["code", "to"])
 
     return move
 
 
-def _moved(words: DataFrame, profiles: DataFrame, matrix: np.ndarray) -> DataFrame:
-    moves = profiles.mapInArrow(_moves(matrix), "word long, to int").withColumnRenamed("word", "moved")
-    rows = words.join(moves, F.col("word") == F.col("moved"), "left")
-    return written(rows.select("word", "n", F.coalesce("to", "class").alias("class")), "classes")
+def cluster(
+    train: DataFrame, common: Common, classes: int = CLASSES, rounds: int = ROUNDS, bands: tuple[int, ...] = BANDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """The class of each number, and the counts of class after class, with words that are not common as one more class."""
+    if classes < 3:
+        raise ValueError("three classes at least: ends, other words, and words")
+    size = len(common.word)
+    kind = np.full(size + _FIRST, _OPEN_CLASS, dtype=np.int64)
+    kind[_END] = _END_CLASS
+    drawn = mix(common.word.view(np.uint64))
+    first = min(size, bands[0])
+    kind[_FIRST : first + _FIRST] = _FIRST + (drawn[:first] % np.uint64(classes - _FIRST)).astype(np.int64)
+    group = (drawn >> np.uint64(40)).astype(np.int64)
+
+    def moved(kind: np.ndarray, turn: np.ndarray, blocks: DataFrame, matrix: np.ndarray) -> np.ndarray:
+        moves = blocks.mapInArrow(_moves(kind, turn, matrix), "code long, to long").toArrow()
+        kind = kind.copy()
+        kind[np.asarray(moves.column("code"), dtype=np.int64)] = np.asarray(moves.column("to"))
+        return kind
+
+    best, groups = None, 2
+    for step in range(rounds + 1):
+        turn = np.flatnonzero(group[:first] % groups == step % groups) + _FIRST if step < rounds else np.zeros(0, dtype=np.int64)
+        blocks, matrix = _profiles(train, kind, turn, classes)
+        if best is None or likelihood(matrix) >= best[0]:
+            best = likelihood(matrix), kind
+            if step < rounds:
+                kind = moved(kind, turn, blocks, matrix)
+        else:
+            kind, groups = best[1], 2 * groups
+    kind = best[1]
+    for low, high in zip(bands, [*bands[1:], size], strict=True):
+        if min(high, size) > low:
+            turn = np.arange(low, min(high, size)) + _FIRST
+            blocks, matrix = _profiles(train, kind, turn, classes)
+            kind = moved(kind, turn, blocks, matrix)
+    apart = kind.copy()
+    apart[_OPEN] = classes
+    return kind, _profiles(train, apart, np.zeros(0, dtype=np.int64), classes + 1)[1]
+
+
+def _together(matrix: np.ndarray) -> np.ndarray:
+    """The counts with the last class as part of the class of words that have not moved yet."""
+    both = matrix.copy()
+    both[_OPEN_CLASS] += both[-1]
+    both[:, _OPEN_CLASS] += both[:, -1]
+    return both[:-1, :-1]
+
+
+_OPENED = "word long, row long, place long, train boolean, before short, after short"
+_MET = "word long, row long, place long, train boolean, before short, after short, class short, n long"
+
+
+def _open(common: Common, kind: np.ndarray):
+    """The tokens that are not scored where the numbers are read, with the classes around them (-1: as open)."""
+    seen = np.r_[True, False, common.n > 0]
+    near = np.where(seen, kind, -1).astype(np.int16)
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, others = batch.column("codes").to_pylist(), batch.column("open").to_pylist()
+            row, held = np.asarray(batch.column("row")), batch.column("held_out").to_numpy(zero_copy_only=False)
+            for a, b in _cuts([len(t) // 4 for t in texts]):
+                stream = np.frombuffer(b"".join(texts[a:b]), "<u4")
+                bounds = np.r_[0, np.cumsum([len(t) // 4 for t in texts[a:b]])]
+                around = near[stream]
+                places = np.flatnonzero(around < 0)
+                at = np.searchsorted(bounds, places, side="right") - 1
+                # a common word that training lacks is unknown: it needs a name only to be spread
+                salt = np.bitwise_xor.reduce(stream) if len(stream) else 0
+                word = mix(places.astype(np.uint64) + (np.uint64(salt) << np.uint64(32))).view(np.int64)
+                real = stream[places] == _OPEN
+                word[real] = np.frombuffer(b"".join(others[a:b]), "<i8")
+                before = np.r_[np.int16(_END_CLASS), around[:-1]][places]
+                columns = [
+                    word, row[a:b][at], places - bounds[at], real & ~held[a:b].astype(bool)[at], before, around[places + 1]
+                ]
+                names = ["word", "row", "place", "train", "before", "after"]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return opened
+
+
+def _cuts(sizes: list[int], limit: int = _TOKENS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    first, total = 0, 0
+    for i, n in enumerate(sizes):
+        if total and total + n > limit:
+            yield first, i
+            first, total = i, 0
+        total += n
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def _whole(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Sorted rows in runs that hold all rows of each of their keys."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.asarray(batch.column(key))
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if held and (cut or keys[0] != last):
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif cut:
+            yield pa.Table.from_batches([batch.slice(0, cut)])
+        held.append(batch.slice(cut))
+        last = keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)
 
 
-def cluster(pairs: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, often: int = OFTEN) -> tuple[DataFrame, np.ndarray]:
-    """``(word, n, class)`` for every word, and the counts of class after class."""
-    if classes < 3:
-        raise ValueError("three classes at least: ends, seldom words and others")
-    counts = written(pairs.groupBy("word").agg(F.sum("n").alias("n")), "words")
-    first = (F.pmod(F.col("word"), F.lit(classes - 2)) + 2).cast("int")
-    first = F.when(F.col("word") == int(END), _END_CLASS).when(F.col("n") < often, _SELDOM_CLASS).otherwise(first)
-    words = written(counts.select("word", "n", first.alias("class")), "classes")
-    common = words.where(F.col("class") != _SELDOM_CLASS)
-
-    def name(column: str) -> Column:
-        return F.when(F.col("common").isNull(), F.lit(int(SELDOM))).otherwise(F.col(column)).alias(column)
-
-    few = pairs
-    for column in ("before", "word"):
-        few = few.join(common.select(F.col("word").alias("common")), F.col(column) == F.col("common"), "left").select(
-            *[name(c) if c == column else c for c in ("before", "word", "n")]
+def _meet(matrix: np.ndarray):
+    """Class and count for every token, from the training tokens of its word; a row with no place for each word."""
+    classes = len(matrix)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, "word"):
+            word, row, place = (np.asarray(table.column(c)) for c in ("word", "row", "place"))
+            train = np.asarray(table.column("train")).astype(bool)
+            before, after = np.asarray(table.column("before")), np.asarray(table.column("after"))
+            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            which = np.cumsum(np.r_[True, word[1:] != word[:-1]]) - 1
+            n = np.add.reduceat(train.astype(np.int64), starts)
+            again = (word[1:] == word[:-1]) & (row[1:] == row[:-1]) & (place[1:] == place[:-1] + 1) & train[1:]
+            repeats = np.bincount(which[1:][again], minlength=len(starts))
+            kind = np.full(len(starts), -1, dtype=np.int64)
+            known = np.flatnonzero(n)
+            slot = np.full(len(starts), -1)
+            slot[known] = np.arange(len(known))
+            sides = np.where(np.r_[after, before] < 0, _OPEN_CLASS, np.r_[after, before]).astype(np.int64)
+            sides[len(after) :] += classes
+            cells = (np.r_[slot[which], slot[which]] * 2 * classes + sides)[np.r_[train, train]]
+            cell, count = np.unique(cells, return_counts=True)
+            own = np.full(_WORDS_AT_ONCE, _OPEN_CLASS)
+            for i in range(0, len(known), _WORDS_AT_ONCE):
+                part = known[i : i + _WORDS_AT_ONCE]
+                a, b = np.searchsorted(cell, [i * 2 * classes, (i + len(part)) * 2 * classes])
+                w, at = np.divmod(cell[a:b] - i * 2 * classes, 2 * classes)
+                mine = own[: len(part)]
+                kind[part] = _best(mine, gains(mine, w, at, count[a:b], repeats[part].astype(float), matrix))
+            names = word[starts[known]]
+            empty = np.full(len(known), -1)
+            columns = [
+                np.r_[word, names], np.r_[row, empty], np.r_[place, empty], np.r_[train, np.ones(len(known), bool)],
+                np.r_[before, empty], np.r_[after, empty], np.r_[kind[which], kind[known]], np.r_[n[which], n[known]],
+            ]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int16(), pa.int16(), pa.int16(), pa.int64()]
+            arrays = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in _MET.split(", ")])
+
+    return meet
+
+
+_CHAINS = "row long, train boolean, kind binary, n binary, previous binary, after binary, leads binary"
+
+
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per text: its open tokens in order, each with the class before it and the class after it."""
+    for table in _whole(batches, "row"):
+        row, place, kind, n, before, after = (
+            np.asarray(table.column(c)).astype(np.int64) for c in ("row", "place", "class", "n", "before", "after")
         )
-    few = written(few.groupBy("before", "word").agg(F.sum("n").alias("n")), "common-bigrams")
-    seldom = words.sparkSession.range(1).select(
-        F.lit(int(SELDOM)).alias("word"), F.lit(0).cast("long").alias("n"), F.lit(_SELDOM_CLASS).alias("class")
+        # a token next to another open one takes its class from there
+        beside = (row[1:] == row[:-1]) & (place[1:] == place[:-1] + 1)
+        previous = np.where(np.r_[False, beside], np.r_[kind[:1], kind[:-1]], before)
+        cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        arrays = [kind.astype("<i2"), n.astype("<i8"), previous.astype("<i2"), after.astype("<i2"), np.r_[beside, False].astype("u1")]
+        edges = list(zip(cuts.tolist(), [*cuts.tolist()[1:], len(row)], strict=True))
+        columns = [pa.array([x[a:b].tobytes() for a, b in edges], pa.binary()) for x in arrays]
+        train = np.asarray(table.column("train")).astype(bool)[cuts]
+        names = ["row", "train", "kind", "n", "previous", "after", "leads"]
+        yield pa.RecordBatch.from_arrays([pa.array(row[cuts]), pa.array(train), *columns], names)
+
+
+class _Chain(NamedTuple):
+    """The open tokens of some texts, one text after the other."""
+
+    kind: np.ndarray
+    n: np.ndarray
+    previous: np.ndarray
+    after: np.ndarray
+    leads: np.ndarray
+    bounds: np.ndarray
+
+
+def _read_chains(batch: pa.RecordBatch) -> _Chain:
+    forms = {"kind": "<i2", "n": "<i8", "previous": "<i2", "after": "<i2", "leads": "u1"}
+    kind, n, previous, after, leads = (
+        np.frombuffer(b"".join(batch.column(c).to_pylist()), form).astype(np.int64) for c, form in forms.items()
     )
-    now, best = written(common.union(seldom), "classes"), None
-    for step in range(rounds + 1):
-        named = _named(_named(few, now, "before", "class_before"), now, "word", "class")
-        matrix = _matrix(named, classes)
-        if best is None or likelihood(matrix) > best[0]:
-            best = likelihood(matrix), now, matrix
-        if step == rounds:
-            break
-        half = F.pmod(F.shiftrightunsigned("word", 32), F.lit(2)) == step % 2
-        turn = half & ~F.col("word").isin(int(END), int(SELDOM))
-        now = _moved(now, _profiles(named, classes, turn), matrix)
-    _, now, matrix = best
-    # seldom words leave their common class for the best one
-    found = now.where(F.col("word") != int(SELDOM)).select(F.col("word").alias("common"), F.col("class").alias("found"))
-    words = words.join(found, F.col("word") == F.col("common"), "left").select("word", "n", F.coalesce("found", "class").alias("class"))
-    words = written(words, "classes")
-    open_words = words.where(F.col("n") < often).where(F.col("word") != int(END)).select(F.col("word").alias("open"))
-    named = _named(_named(pairs, words, "before", "class_before"), words, "word", "class")
-    if open_words.limit(1).count():
-        profiles = _profiles(named, classes, F.lit(True)).join(open_words, F.col("word") == F.col("open"), "left_semi")
-        words = _moved(words, profiles, matrix)
-        named = _named(_named(pairs, words, "before", "class_before"), words, "word", "class")
-    return words, _matrix(named, classes)
-
-
-def train(texts: DataFrame, classes: int = CLASSES, rounds: int = ROUNDS, often: int = OFTEN) -> Model:
-    """The model of all rows of ``text``."""
-    words, matrix = cluster(bigrams(texts), classes, rounds, often)
-    stats = words.groupBy("class").agg(
+    return _Chain(kind, n, previous, after, leads.astype(bool), np.r_[0, np.cumsum([len(x) for x in batch.column("leads").to_pylist()])])
+
+
+def _open_pairs(classes: int):
+    """Counts of class after class around the tokens of words that are not common."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, dtype=np.int64)
+        for batch in batches:
+            chain = _read_chains(batch)
+            total += np.bincount(chain.previous * classes + chain.kind, minlength=len(total))
+            out = ~chain.leads
+            total += np.bincount(chain.kind[out] * classes + chain.after[out], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    return pairs
+
+
+def train(
+    rows: DataFrame, common: Common, classes: int = CLASSES, rounds: int = ROUNDS, bands: tuple[int, ...] = BANDS
+) -> tuple[Model, DataFrame, DataFrame]:
+    """From ``numbered`` rows: the model, the words that are not common as ``(word, n, class)``, and the tokens of such
+    words, a row for each text that has some."""
+    learned = rows.where("not held_out")
+    kind, matrix = cluster(learned, common, classes, rounds, bands)
+    opened = rows.select("row", "held_out", "codes", "open").mapInArrow(_open(common, kind), _OPENED)
+    opened = opened.repartition("word").sortWithinPartitions("word", "row", "place")
+    met = written(opened.mapInArrow(_meet(_together(matrix)), _MET), "open", "zstd")
+    others = met.where("row = -1").select("word", "n", "class")
+    chains = met.where("row >= 0").drop("word").repartition("row").sortWithinPartitions("row", "place")
+    chains = written(chains.mapInArrow(_chains, _CHAINS), "chains", "zstd")
+    # pairs of common words stand, those around other words are counted with the classes that these have now
+    pairs = matrix[:-1, :-1].copy()
+    found = chains.where("train").mapInArrow(_open_pairs(classes), "at long, n long")
+    for r in found.groupBy("at").agg(F.sum("n").alias("n")).collect():
+        pairs[r["at"] // classes, r["at"] % classes] += r["n"]
+    size, once = np.zeros(classes), np.zeros(classes)
+    np.add.at(size, kind[_FIRST:], common.n)
+    np.add.at(once, kind[_FIRST:], common.n == 1)
+    distinct = int((common.n > 0).sum())
+    stats = others.groupBy("class").agg(
         F.count("*").alias("words"), F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")
     )
-    size, once, distinct = np.zeros(classes), np.zeros(classes), 0
     for r in stats.collect():
-        size[r["class"]], once[r["class"]] = r["n"], r["once"]
+        size[r["class"]] += r["n"]
+        once[r["class"]] += r["once"]
         distinct += r["words"]
+    texts = learned.count()
+    size[_END_CLASS] = texts
     frequency = (size + 1) / (size + 1).sum()
-    kinds = np.maximum((matrix > 0).sum(axis=1), 1)[:, None]
-    transitions = (matrix + kinds * frequency) / (matrix.sum(axis=1)[:, None] + kinds)
+    kinds = np.maximum((pairs > 0).sum(axis=1), 1)[:, None]
+    transitions = (pairs + kinds * frequency) / (pairs.sum(axis=1)[:, None] + kinds)
     emission = size + once + 1
     unknown = (once + 1) / emission
     # an end is the only member of its class
-    emission[_END_CLASS], unknown[_END_CLASS] = max(1.0, size[_END_CLASS]), 0.0
-    return Model(words, int(size.sum()), distinct, transitions, emission, unknown)
-
-
-class _Table(NamedTuple):
-    word: np.ndarray
-    n: np.ndarray
-    kind: np.ndarray
-
+    emission[_END_CLASS], unknown[_END_CLASS] = max(1, texts), 0.0
+    distinct += texts > 0
+    return Model(common, kind, texts, int(size.sum()), int(distinct), transitions, emission, unknown), others, chains
 
-def _local(words: DataFrame, limit: int) -> _Table:
-    """The commonest words, sorted by name; the end is always one."""
-    ends = words.where(F.col("word") == int(END))
-    rows = words.where(F.col("word") != int(END)).orderBy(F.desc("n"), "word").limit(limit).union(ends).toArrow()
-    word = np.asarray(rows.column("word"))
-    n, kind = np.asarray(rows.column("n")), np.asarray(rows.column("class"))
-    if END not in word:
-        word, n, kind = np.append(word, END), np.append(n, 0), np.append(kind, _END_CLASS)
-    order = np.argsort(word)
-    return _Table(word[order], n[order].astype(np.int64), kind[order].astype(np.int16))
 
+def _base(n: np.ndarray, model: Model) -> np.ndarray:
+    return np.log10((n + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
 
-_SCORED = (
-    "id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-    "open array<struct<place:int,word:long,before:short,after:short>>"
-)
 
+_SCORED = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
-def _base(n: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
-    return np.log10((n + 0.5) / (tokens + 0.5 * (distinct + 1)))
 
-
-def _score(local: _Table, model: Model):
-    tokens, distinct = model.tokens, model.distinct
+def _score(model: Model):
+    """The sums over common words and ends, and over the steps between them."""
     step = np.log10(model.transitions)
-    emitted = np.log10(np.maximum(local.n, 1) / model.emission[local.kind])
-    base = _base(local.n, tokens, distinct)
+    n = np.r_[model.texts, 0, model.common.n]
+    known = n > 0
+    here = known.copy()
+    here[_END] = True
+    kind = np.where(here, model.kind, -1)
+    emitted = np.log10(np.maximum(n, 1) / model.emission[model.kind])
+    base = _base(n, model)
+    # words that training lacks are scored with the words that are not common
+    emitted[~here], base[~here] = 0.0, 0.0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", _SLICE):
-                stream, bounds = _tokens(part.column("text"))
-                at = np.minimum(np.searchsorted(local.word, stream), len(local.word) - 1)
-                here = local.word[at] == stream
-                kind = np.where(here, local.kind[at], -1)
-                before = np.r_[np.int16(_END_CLASS), kind[:-1]]
-                after = np.r_[kind[1:], np.int16(_END_CLASS)]
-                both = here & (before >= 0)
-                logs = np.where(here, emitted[at], 0.0) + np.where(both, step[before, kind], 0.0)
-                first = bounds[:-1]
-                places = np.flatnonzero(~here)
-                row = np.searchsorted(bounds, places, side="right") - 1
-                opened = pa.StructArray.from_arrays(
-                    [
-                        pa.array((places - bounds[row]).astype(np.int32)), pa.array(stream[places]),
-                        pa.array(before[places].astype(np.int16)), pa.array(after[places].astype(np.int16)),
-                    ],
-                    ["place", "word", "before", "after"],
-                )
+            texts = batch.column("codes").to_pylist()
+            sizes = [len(t) // 4 for t in texts]
+            for a, b in _cuts(sizes):
+                stream = np.frombuffer(b"".join(texts[a:b]), "<u4")
+                first = np.r_[0, np.cumsum(sizes[a:b])[:-1]]
+                now = kind[stream]
+                before = np.r_[_END_CLASS, now[:-1]]
+                logs = emitted[stream] + np.where((now >= 0) & (before >= 0), step[before, now], 0.0)
+                part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"), part.column("held_out"), pa.array(np.diff(bounds)),
-                        pa.array(np.add.reduceat((here & (local.n[at] > 0)).astype(np.int64), first)),
-                        pa.array(np.add.reduceat(np.where(here, base[at], 0.0), first)),
-                        pa.array(np.add.reduceat(logs, first)),
-                        pa.ListArray.from_arrays(pa.array(np.searchsorted(places, bounds).astype(np.int32)), opened),
+                        part.column("row"), part.column("id"), part.column("held_out"), pa.array(sizes[a:b], pa.int64()),
+                        pa.array(np.add.reduceat(known[stream].astype(np.int64), first)),
+                        pa.array(np.add.reduceat(base[stream], first)), pa.array(np.add.reduceat(logs, first)),
                     ],
                     [f.split()[0] for f in _SCORED.split(", ")],
                 )
@@ -341,24 +616,6 @@ def _score(local: _Table, model: Model):
     return score
 
 
-def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Runs of rows that hold all rows of each of their documents."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        row = np.asarray(batch.column("row"))
-        cut = int(np.searchsorted(row, row[-1]))
-        if held and (cut or row[0] != held[-1].column("row")[held[-1].num_rows - 1].as_py()):
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
-            held = []
-        elif cut:
-            yield pa.Table.from_batches([batch.slice(0, cut)])
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def unknown_runs(first: np.ndarray, length: np.ndarray, last: np.ndarray, model: Model) -> np.ndarray:
     """log10 of the probability of ``length`` unknown words after class ``first`` and then of class ``last``."""
     result = np.zeros(len(first))
@@ -376,59 +633,44 @@ def unknown_runs(first: np.ndarray, length: np.ndarray, last: np.ndarray, model:
 
 
 def _finish(model: Model):
-    tokens, distinct = model.tokens, model.distinct
-    model = model._replace(words=None)
+    """The sums over all other tokens and the steps into and out of them."""
     step = np.log10(model.transitions)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_documents(batches):
-            row, place = np.asarray(table.column("row")), np.asarray(table.column("place"))
-            kind, n = np.asarray(table.column("class")), np.asarray(table.column("n"))
-            before, after = np.asarray(table.column("before")), np.asarray(table.column("after"))
-            known = kind >= 0
-            # a token next to another open one takes its class from there
-            beside = (row[1:] == row[:-1]) & (place[1:] == place[:-1] + 1)
-            follows, leads = np.r_[False, beside], np.r_[beside, False]
-            previous = np.where(follows, np.r_[kind[:1], kind[:-1]], before)
-            logs = np.where(known, np.log10(np.maximum(n, 1) / model.emission[kind]), 0.0)
+        for batch in batches:
+            chain = _read_chains(batch)
+            kind, previous, leads = chain.kind, chain.previous, chain.leads
+            known, follows = kind >= 0, np.r_[False, leads[:-1]]
+            logs = np.where(known, np.log10(np.maximum(chain.n, 1) / model.emission[kind]), 0.0)
             logs += np.where(known & (previous >= 0), step[previous, kind], 0.0)
-            # into the next word, if that was scored where the text was read
-            logs += np.where(known & ~leads, step[kind, after], 0.0)
+            # into the next word, if that is a common one
+            logs += np.where(known & ~leads, step[kind, chain.after], 0.0)
             starts = np.flatnonzero(~known & ~(follows & np.r_[False, ~known[:-1]]))
             ends = np.flatnonzero(~known & ~(leads & np.r_[~known[1:], False]))
-            last = np.where(leads[ends], kind[np.minimum(ends + 1, len(kind) - 1)], after[ends])
+            last = np.where(leads[ends], kind[np.minimum(ends + 1, len(kind) - 1)], chain.after[ends])
             np.add.at(logs, starts, unknown_runs(previous[starts], ends - starts + 1, last, model))
-            cuts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            first = chain.bounds[:-1]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(row[cuts]), pa.array(np.add.reduceat((n > 0).astype(np.int64), cuts)),
-                    pa.array(np.add.reduceat(_base(n, tokens, distinct), cuts)), pa.array(np.add.reduceat(logs, cuts)),
+                    batch.column("row"), pa.array(np.add.reduceat((chain.n > 0).astype(np.int64), first)),
+                    pa.array(np.add.reduceat(_base(chain.n, model), first)), pa.array(np.add.reduceat(logs, first)),
                 ],
-                ["open_row", "open_known", "open_base", "open_score"],
+                ["at", "more_known", "more_base", "more_score"],
             )
 
     return finish
 
 
-def score(texts: DataFrame, model: Model, local: int = LOCAL) -> DataFrame:
-    """``texts`` has ``id``, ``held_out`` and ``text``; one row for each with the counts and scores."""
-    local_words = _local(model.words, local)
-    light = model._replace(words=None)
-    read = texts.select("id", "held_out", "text").mapInArrow(_score(local_words, light), _SCORED)
-    read = written(read.withColumn("row", F.monotonically_increasing_id()), "scores", "zstd")
-    opened = read.select("row", F.inline("open")).withColumnRenamed("word", "open_word")
-    met = opened.join(model.words, F.col("open_word") == F.col("word"), "left").select(
-        "row", "place", "before", "after", F.coalesce("class", F.lit(-1)).alias("class"), F.coalesce("n", F.lit(0)).alias("n")
-    )
-    met = met.repartition("row").sortWithinPartitions("row", "place")
-    rest = met.mapInArrow(_finish(light), "open_row long, open_known long, open_base double, open_score double")
-    rows = read.drop("open").join(rest, F.col("row") == F.col("open_row"), "left")
-    zero = F.lit(0)
-    return rows.select(
-        "id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("open_known", zero)).alias("n_known"),
+def score(rows: DataFrame, model: Model, chains: DataFrame) -> DataFrame:
+    """One row per ``numbered`` row with its counts and scores."""
+    common = rows.select("row", "id", "held_out", "codes").mapInArrow(_score(model), _SCORED)
+    rest = chains.mapInArrow(_finish(model), "at long, more_known long, more_base double, more_score double")
+    whole = common.join(rest, F.col("row") == F.col("at"), "left")
+    return whole.select(
+        "id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("open_base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("open_score", F.lit(0.0))).alias("score"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 
@@ -437,7 +679,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score_documents(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", classes: int = CLASSES, rounds: int = ROUNDS
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    classes: int = CLASSES,
+    rounds: int = ROUNDS,
+    bands: tuple[int, ...] = BANDS,
+    local: int = LOCAL,
 ) -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` and
     ``perplexity`` (of a token). The model learns from the documents that are not held out."""
@@ -445,6 +693,8 @@ def score_documents(
         F.col(id_column).cast("long").alias("id"), held_out(F.col(id_column)).alias("held_out"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
-    model = train(texts.where(~F.col("held_out")), classes, rounds)
-    scored = score(texts, model).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    common = commonest(count_words(texts), local)
+    rows = numbered(texts, common)
+    model, _, chains = train(rows, common, classes, rounds, bands)
+    scored = score(rows, model, chains).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
     return scored.withColumnRenamed("id", id_column)

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tallyloom.llm import class_ngrams as lm
@@ -86,39 +87,58 @@ def plain_score(text, table, model):
     return total
 
 
-@pytest.fixture(scope="module")
-def trained(spark, rows):
-    texts = spark.createDataFrame(rows, "id long, text string").withColumn("held_out", lm.held_out(F.col("id")))
-    texts = texts.withColumn("text", F.coalesce("text", F.lit("")))
-    model = lm.train(texts.where("not held_out"), classes=12, rounds=4)
+UNSEEN = [
+    "unseen zzzzq", "zzzzq", "", "the zzzzq qqqqz the zzzzq", " ".join(["zzzzq", "the", "qqqqz", "zzzzq"] * 700), "qqqqz " * 9000,
+]
+
+
+@pytest.fixture(scope="module", params=[0, 60, 1 << 17])
+def trained(request, spark, rows):
+    """A model, its words, and the scores of the given texts and of held-out ones with words that are not known."""
+    odd = [(900 + i, text) for i, text in enumerate([*UNSEEN, rows[0][1] + " zzzzq the"])]
+    texts = spark.createDataFrame([*rows, *odd], "id long, text string")
+    apart = lm.held_out(F.col("id")) | (F.col("id") >= 900)
+    texts = texts.select("id", apart.alias("held_out"), F.coalesce("text", F.lit("")).alias("text")).repartition(3)
+    common = lm.commonest(lm.count_words(texts), request.param)
+    numbers = lm.numbered(texts, common)
+    model, others, chains = lm.train(numbers, common, classes=12, rounds=4, bands=(20, 100))
     named = {}
-    for _, text in rows:
+    for _, text in [*rows, *odd]:
         named.update(dict.fromkeys(words(text)))
-    import pyarrow as pa
-
     hashes = dict(zip(word_hashes(pa.array(list(named)))[0].view(np.int64).tolist(), named, strict=True))
-    table = {hashes.get(r["word"]): (r["n"], r["class"]) for r in model.words.collect()}
-    return texts, model, table
-
-
-@pytest.mark.parametrize("local", [0, 50, 1 << 17])
-def test_score_is_the_forward_probability(spark, rows, trained, local):
-    texts, model, table = trained
-    odd = [(901, "unseen zzzzq"), (902, "zzzzq"), (903, ""), (904, "the zzzzq qqqqz the zzzzq"), (905, rows[0][1] + " zzzzq the")]
-    odd.append((906, " ".join(["zzzzq", "the", "qqqqz", "zzzzq"] * 700)))
-    more = spark.createDataFrame(odd, "id long, text string").withColumn("held_out", F.lit(True))
-    found = {r["id"]: r["score"] for r in lm.score(texts.unionByName(more), model, local).collect()}
-    for i, text in [*rows, *odd]:
+    table = {hashes[r["word"]]: (r["n"], r["class"]) for r in others.collect()}
+    kinds = model.kind[2:].tolist()
+    table |= {hashes[w]: (n, k) for w, n, k in zip(common.word.tolist(), common.n.tolist(), kinds, strict=True) if n}
+    return model, table, [*rows, *odd], {r["id"]: r["score"] for r in lm.score(numbers, model, chains).collect()}
+
+
+def test_score_is_the_forward_probability(trained):
+    model, table, texts, found = trained
+    assert len(found) == len(texts)
+    for i, text in texts:
         assert math.isclose(found[i], plain_score(text, table, model), rel_tol=1e-9), i
 
 
+def test_transitions_are_counted_with_the_final_classes(trained, rows):
+    model, table, _, _ = trained
+    counts = np.zeros((12, 12))
+    for d, text in rows:
+        if zlib.crc32(str(d).encode()) % 5 != 1:
+            kinds = [0, *[table[w][1] for w in words(text)], 0]
+            np.add.at(counts, (kinds[:-1], kinds[1:]), 1)
+    sizes = counts.sum(axis=1)
+    seen = np.maximum((counts > 0).sum(axis=1), 1)[:, None]
+    frequency = (sizes + 1) / (sizes + 1).sum()
+    assert np.allclose(model.transitions, (counts + seen * frequency) / (sizes[:, None] + seen))
+
+
 def test_probabilities_add_up(trained):
-    _, model, table = trained
+    model, table, _, _ = trained
     mass = np.array(model.unknown)
     for n, kind in table.values():
         mass[kind] += n / model.emission[kind]
-    assert np.allclose(mass, 1) and np.allclose(model.transitions.sum(axis=1), 1)
-    assert table[None][1] == 0 and [w for w, (_, kind) in table.items() if kind == 0] == [None]
+    assert np.allclose(mass[1:], 1) and model.unknown[0] == 0 and model.emission[0] == model.texts
+    assert np.allclose(model.transitions.sum(axis=1), 1) and not [w for w, (_, kind) in table.items() if kind == 0]
 
 
 def test_gains_are_differences_of_the_likelihood():
@@ -156,18 +176,20 @@ def test_gains_are_differences_of_the_likelihood():
             assert math.isclose(gain[w, c] - gain[w, kind[w]], change, abs_tol=1e-8)
 
 
-def test_clustering_raises_the_likelihood(spark):
-    """Two alternating kinds of words fall into two classes."""
+def test_clustering_finds_kinds_of_words(spark):
+    """Two alternating kinds of words fall into different classes, common words and others."""
     rng = np.random.default_rng(7)
-    texts = [(" ".join(f"{'ab'[i % 2]}{rng.integers(40)}" for i in range(400)),) for _ in range(20)]
-    found, matrix = lm.cluster(lm.bigrams(spark.createDataFrame(texts, "text string")), classes=4, rounds=8)
-    import pyarrow as pa
-
-    names = [f"{k}{i}" for k in "ab" for i in range(40)]
-    hashes = word_hashes(pa.array(names))[0].view(np.int64).tolist()
-    kind = {r["word"]: r["class"] for r in found.collect()}
-    assert not {kind[h] for h in hashes[:40]} & {kind[h] for h in hashes[40:]}
-    assert matrix.sum() == 20 * 401
+    texts = [(i, " ".join(f"{'ab'[j % 2]}{int(rng.integers(8) ** 2)}" for j in range(400))) for i in range(20)]
+    df = spark.createDataFrame(texts, "id long, text string").withColumn("held_out", F.lit(False))
+    names = sorted({w for _, text in texts for w in text.split()})
+    hashes = dict(zip(word_hashes(pa.array(names))[0].view(np.int64).tolist(), names, strict=True))
+    for local in (6, 100):
+        common = lm.commonest(lm.count_words(df), local)
+        model, others, _ = lm.train(lm.numbered(df, common), common, classes=5, rounds=8, bands=(4, 8))
+        kinds = dict(zip((hashes[w] for w in common.word.tolist()), model.kind[2:].tolist(), strict=True))
+        kinds |= {hashes[r["word"]]: r["class"] for r in others.collect()}
+        assert kinds.keys() == set(names)
+        assert not {k for w, k in kinds.items() if w[0] == "a"} & {k for w, k in kinds.items() if w[0] == "b"}
 
 
 def test_odd_texts(spark):
