@@ -51,7 +51,7 @@ _END, _OPEN, _FIRST = 0, 1, 2
 _END_CLASS, _OPEN_CLASS = 0, 1
 _WORDS_AT_ONCE = 2048
 _ENTRIES_AT_ONCE = 1 << 14
-_TOKENS_AT_ONCE = 4 << 20
+_TOKENS_AT_ONCE = 2 << 20
 _BLOCK = 256
 _SLICE = 8 << 20
 
