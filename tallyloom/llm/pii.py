@@ -4,26 +4,31 @@ The base patterns find e-mail addresses, IP addresses, payment card and phone nu
 protected entity e. The corpus then tells how much a term t (a word of four letters or more) discloses: with p
 over documents, PMI(t; e) = log p(t, e) / (p(t) p(e)) as a share of the information IC(e) = -log p(e). At a
 share of 1 every document with t has e. The doubt about small counts is in the estimate: p(e|t) is the lower
-end of its Wilson interval at ``Z``, so no count is left out and few sightings weigh less. Terms at ``THRESHOLD``
-or above for any entity become spans of kind ``term`` in all documents, with the entity or without it;
+end of its Wilson interval at ``Z``, so no count is left out and few sightings weigh less. A term discloses an entity at a
+share of ``THRESHOLD`` or above where p(e|t) is ``LIKELY`` or above too: for a rare entity any single sighting has a high
+share, but says little about the next one (one of one has a lower end of 0.38, two of two 0.55). Terms that disclose
+any entity become spans of kind ``term`` in all documents, with the entity or without it;
 ``sanitised`` generalises spans to their kind, and removes terms that disclose all (``REMOVE``).
 
-Terms and entities meet anywhere in a document. Three steps bound the work and leave the result as it is:
-a share of ``THRESHOLD`` needs p(e|t) >= p(e)^(1 - THRESHOLD), and no more than all documents with e hold both, so only
+Terms and entities meet anywhere in a document. Four steps bound the work and leave the result as it is:
+``LIKELY`` needs ``LEAST`` documents with both, so terms and entities of fewer drop out; a
+share of ``THRESHOLD`` needs p(e|t) >= p(e)^(1 - THRESHOLD), and no more than all documents with e hold both, so only
 terms in at most n(e)^THRESHOLD N^(1 - THRESHOLD) documents can reach it; terms above the largest such bound are
 dropped before rows are shuffled, the ``FREQUENT`` commonest of them by a broadcast; and entities of the
-same documents, which have the same shares, are counted as one (sets of documents are told by 64-bit hashes).
-Words of all texts meet the disclosing terms by a shuffle of those whose hash falls into one of ``BUCKETS`` that
-a disclosing term falls into, and texts likewise their terms; at most so many numbers are broadcast.
+same documents, which have the same shares, are counted as one (sets of documents are told by 64-bit hashes). A document
+still meets each of its shared entities with each of its shared terms, which grows with that document alone.
+Words of all texts meet the disclosing terms by a broadcast of these while there are ``SENT`` of them at most, and by a
+shuffle of the words above that. Texts are not shuffled.
 
 Defined results: null text is empty and has no spans. Patterns are matched from the left without overlap
 within a kind; a match that fails its test is dropped and not tried again. Positions count code
-points. Rows that repeat are documents of their own. An empty table gives no rows.
+points. Rows that repeat are documents of their own. An empty table gives no rows. Very long texts are read whole, and
+the work on one grows with its length. Columns beyond the two named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.tables import written
@@ -34,13 +39,15 @@ THRESHOLD = 0.8
 REMOVE = 0.95
 #: p(e|t) is at least the estimate with a confidence of 0.9.
 Z = 1.2816
+#: The least p(e|t) of a term that discloses e.
+LIKELY = 0.5
 FREQUENT = 1 << 13
-BUCKETS = 1 << 20
+SENT = 1 << 20
 
 # The look-behinds start a match only at the start of a run, or where the last match ended. A match
 # that could start later in the run could start there too, and long runs are read once.
 PATTERNS = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -51,8 +58,15 @@ _WORDS = r"\p{L}{4,}"
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
+_PIECES = 256
+
+
 def spans_of(text: Column, pattern: str | Column) -> Column:
-    """Start, end and value of every match, in order, as an array."""
+    """Start, end and value of every match, in order, as an array.
+
+    The text is cut once into gaps and matches. Starts are summed up within runs of ``_PIECES`` pieces and then
+    over the runs, so a text with very many matches does not copy all of them for each.
+    """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     pieces = F.zip_with(
         F.split(text, pattern, -1),
@@ -69,7 +83,29 @@ def spans_of(text: Column, pattern: str | Column) -> Column:
         )
 
     zero = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("spans"))
-    return F.aggregate(pieces, zero, step, lambda done: done["spans"])
+
+    def joined(done: Column, run: Column) -> Column:
+        placed = F.struct(done["at"].alias("from"), run["spans"].alias("spans"))
+        return F.struct((done["at"] + run["at"]).alias("at"), F.concat(done["runs"], F.array(placed)).alias("runs"))
+
+    def by_runs(pieces: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(pieces), F.lit(_PIECES))
+        runs = F.transform(firsts, lambda i: F.aggregate(F.slice(pieces, i, F.lit(_PIECES)), zero, step))
+        start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<struct<from:int,spans:{_SPAN}>>)").alias("runs"))
+        return F.flatten(
+            F.transform(
+                F.aggregate(runs, start, joined, lambda done: done["runs"]),
+                lambda run: F.transform(
+                    run["spans"],
+                    lambda s: F.struct(
+                        (run["from"] + s["start"]).alias("start"), (run["from"] + s["end"]).alias("end"), s["value"].alias("value")
+                    ),
+                ),
+            )
+        )
+
+    # the pieces are an element of an array, so that they are cut once for all runs
+    return F.flatten(F.transform(F.array(pieces), by_runs))
 
 
 def _digits(value: Column) -> Column:
@@ -147,8 +183,8 @@ def _entity(kind: Column, value: Column) -> Column:
 
 def _terms(found: DataFrame) -> DataFrame:
     """``(row, term)``: the distinct words of whole texts."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(0)))
-    return found.select("row", F.explode(words).alias("term"))
+    words = F.transform(F.regexp_extract_all("text", F.lit(_WORDS), F.lit(0)), F.lower)
+    return found.select("row", F.explode(F.array_distinct(words)).alias("term"))
 
 
 def _lower(both: Column, of: Column) -> Column:
@@ -162,6 +198,17 @@ def _most(with_entity: Column, documents: int) -> Column:
     return F.pow(with_entity, F.lit(THRESHOLD)) * documents ** (1 - THRESHOLD) * (1 + 1e-9)
 
 
+def _least() -> int:
+    """The fewest documents with both that can make an entity ``LIKELY``."""
+    least = 1
+    while least / (least + Z * Z) < LIKELY:
+        least += 1
+    return least
+
+
+LEAST = _least()
+
+
 def disclosures(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(term, share)`` of the terms that disclose an entity, with the largest share, and the
     commonest terms, which disclose none."""
@@ -171,12 +218,12 @@ def disclosures(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("with_entity"), F.min("row").alias("first"), F.bit_xor(F.xxhash64("row")).alias("rows")
     )
     documents = found.count()
-    entities = written(entities.where(F.col("with_entity") < documents), "entities")
+    entities = written(entities.where(F.col("with_entity").between(LEAST, documents - 1)), "entities")
     limit = entities.agg(F.max(_most(F.col("with_entity"), documents))).first()[0] or 0.0
     counts = written(_terms(found).groupBy("term").agg(F.count("*").alias("with_term")), "terms")
     frequent = counts.where(F.col("with_term") > limit).orderBy(F.desc("with_term"), "term").limit(FREQUENT)
     frequent = written(frequent.select("term"), "frequent")
-    rare = counts.where(F.col("with_term") <= limit)
+    rare = counts.where(F.col("with_term").between(LEAST, limit))
     # entities of the same documents are one class
     classes = held.join(entities, "entity").groupBy("row", "with_entity", "first", "rows").agg(F.lit(1).alias("one"))
     terms = _terms(found.where(F.size("base") > 0)).join(F.broadcast(frequent), "term", "left_anti").join(rare, "term")
@@ -184,21 +231,41 @@ def disclosures(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         classes.join(terms, "row").where(F.col("with_term") <= _most(F.col("with_entity"), documents))
         .groupBy("with_entity", "first", "rows", "term", "with_term").agg(F.count("*").alias("both"))
     )
-    pmi = F.log2(_lower(F.col("both"), F.col("with_term")) * documents / F.col("with_entity"))
+    given = _lower(F.col("both"), F.col("with_term"))
+    pmi = F.log2(given * documents / F.col("with_entity"))
     information = F.log2(documents / F.col("with_entity"))
     shares = (
-        together.select("term", (pmi / information).alias("share"))
+        together.where(given >= LIKELY).select("term", (pmi / information).alias("share"))
         .where(F.col("share") >= THRESHOLD)
         .groupBy("term").agg(F.max("share").alias("share"))
     )
     return written(shares, "disclosures"), frequent
 
 
-def _bucketed(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
-    """The inner join of a written table ``few``; rows of ``many`` in no bucket of it are dropped before the shuffle."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("bucket")
-    buckets = written(few.select(bucket).distinct(), "buckets")
-    return many.select("*", bucket).join(F.broadcast(buckets), "bucket", "left_semi").drop("bucket").join(few, key)
+def _marks(found: DataFrame, shares: DataFrame, frequent: DataFrame) -> DataFrame:
+    """``(row, hits, full)``: the spans of disclosing terms that touch no base span, and the terms that disclose all."""
+    words = found.select("row", F.inline(spans_of(F.col("text"), _WORDS)))
+    words = words.withColumn("term", F.lower("value"))
+    if shares.count() <= SENT:
+        words = words.join(F.broadcast(shares), "term")
+    else:
+        words = words.join(F.broadcast(frequent), "term", "left_anti").join(shares, "term")
+    base = found.select("row", F.inline("base")).select(
+        "row", "start", "end", F.lit(None).alias("value"), F.lit(None).alias("term"), F.lit(None).alias("share")
+    )
+    both = words.select("row", "start", "end", "value", "term", "share").union(base)
+    in_order = Window.partitionBy("row").orderBy("start")
+    behind = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = in_order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    is_base = F.col("term").isNull()
+    reach = F.coalesce(F.max(F.when(is_base, F.col("end"))).over(behind), F.lit(0))
+    first = F.coalesce(F.min(F.when(is_base, F.col("start"))).over(ahead), F.col("end"))
+    apart = both.select("*", reach.alias("reach"), first.alias("first")).where(~is_base)
+    apart = apart.where((F.col("reach") <= F.col("start")) & (F.col("first") >= F.col("end")))
+    return apart.groupBy("row").agg(
+        F.collect_list(F.struct("start", "end", "value")).alias("hits"),
+        F.collect_set(F.when(F.col("share") >= REMOVE, F.col("term"))).alias("full"),
+    )
 
 
 def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -207,19 +274,9 @@ def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     found = _found(docs, id_column, text_column)
     shares, frequent = disclosures(found)
     # a disclosing term is marked wherever it stands
-    words = _terms(found).join(F.broadcast(frequent), "term", "left_anti")
-    terms = _bucketed(words, shares, "term").groupBy("row").agg(
-        F.sort_array(F.collect_list("term")).alias("terms"),
-        F.collect_list(F.when(F.col("share") >= REMOVE, F.col("term"))).alias("full"),
-    )
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
-    marked = _bucketed(found.select("row", "text"), written(terms, "marks"), "row")
-    rows = found.join(marked.select("row", spans_of(F.col("text"), pattern).alias("hits"), "full"), "row", "left")
-    apart = F.filter(
-        F.coalesce("hits", F.expr(f"cast(array() as {_SPAN})")),
-        lambda h: ~F.exists("base", lambda b: (b["start"] < h["end"]) & (h["start"] < b["end"])),
-    )
-    spans = F.array_sort(F.concat("base", _labelled(apart, TERM, len(KINDS))))
+    rows = found.join(written(_marks(found, shares, frequent), "marks"), "row", "left")
+    hits = F.coalesce("hits", F.expr(f"cast(array() as {_SPAN})"))
+    spans = F.array_sort(F.concat("base", _labelled(hits, TERM, len(KINDS))))
     return rows.withColumn("found", spans).select(
         F.col("id").alias(id_column),
         *[f"n_{kind}" for kind in KINDS],
@@ -244,8 +301,15 @@ def sanitised(found: DataFrame) -> DataFrame:
             F.struct(span["end"].alias("at"), F.concat(done["out"], gap, label).alias("out")),
         ).otherwise(F.struct(F.greatest(done["at"], span["end"]).alias("at"), done["out"].alias("out")))
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    def run(done: Column, i: Column) -> Column:
+        begin = F.struct(done["at"].alias("at"), F.lit("").alias("out"))
+        end = F.aggregate(F.slice("found", i, F.lit(_PIECES)), begin, step)
+        return F.struct(end["at"].alias("at"), F.concat(done["parts"], F.array(end["out"])).alias("parts"))
+
+    # pieces are put together within runs of spans, and the runs at last
+    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
     rest = F.aggregate(
-        "found", zero, step, lambda done: F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    )
+        F.sequence(F.lit(1), F.size("found"), F.lit(_PIECES)), zero, run,
+        lambda done: F.concat(F.array_join(done["parts"], ""), F.substring(F.col("text"), done["at"] + 1, F.length("text"))),
+    )
     return found.withColumn("sanitised", F.when(F.size("found") > 0, rest))

@@ -327,6 +327,74 @@ def test_personal_data(spark, odd, none):
     assert pii.personal_data(none).count() == 0
 
 
+def test_long_domains_and_many_matches(spark):
+    from llm.test_queries import base_spans
+
+    many = " ".join(f"a{i}@b.c" for i in range(40_000))
+    texts = ["x a@b" + ".c" * 200_000 + " y", "1" + " 1" * 200_000, "+1" + "(2" * 100_000, many, "1.2" * 2000, "a@" * 100_000]
+    found = pii.personal_data(docs(spark, [(i, t, "a") for i, t in enumerate(texts)]))
+    for r in found.select("doc_id", "spans", "n_email").collect():
+        line = ",".join(f"{k}:{s}:{e}" for s, _, k, e in base_spans(texts[r["doc_id"]]))
+        assert r["spans"] == line, r["doc_id"]
+    clean = {r["doc_id"]: r["sanitised"] for r in pii.sanitised(found).collect()}
+    assert clean[0] == "x [EMAIL] y" and clean[3] == " ".join(["[EMAIL]"] * 40_000)
+
+
+def plain_terms(rows) -> dict[int, list[str]]:
+    """Shares of all terms and entities from their definition, and the spans of the terms that disclose one."""
+    import math
+    import re
+
+    from llm.test_queries import base_spans
+
+    word = re.compile(r"[^\W\d_]{4,}")
+    texts = [t or "" for _, t, _ in rows]
+    entities, terms = {}, {}
+    for i, text in enumerate(texts):
+        for a, _, kind, b in base_spans(text):
+            value = re.sub("[^0-9]", "", text[a:b]) if kind in ("card", "phone") else text[a:b].lower()
+            entities.setdefault((kind, value), set()).add(i)
+        for w in word.findall(text):
+            terms.setdefault(w.lower(), set()).add(i)
+    z2, shown = pii.Z**2, set()
+    for term, has in terms.items():
+        for with_entity in entities.values():
+            n, p = len(has), len(has & with_entity) / len(has)
+            low = (p + z2 / (2 * n) - pii.Z * math.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+            rarity = len(with_entity) / len(texts)
+            if rarity < 1 and low >= pii.LIKELY and math.log(low / rarity) / -math.log(rarity) >= pii.THRESHOLD:
+                shown.add(term)
+    spans = {}
+    for (i, _, _), text in zip(rows, texts, strict=True):
+        base = base_spans(text)
+        own = [(m.start(), 4, "term", m.end()) for m in word.finditer(text) if m.group().lower() in shown]
+        own = [h for h in own if not any(a < h[3] and h[0] < b for a, _, _, b in base)]
+        spans[i] = ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted([*base, *own]))
+    return spans
+
+
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_shares_as_by_brute_force(spark, monkeypatch, sent):
+    """Entities in one and in many documents, terms with and without them, with both ways to meet."""
+    monkeypatch.setattr(pii, "SENT", sent)
+    rng = random.Random(6)
+    names, mails = [prose(200 + i, 1) + "name" for i in range(12)], [f"m{i}.name@x{i}.org" for i in range(12)]
+    rows = []
+    for i in range(160):
+        text = prose(i % 70, 12).split()
+        for _ in range(rng.choice([0, 0, 1, 2, 3])):
+            k = min(rng.randrange(12), rng.randrange(12))
+            text += [mails[k]] if rng.random() < 0.9 else []
+            text += [names[k].title()] if rng.random() < 0.9 else []
+        rng.shuffle(text)
+        rows.append((i, " ".join(text) + (" +49 (30) 1234567" if i % 3 == 0 else ""), "a"))
+    rows += [(200 + i, f"only once {prose(900 + i, 3)} lone{i}@x.org", "b") for i in range(5)]
+    wanted = plain_terms(rows)
+    found = {r["doc_id"]: r["spans"] for r in pii.personal_data(docs(spark, rows).repartition(3)).collect()}
+    assert found == wanted and sum("term" in s for s in wanted.values()) > 20
+    assert all("term" not in wanted[200 + i] for i in range(5))
+
+
 def test_terms_that_disclose(spark):
     """A name that stands only with one address is a term; a common word near it is none."""
     rows = [(i, f"{prose(i, 30)} common Zebulon writes from zeb@home.org {prose(50 + i, 20)}", "a") for i in range(5)]
