@@ -61,51 +61,40 @@ _SPAN = "array<struct<start:int,end:int,value:string>>"
 _PIECES = 256
 
 
+def _once(values: Column, made) -> Column:
+    """``made`` of an array that is worked out once, however often ``made`` names it."""
+    return F.flatten(F.transform(F.array(values), made))
+
+
+def _running(sizes: Column) -> Column:
+    """Running sums of an array: in each step every number gains the one 1, 2, 4, ... places before it."""
+
+    def step(sums: Column, k: Column) -> Column:
+        back = F.pow(F.lit(2.0), k).cast("int")
+        moved = F.concat(F.array_repeat(F.lit(0), back), F.slice(sums, F.lit(1), F.size(sums) - back))
+        return F.zip_with(sums, moved, lambda x, y: x + y)
+
+    steps = F.ceil(F.log2(F.size(sizes).cast("double"))).cast("int")
+    return F.when(F.size(sizes) < 2, sizes).otherwise(F.aggregate(F.sequence(F.lit(0), steps - 1), sizes, step))
+
+
 def spans_of(text: Column, pattern: str | Column) -> Column:
     """Start, end and value of every match, in order, as an array.
 
-    The text is cut once into gaps and matches. Starts are summed up within runs of ``_PIECES`` pieces and then
-    over the runs, so a text with very many matches does not copy all of them for each.
+    The text is cut once into gaps and matches, and ends are running sums of their lengths, so the work on a text with
+    very many matches grows like their number and its logarithm.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    pieces = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, pattern, F.lit(0)),
-        lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")),
-    )
 
-    def step(done: Column, piece: Column) -> Column:
-        start = done["at"] + piece["gap"]
-        end = start + F.length(piece["hit"])
-        span = F.struct(start.alias("start"), end.alias("end"), piece["hit"].alias("value"))
-        return F.when(piece["hit"].isNull(), done).otherwise(
-            F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
-        )
-
-    zero = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {_SPAN})").alias("spans"))
-
-    def joined(done: Column, run: Column) -> Column:
-        placed = F.struct(done["at"].alias("from"), run["spans"].alias("spans"))
-        return F.struct((done["at"] + run["at"]).alias("at"), F.concat(done["runs"], F.array(placed)).alias("runs"))
-
-    def by_runs(pieces: Column) -> Column:
-        firsts = F.sequence(F.lit(1), F.size(pieces), F.lit(_PIECES))
-        runs = F.transform(firsts, lambda i: F.aggregate(F.slice(pieces, i, F.lit(_PIECES)), zero, step))
-        start = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as array<struct<from:int,spans:{_SPAN}>>)").alias("runs"))
-        return F.flatten(
-            F.transform(
-                F.aggregate(runs, start, joined, lambda done: done["runs"]),
-                lambda run: F.transform(
-                    run["spans"],
-                    lambda s: F.struct(
-                        (run["from"] + s["start"]).alias("start"), (run["from"] + s["end"]).alias("end"), s["value"].alias("value")
-                    ),
-                ),
-            )
-        )
-
-    # the pieces are an element of an array, so that they are cut once for all runs
-    return F.flatten(F.transform(F.array(pieces), by_runs))
+    def placed(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
+        sizes = F.zip_with(gaps, hits, lambda gap, hit: F.length(gap) + F.length(hit))
+        return F.zip_with(
+            _once(sizes, _running), hits,
+            lambda end, hit: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("value")),
+        )
+
+    return _once(F.regexp_extract_all(text, pattern, F.lit(0)), placed)
 
 
 def _digits(value: Column) -> Column:
@@ -254,10 +243,9 @@ def _marks(found: DataFrame, shares: DataFrame, frequent: DataFrame) -> DataFram
         "row", "start", "end", F.lit(None).alias("value"), F.lit(None).alias("term"), F.lit(None).alias("share")
     )
     both = words.select("row", "start", "end", "value", "term", "share").union(base)
-    in_order = Window.partitionBy("row").orderBy("start")
-    behind = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = in_order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     is_base = F.col("term").isNull()
+    so_far = Window.partitionBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind, ahead = so_far.orderBy("start", F.desc(is_base)), so_far.orderBy(F.desc("start"), F.desc(is_base))
     reach = F.coalesce(F.max(F.when(is_base, F.col("end"))).over(behind), F.lit(0))
     first = F.coalesce(F.min(F.when(is_base, F.col("start"))).over(ahead), F.col("end"))
     apart = both.select("*", reach.alias("reach"), first.alias("first")).where(~is_base)
@@ -292,21 +280,27 @@ def sanitised(found: DataFrame) -> DataFrame:
     """Rows of ``personal_data`` with base spans as spans' kinds in brackets, terms as ``[TERM]``, and terms
     that disclose everything removed. Null where the text stays as it is."""
 
-    def step(done: Column, span: Column) -> Column:
-        label = F.when(span["kind"] != TERM, F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
-        label = label.when(F.array_contains("full", F.lower(span["value"])), F.lit("")).otherwise("[TERM]")
-        gap = F.substring(F.col("text"), done["at"] + 1, span["start"] - done["at"])
-        return F.when(
-            span["start"] >= done["at"],
-            F.struct(span["end"].alias("at"), F.concat(done["out"], gap, label).alias("out")),
-        ).otherwise(F.struct(F.greatest(done["at"], span["end"]).alias("at"), done["out"].alias("out")))
-
     def run(done: Column, i: Column) -> Column:
-        begin = F.struct(done["at"].alias("at"), F.lit("").alias("out"))
-        end = F.aggregate(F.slice("found", i, F.lit(_PIECES)), begin, step)
+        """The next run of spans, out of the part of the text that they lie in."""
+        spans = F.slice("found", i, F.lit(_PIECES))
+        first = done["at"]
+        part = F.substring(F.col("text"), first + 1, F.greatest(F.lit(0), F.array_max(F.transform(spans, lambda s: s["end"])) - first))
+
+        def within(part: Column) -> Column:
+            def step(done: Column, span: Column) -> Column:
+                label = F.when(span["kind"] != TERM, F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")))
+                label = label.when(F.array_contains("full", F.lower(span["value"])), F.lit("")).otherwise("[TERM]")
+                gap = F.substring(part, done["at"] - first + 1, span["start"] - done["at"])
+                return F.when(
+                    span["start"] >= done["at"],
+                    F.struct(span["end"].alias("at"), F.concat(done["out"], gap, label).alias("out")),
+                ).otherwise(F.struct(F.greatest(done["at"], span["end"]).alias("at"), done["out"].alias("out")))
+
+            return F.aggregate(spans, F.struct(first.alias("at"), F.lit("").alias("out")), step)
+
+        end = F.transform(F.array(part), within)[0]
         return F.struct(end["at"].alias("at"), F.concat(done["parts"], F.array(end["out"])).alias("parts"))
 
-    # pieces are put together within runs of spans, and the runs at last
     zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
     rest = F.aggregate(
         F.sequence(F.lit(1), F.size("found"), F.lit(_PIECES)), zero, run,
