@@ -14,6 +14,7 @@ from tallyloom.functions import (
     day_year,
     label_quarter,
     label_year,
+    parse_date,
     quarter_end,
 )
 from tallyloom.operators import quarters
@@ -44,16 +45,21 @@ def yoy_growth(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "gdp_monthly",
-    f"""
+_GDP_MONTHLY = f"""
 with {GDP_SQL}
 select make_date(year, quarter * 3 - 2 + m, 1) as date, cast(year as varchar) as year,
        cast(quarter * 3 - 2 + m as integer) as month, quarter_gdp / 3 as monthly_gdp, monthly_gdp_yoy
-from (select *, unnest([0, 1, 2]) as m from growth) where year >= 1996
-""",
-)
+from (select *, unnest([0, 1, 2]) as m from growth)"""
+
+
+@query("gdp_monthly", _GDP_MONTHLY)
 def gdp_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    return macro.gdp_monthly(gdp_raw(spark, sf), start_year=None)
+
+
+@query("gdp_monthly_from_year", f"{_GDP_MONTHLY} where year >= 1996")
+def gdp_monthly_from_year(spark: SparkSession, sf: str) -> DataFrame:
+    """The months from a year on, with growth against the year before it."""
     return macro.gdp_monthly(gdp_raw(spark, sf), start_year="1996")
 
 
@@ -113,7 +119,7 @@ _MONEY_SQL = ", ".join(
     "money_supply",
     f"""
 select make_date(year(o_orderdate), month(o_orderdate), 1) as date, {_MONEY_SQL}
-from orders where year(o_orderdate) >= 1997 group by 1
+from orders group by 1
 """,
 )
 def money_supply(spark: SparkSession, sf: str) -> DataFrame:
@@ -134,7 +140,7 @@ def money_supply(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy(month.alias("统计时间"))
         .agg(*measures)
     )
-    return macro.money_supply(raw, start_year=1997)
+    return macro.money_supply(raw, start_year=None)
 
 
 @query(
@@ -166,6 +172,6 @@ def date_parts(spark: SparkSession, sf: str) -> DataFrame:
     landed = date_text(F.col("o_orderdate"), compact=True)
     return given(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
-        day_year(landed).alias("year"),
+        day_year(parse_date(landed)).alias("year"),
         day_quarter(F.col("o_orderdate")).alias("quarter"),
     )

@@ -215,19 +215,17 @@ def spot_info(spark: SparkSession, sf: str) -> DataFrame:
     return prices.spot_info(spot, "000042", AS_OF)
 
 
-@query(
-    "bars_b",
-    """
+_BARS_B = """
 select cast(ts as date) as dt, printf('%06d', user_id) || '.SZ' as symbol,
        min_by(value, ts) as open, max_by(value, ts) as close, max(value) as high, min(value) as low,
        cast(count(*) as double) as volume, 'none' as adjust_type
-from events where cast(ts as date) between date '2024-01-05' and date '2024-01-25'
+from events{ranged}
 group by user_id, cast(ts as date)
-""",
-)
-def bars_b(spark: SparkSession, sf: str) -> DataFrame:
-    """Bars of the second layout: suffixed codes, eight-digit dates, a given range."""
-    raw = (
+"""
+
+
+def _second_layout(spark: SparkSession, sf: str) -> DataFrame:
+    return (
         given(spark, sf, "events")
         .groupBy(
             F.concat(F.lit("sz"), code(F.col("user_id"))).alias("ts_code"),
@@ -241,7 +239,18 @@ def bars_b(spark: SparkSession, sf: str) -> DataFrame:
             F.count(F.lit(1)).cast("double").alias("vol"),
         )
     )
-    return prices.bars_b(raw, start=dt.date(2024, 1, 5), end=dt.date(2024, 1, 25))
+
+
+@query("bars_b", _BARS_B.format(ranged=""))
+def bars_b(spark: SparkSession, sf: str) -> DataFrame:
+    """All bars of the second layout: suffixed codes, eight-digit dates."""
+    return prices.bars_b(_second_layout(spark, sf))
+
+
+@query("bars_b_range", _BARS_B.format(ranged=" where cast(ts as date) between date '2024-01-05' and date '2024-01-25'"))
+def bars_b_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars of the second layout in a given range."""
+    return prices.bars_b(_second_layout(spark, sf), start=dt.date(2024, 1, 5), end=dt.date(2024, 1, 25))
 
 
 @query(

@@ -246,10 +246,7 @@ select symbol, dt, close, null, volume from bars where adjust_type = 'hfq'
 )
 def safe_union(spark: SparkSession, sf: str) -> DataFrame:
     """Two layouts with a column missing or empty in one of them, next to inputs to be skipped."""
-    root = scratch_path(spark, "safe_union")
-    for name, table in bars_raw(spark, sf).items():
-        write_parquet(prices.bars({name: table}), root, name)  # landed once, read by what follows
-    bars = {name: read_dataset(spark, root, name) for name in ("none", "hfq")}
+    bars = {name: prices.bars({name: table}) for name, table in bars_raw(spark, sf).items()}
     nothing = F.lit(None).cast("double")
     first = bars["none"].select("symbol", "dt", "close", "amount", nothing.alias("unused"))
     second = bars["hfq"].select(
@@ -281,29 +278,22 @@ def cash_flow_statements(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SPLIT_SINCE = dt.date(1998, 1, 1)
-
-
-@query(
-    "split_by_type",
-    f"""
+_SPLIT = f"""
 with {STATEMENTS_SQL}, kept as (
-  select * from named where comp_type in ('1', '2', '3', '4') and end_date >= date '1998-01-01'
+  select * from named where comp_type in ('1', '2', '3', '4'){{since}}
 )
 select symbol, end_date, report_type, comp_type, revenue, int_income, prem_earned, n_sec_tb_income,
        case comp_type when '1' then '' when '2' then 'int_income' when '3' then 'prem_earned'
                       else 'n_sec_tb_income' end as own_columns
 from kept
-""",
-)
-def split_by_type(spark: SparkSession, sf: str) -> DataFrame:
-    """Statements split into one written dataset per company type, read back and stacked.
+"""
 
-    ``own_columns`` lists which of the special measures a part kept.
-    """
+
+def _split(spark: SparkSession, sf: str, since: dt.date | None) -> DataFrame:
     special = ("int_income", "prem_earned", "n_sec_tb_income", "prem_refund")
     built = statements.income_statements(statements_raw(spark, sf))
     root = scratch_path(spark, "split_by_type")
-    parts = statements.split_by_company_type(spark, built, root, "income", SPLIT_SINCE)
+    parts = statements.split_by_company_type(spark, built, root, "income", since)
     tables = [
         spark.read.parquet(part.path).withColumn(
             "own_columns", F.lit(",".join(name for name in special if name in part.kept))
@@ -319,6 +309,21 @@ def split_by_type(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("split_by_type", _SPLIT.format(since=""))
+def split_by_type(spark: SparkSession, sf: str) -> DataFrame:
+    """All statements split into one written dataset per company type, read back and stacked.
+
+    ``own_columns`` lists which of the special measures a part kept.
+    """
+    return _split(spark, sf, None)
+
+
+@query("split_by_type_since", _SPLIT.format(since=f" and end_date >= date '{SPLIT_SINCE}'"))
+def split_by_type_since(spark: SparkSession, sf: str) -> DataFrame:
+    """The split of the statements from a day on."""
+    return _split(spark, sf, SPLIT_SINCE)
+
+
 @query("sink_parquet_roundtrip", "select * from part")
 def sink_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "parquet_sink")

@@ -25,9 +25,23 @@ _TOGETHER = rf"^\s*([0-9]{{4}})([0-9]{{2}})([0-9]{{2}}){_TIME}\s*$"
 def parse_date(text: Column) -> Column:
     """Date from text, null when it cannot be read.
 
-    ``try_cast`` reports unreadable text without raising, so rows of bad text cost no more than
-    good ones.
+    Text of ten characters with two equal separators in place, or of eight digits, is read by its characters; only other text is
+    tried against the forms. Unreadable text gives null without raising, so rows of it cost no more than good ones.
     """
+    year, mark = F.substring(text, 1, 4), F.substring(text, 5, 1)
+    spaced = (F.length(text) == 10) & mark.isin("-", "/", ".") & (F.substring(text, 8, 1) == mark)
+    dashed = F.concat_ws("-", year, F.substring(text, 6, 2), F.substring(text, 9, 2))
+    bare = (F.length(text) == 8) & (F.translate(text, "0123456789", "") == "")
+    joined = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2))
+    # whatever is not a separator has to be a digit
+    plain = F.when(spaced, dashed).when(bare, joined)
+    return (
+        F.when((spaced | bare) & (F.translate(plain, "0123456789", "") == "--"), plain.try_cast("date"))
+        .when(F.length(text) >= 8, _other_date(text))
+    )
+
+
+def _other_date(text: Column) -> Column:
     apart = F.regexp_replace(text, _APART, "$1-$3-$4")
     together = F.regexp_replace(text, _TOGETHER, "$1-$2-$3")
     dashed = F.when(text.rlike(_APART), apart).when(text.rlike(_TOGETHER), together)
@@ -52,18 +66,13 @@ def date_text(day: Column, compact: bool = False) -> Column:
 
 
 def day_year(day: Column) -> Column:
-    """Year of a date, or of text in one of the readable forms."""
-    return F.year(_day(day))
+    """Year of a date or timestamp; text goes through ``parse_date`` first."""
+    return F.year(day)
 
 
 def day_quarter(day: Column) -> Column:
-    """Quarter of a date, or of text in one of the readable forms."""
-    return F.quarter(_day(day))
-
-
-def _day(value: Column) -> Column:
-    """Text as it is read by ``parse_date``; a timestamp's text holds its date."""
-    return parse_date(value.cast("string"))
+    """Quarter of a date or timestamp; text goes through ``parse_date`` first."""
+    return F.quarter(day)
 
 
 def label_year(label: Column) -> Column:

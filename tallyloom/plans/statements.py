@@ -8,7 +8,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,37 +97,34 @@ def split_by_company_type(
     """One dataset per company type, each without the columns that are null in all its rows.
 
     The filtered rows are written once, by type, below ``root``: the plan behind ``df`` runs once,
-    and each later step reads only its own directory. One aggregation then counts the values per
-    type and column; its at most four rows give the schemas. A type without rows gets an empty
+    and each later step reads only its own directory. While they are written, the rows of each type are counted, and for each
+    column the types that have a value; these numbers give the schemas, without a further scan. A type without rows gets an empty
     dataset with all columns, so nothing of an earlier run stays. The staged rows are removed at
     the end.
     """
     staged = f"{root.rstrip('/')}/_split-{uuid.uuid4().hex}"
+    types = sorted(columns.COMPANY_TYPES)
+    rows = filters.date_range(df, "end_date", start=since).filter(F.col("comp_type").isin(types))
+    bit = F.lit(0)
+    for place, company_type in enumerate(types):
+        bit = F.when(F.col("comp_type") == company_type, 1 << place).otherwise(bit)
+    observed = Observation()
+    counts = [F.count(F.when(F.col("comp_type") == t, 1)).alias(f"rows {t}") for t in types]
+    having = [F.bit_or(F.when(schema.present(df, c).isNotNull(), bit).otherwise(0)).alias(f"in {c}") for c in df.columns]
     (
-        filters.date_range(df, "end_date", start=since)
-        .filter(F.col("comp_type").isin(list(columns.COMPANY_TYPES)))
+        rows.observe(observed, *counts, *having)
         .withColumn("split_type", F.col("comp_type"))
         .write.partitionBy("split_type")
         .parquet(staged)
     )
+    found = observed.get
     split_field = T.StructField("split_type", T.StringType())
     stage = read_landing(spark, staged, T.StructType([*df.schema.fields, split_field]))
-    measured = stage.drop("split_type")
-    counts = {
-        row["split_type"]: row
-        for row in stage.groupBy("split_type")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.array(*schema.present_counts(measured)).alias("counts"),
-        )
-        .collect()
-    }
 
     def write(company_type: str) -> SplitPart:
-        row = counts.get(company_type)
-        n_rows = row["n_rows"] if row else 0
-        counted = zip(measured.columns, row["counts"] if row else [1] * len(measured.columns))
-        kept = [column for column, count in counted if count]
+        n_rows = found[f"rows {company_type}"]
+        place = types.index(company_type)
+        kept = [c for c in df.columns if not n_rows or found[f"in {c}"] >> place & 1]
         part = schema.keep_columns(stage.filter(F.col("split_type") == company_type), kept)
         target = f"{name}_type_{company_type}"
         path = write_parquet(part, root, target)
@@ -138,6 +135,6 @@ def split_by_company_type(
     # The parts differ much in size; submitted together, the small ones run beside the large one.
     try:
         with ThreadPoolExecutor(max_workers=len(columns.COMPANY_TYPES)) as pool:
-            return list(pool.map(write, sorted(columns.COMPANY_TYPES)))
+            return list(pool.map(write, types))
     finally:
         remove(spark, staged)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -50,25 +49,26 @@ def read_landing(
 def sql_over_tables(spark: SparkSession, tables: Mapping[str, str | DataFrame], sql: str) -> DataFrame:
     """Run SQL over Parquet paths (or DataFrames) known by alias for this one query.
 
-    Aliases are common table expressions in front of the statement, so views of the same name stay
-    as they are. A DataFrame stands behind a view with a name of its own until the statement is
-    analysed.
+    The aliases are views of a session that is made for the call, so the statement is any SQL (comments, hints,
+    recursion, tables of its own) and the caller's views are neither seen nor touched. Settings are the caller's;
+    the names of its permanent tables can be used.
     """
-    views, parts = [], []
+    apart = spark.newSession()
+    mine = spark._jsparkSession.sessionState().conf().getAllConfs()
+    theirs = apart._jsparkSession.sessionState().conf()
+    for setting in mine.keys().mkString("\n").split("\n"):
+        theirs.setConfString(setting, mine.apply(setting))
     for alias, table in tables.items():
-        if isinstance(table, str):
-            source = f"parquet.`{table}`"
-        else:
-            source = f"tallyloom_{uuid.uuid4().hex}"
-            table.createOrReplaceTempView(source)
-            views.append(source)
-        parts.append(f"`{alias}` as (select * from {source})")
-    rest = re.sub(r"^\s*with\s", ", ", sql, count=1, flags=re.IGNORECASE)
-    try:
-        return spark.sql(f"with {', '.join(parts)} {rest}" if parts else sql)
-    finally:
-        for view in views:
-            spark.catalog.dropTempView(view)
+        frame = apart.read.parquet(table) if isinstance(table, str) else _moved(apart, table)
+        frame.createOrReplaceTempView(alias)
+    return _moved(spark, apart.sql(sql))
+
+
+def _moved(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The same plan in another session of the application."""
+    plan = df._jdf.queryExecution().analyzed()
+    rows = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan)
+    return DataFrame(rows, spark)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -77,20 +77,63 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def write_parquet(df: DataFrame, root: str, name: str) -> str:
-    """Overwrite a named Parquet dataset; returns its path."""
-    path = dataset_path(root, name)
-    df.write.mode("overwrite").parquet(path)
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back the dataset of a replacement that ended between its two renames; whether there was one."""
+    files, folder = _folder(spark, path)
+    _, aside = _folder(spark, _aside(path))
+    if files.exists(aside) and not files.exists(folder):
+        return files.rename(aside, folder)
+    return False
+
+
+def _aside(path: str) -> str:
+    root, _, name = path.rpartition("/")
+    return f"{root}/_replaced-{name}"
+
+
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Replace a dataset by what ``write`` writes to the path it is given; returns the dataset's path.
+
+    All rows are written beside the dataset first, so a job that fails leaves the old rows, and a job may read what it replaces.
+    Then the old folder is renamed aside, the new one renamed into its place, and the old one deleted. A process
+    that ends between the renames leaves the old rows aside: the next call, or ``recover``, puts them back. File systems that rename by copying
+    take longer, not another result. One writer of a dataset at a time.
+    """
+    recover(spark, path)
+    files, folder = _folder(spark, path)
+    root, _, name = path.rpartition("/")
+    staged = f"{root}/_staged-{name}-{uuid.uuid4().hex}"
+    try:
+        write(staged)
+        _, fresh = _folder(spark, staged)
+        _, aside = _folder(spark, _aside(path))
+        files.delete(aside, True)
+        if files.exists(folder) and not files.rename(folder, aside):
+            raise OSError(f"cannot move {path} aside")
+        if not files.rename(fresh, folder):
+            recover(spark, path)
+            raise OSError(f"cannot move the new rows to {path}")
+        files.delete(aside, True)
+    finally:
+        remove(spark, staged)
     return path
 
 
+def write_parquet(df: DataFrame, root: str, name: str) -> str:
+    """Replace a named Parquet dataset (see ``replace``); returns its path."""
+    return replace(df.sparkSession, dataset_path(root, name), lambda staged: df.write.parquet(staged))
+
+
 def write_csv(df: DataFrame, root: str, name: str) -> str:
-    """Overwrite a named CSV dataset, a header row in each file, quotes doubled; returns its path."""
-    path = dataset_path(root, name, "csv")
-    df.write.mode("overwrite").options(
-        **{**CSV_FORM, "emptyValue": '""', "maxRecordsPerFile": CSV_ROWS_PER_FILE}
-    ).csv(path)
-    return path
+    """Replace a named CSV dataset, a header row in each file, quotes doubled; returns its path."""
+    form = {**CSV_FORM, "emptyValue": '""', "maxRecordsPerFile": CSV_ROWS_PER_FILE}
+    write = df.write.options(**form)
+    return replace(df.sparkSession, dataset_path(root, name, "csv"), lambda staged: write.csv(staged))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
