@@ -128,6 +128,19 @@ def slice_symbols(spark: SparkSession, sf: str) -> DataFrame:
     return keys.slice_symbols(listed, 100, 600)
 
 
+@query(
+    "slice_symbols_deep",
+    """
+select printf('%06d', l_orderkey) as symbol from lineitem
+order by symbol limit 50000 offset 4321
+""",
+)
+def slice_symbols_deep(spark: SparkSession, sf: str) -> DataFrame:
+    """A slice that lies deep in the codes and is long; codes repeat, and both ends cut such repeats."""
+    listed = given(spark, sf, "lineitem").select(code(F.col("l_orderkey")).alias("symbol"))
+    return keys.slice_symbols(listed, 4321, 54321)
+
+
 @query(
     "coverage_report",
     """

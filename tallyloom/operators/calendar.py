@@ -9,7 +9,7 @@ step of the job, with nothing sorted or shuffled after it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.schema import present
@@ -29,30 +29,45 @@ def symbol_span(events: DataFrame) -> DataFrame:
     )
 
 
-def _offsets(start: str, stop: str) -> str:
-    """Exploded days after ``start`` up to ``stop``, as SQL text; no rows for an empty range.
+#: A span of days is cut into pieces of so many, and a task gets pieces of so many days in all.
+PIECE_DAYS = 256
+DAYS_PER_TASK = 1 << 18
 
-    Whole numbers: a sequence of dates would step through timestamps.
-    """
-    return f"explode(if({start} <= {stop}, sequence(0, datediff({stop}, {start})), null))"
+
+def _days(first: str, last: str) -> str:
+    """Number of days from ``first`` to ``last``, both included, as SQL text."""
+    return f"cast(greatest(datediff({last}, {first}) + 1, 0) as long)"
+
+
+def _written_with_days(df: DataFrame, first: str, last: str) -> tuple[DataFrame, int]:
+    """The rows, written to the shared scratch folder, and their days in all, added up while writing."""
+    from tallyloom.sources.scratch import scratch_path  # the sources import operators
+
+    path = scratch_path(df.sparkSession, "calendar")
+    observed = Observation()
+    df.observe(observed, F.expr(f"sum({_days(first, last)})").alias("days")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), observed.get["days"] or 0
 
 
-def _wide(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread rows that are about to be multiplied over the full number of shuffle partitions.
+def _each_day(df: DataFrame, first: str, last: str, days: int) -> DataFrame:
+    """A row for each day from ``first`` to ``last``, its distance to the first in ``offset``.
 
-    A given number keeps adaptive execution from merging the partitions by their small size before
-    the explode. The keys must differ from those the rows are already grouped by, or Spark leaves
-    the step out.
+    Rows are cut into pieces of at most ``PIECE_DAYS`` days and the pieces dealt evenly over tasks, as many as ``days`` in
+    all need; then each task multiplies its own. The tasks follow the size of the calendar, whatever
+    the number of shuffle partitions, and the days of one row may lie in several tasks.
+    Offsets are whole numbers: a sequence of dates would step through timestamps.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    tasks = max(1, -(-days // DAYS_PER_TASK))
+    cut = df.selectExpr("*", f"explode(if({first} <= {last}, sequence(0, datediff({last}, {first}), {PIECE_DAYS}), null)) as piece")
+    stop = f"least(piece + {PIECE_DAYS - 1}, datediff({last}, {first}))"
+    return cut.repartition(tasks).selectExpr("*", f"explode(sequence(piece, {stop})) as offset").drop("piece")
 
 
 def dense_calendar(span: DataFrame) -> DataFrame:
     """One row per symbol and day from first_date to last_date."""
-    return (
-        _wide(span, "symbol", "first_date")
-        .selectExpr("symbol", "first_date", f"{_offsets('first_date', 'last_date')} as offset")
-        .selectExpr("symbol", "date_add(first_date, offset) as date")
+    spans, days = _written_with_days(span.select("symbol", "first_date", "last_date"), "first_date", "last_date")
+    return _each_day(spans, "first_date", "last_date", days).selectExpr(
+        "symbol", "date_add(first_date, offset) as date"
     )
 
 
@@ -138,14 +153,6 @@ def _totals(changes: DataFrame, names: DataFrame, months: int) -> DataFrame:
     )
 
 
-def _written(df: DataFrame) -> DataFrame:
-    from tallyloom.sources.scratch import scratch_path  # the sources import operators
-
-    path = scratch_path(df.sparkSession, "calendar")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 _CALENDAR = ("date", "symbol", "stock_name", "dividend", "year")
 _TOTALS = ("last_year_total_dividend", "current_year_total_dividend", "rolling_12m_dividend")
 
@@ -161,7 +168,7 @@ def change_totals(
     names = dimension.groupBy("symbol").agg(
         F.expr("min(stock_name) as stock_name"), F.expr("count(1) as copies")
     )
-    return _totals(_change_days(_wide(daily, "symbol"), months), names, months)
+    return _totals(_change_days(daily, months), names, months)
 
 
 def event_calendar(
@@ -179,19 +186,18 @@ def event_calendar(
     worked out once and written to the shared scratch folder; days with several events then take
     their own amounts from the events of those days.
     """
-    totals = _written(change_totals(events, dimension, amount, months))
+    totals, days = _written_with_days(change_totals(events, dimension, amount, months), "change", "until")
     events = known_events(events).select("symbol", "date", present(events, amount).alias("paid"))
 
     kept = ("symbol", "stock_name", "year", *_TOTALS)
-    spread = (
-        totals.selectExpr(
-            *kept,
-            "until",
-            "if(n_rows > 1, date_add(change, 1), change) as first",
-            "if(n_rows > 1, 0D, amount) as own",
-        )
-        .selectExpr(*kept, "first", "own", f"{_offsets('first', 'until')} as offset")
-        .selectExpr(*kept, "date_add(first, offset) as date", "if(offset = 0, own, 0D) as dividend")
+    periods = totals.selectExpr(
+        *kept,
+        "until",
+        "if(n_rows > 1, date_add(change, 1), change) as first",
+        "if(n_rows > 1, 0D, amount) as own",
+    )
+    spread = _each_day(periods, "first", "until", days).selectExpr(
+        *kept, "date_add(first, offset) as date", "if(offset = 0, own, 0D) as dividend"
     )
     crowded = (
         events.join(

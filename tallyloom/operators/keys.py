@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -22,18 +22,16 @@ def restrict_symbols(df: DataFrame, codes: DataFrame, key: str = "symbol") -> Da
     return df.join(codes.select(key).distinct(), key, "left_semi")
 
 
-_BUCKETS = 64
-
-
 def first_rows(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """The first rows by key.
 
-    The last key that belongs to them is found over the keys alone, in ``_BUCKETS`` hashed parts of
+    The last key that belongs to them is found over the keys alone, in hashed parts (as many as shuffle partitions) of
     which each keeps its first rows; one row of it reaches the driver. The table is then scanned for
     rows up to that key, so the final sort reads little more than it returns.
     """
     narrow = df.select(F.struct(*keys).alias("at"))
-    order = Window.partitionBy(F.pmod(F.xxhash64("at"), F.lit(_BUCKETS))).orderBy("at")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = Window.partitionBy(F.pmod(F.xxhash64("at"), F.lit(parts))).orderBy("at")
     firsts = narrow.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
     last = firsts.orderBy("at").limit(rows).agg(F.max("at").alias("at")).first()["at"]
     if last is None:
@@ -45,35 +43,87 @@ def first_rows(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     return df.filter(F.struct(*keys) <= bound).orderBy(*keys).limit(rows)
 
 
+#: A slice that ends here or before is the head of the sorted codes; deeper ones are found by ranges.
+HEAD = 4096
+_BOUNDS = 63
+
+
+def _sides(key: Column, bounds: Sequence, first: int = 0) -> Column:
+    """Place among sorted bounds: 2 i below bound i (and above the one before), 2 i + 1 at it. A tree of comparisons."""
+    if not bounds:
+        return F.lit(2 * first)
+    middle = len(bounds) // 2
+    above = _sides(key, bounds[middle + 1 :], first + middle + 1)
+    return (
+        F.when(key < F.lit(bounds[middle]), _sides(key, bounds[:middle], first))
+        .when(key == F.lit(bounds[middle]), 2 * (first + middle) + 1)
+        .otherwise(above)
+    )
+
+
+def _key_at(codes: DataFrame, position: int):
+    """The key at a position of the sorted keys (none null), and the number of keys below it; none beyond the end.
+
+    A sample of ``_BOUNDS`` keys cuts the keys into ranges and single keys, whose rows are counted exactly in one pass; the
+    search goes on in the range that holds the position, and ends at a single key.
+    """
+    key = F.col(codes.columns[0])
+    below, inside = 0, codes
+    while True:
+        drawn = F.xxhash64(key, F.monotonically_increasing_id())
+        sample = inside.orderBy(drawn).limit(_BOUNDS).collect()
+        bounds = sorted({row[0] for row in sample})
+        if not bounds:
+            return None
+        counts = inside.groupBy(_sides(key, bounds).alias("side")).agg(F.count("*").alias("n")).collect()
+        for side, n in sorted((row["side"], row["n"]) for row in counts):
+            if below + n > position:
+                break
+            below += n
+        else:
+            return None
+        if side % 2:
+            return bounds[side // 2], below
+        if side > 0:
+            inside = inside.filter(key > F.lit(bounds[side // 2 - 1]))
+        if side // 2 < len(bounds):
+            inside = inside.filter(key < F.lit(bounds[side // 2]))
+
+
 def slice_symbols(
-    codes: DataFrame, start: int, stop: int | None = None, key: str = "symbol"
+    codes: DataFrame, start: int, stop: int | None = None, key: str = "symbol", head: int = HEAD
 ) -> DataFrame:
-    """Codes at positions [start, stop) in code order, null first.
+    """Codes at positions [start, stop) in code order, null first. Codes that repeat have a position each.
 
-    The codes are written once in ranges; the sizes of the ranges, one number each, tell which of
-    them hold the slice, and only their rows are numbered.
+    A slice within the first ``head`` codes is the head of each task's codes, merged. For a deeper one the
+    keys at its ends are found by counting ranges (a few passes over the codes; some dozen numbers each reach the
+    driver); the codes between them are one filtered scan, and the ends are repeated as often as they
+    belong to the slice. Nothing is written and nothing is numbered.
     """
-    from tallyloom.sources.scratch import scratch_path  # the sources import this module
-
-    ranges = codes.select(key).repartitionByRange(key).withColumn("range", F.spark_partition_id())
-    spark = codes.sparkSession
-    path = scratch_path(spark, "slice")
-    ranges.write.parquet(path)
-    staged = spark.read.schema(ranges.schema).parquet(path)
-    counted = staged.groupBy("range").agg(F.count("*").alias("n")).collect()
-    sizes = sorted((row["range"], row["n"]) for row in counted)
-    first, offsets = 0, {}
-    for number, size in sizes:
-        if first + size > start and (stop is None or first < stop):
-            offsets[number] = first
-        first += size
-    if not offsets:
-        return codes.select(key).limit(0)
-    before = F.element_at(F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair]), F.col("range"))
-    place = before + F.row_number().over(Window.partitionBy("range").orderBy(key)) - 1
-    numbered = staged.filter(F.col("range").isin(list(offsets))).withColumn("place", place)
-    wanted = F.col("place") >= start
-    return numbered.filter(wanted if stop is None else wanted & (F.col("place") < stop)).select(key)
+    codes = codes.select(key)
+    if stop is not None and stop <= head:
+        return codes.orderBy(key).limit(stop).offset(start)
+    spark, kind = codes.sparkSession, codes.schema[0].dataType
+
+    def repeated(value: object, times: int) -> DataFrame:
+        return spark.range(max(times, 0)).select(F.lit(value).cast(kind).alias(key))
+
+    rows, nulls = codes.agg(F.count("*"), F.count_if(F.col(key).isNull())).first()
+    stop = rows if stop is None else min(stop, rows)
+    if start >= stop:
+        return codes.limit(0)
+    missing = repeated(None, min(stop, nulls) - start)
+    if stop <= nulls:
+        return missing
+    known = codes.filter(F.col(key).isNotNull())
+    first, last = max(start - nulls, 0), stop - nulls
+    low, below_low = _key_at(known, first)
+    high, below_high = _key_at(known, last - 1)
+    if low == high:
+        return missing.union(repeated(low, last - first))
+    middle = known.filter((F.col(key) > F.lit(low)) & (F.col(key) < F.lit(high)))
+    of_low = known.filter(F.col(key) == F.lit(low)).count() - (first - below_low)
+    return missing.union(repeated(low, of_low)).union(middle).union(repeated(high, last - below_high))
 
 
 def lookup(df: DataFrame, code: str, key: str = "symbol") -> DataFrame:

@@ -84,3 +84,41 @@ def test_facts_of_one_symbol_are_reduced_before_the_shuffle(shuffled, plan):
     text = plan(wide)
     assert text.index("Exchange") < text.index("partial_max_by")
     assert wide.filter("symbol = 'hot'").first()["stock_name"] == f"{ROWS - 3}.00"
+
+
+def test_slices_with_repeats_and_nulls(spark):
+    """Any slice, by its head or by ranges; a third of the codes are one code."""
+    from tallyloom.operators import keys
+
+    data = [None] * 7 + ["hot"] * 400 + [f"{i * 37 % 600:04d}" for i in range(800)] + [""] * 3
+    codes = spark.createDataFrame([(c,) for c in data], "symbol string").repartition(6)
+    order = sorted(data, key=lambda c: (c is not None, c or ""))
+    for start, stop in ((0, 5), (3, 9), (5, 30), (0, 1210), (100, 101), (500, 900), (790, 1000), (1000, 1205), (1205, None), (0, None), (1209, 5000), (2000, 2100), (9, 9)):
+        for head in (0, 64):
+            found = [r["symbol"] for r in keys.slice_symbols(codes, start, stop, head=head).collect()]
+            assert sorted(found, key=lambda c: (c is not None, c or "")) == order[start:stop], (start, stop, head)
+    assert keys.slice_symbols(codes.limit(0), 0, 5).count() == keys.slice_symbols(codes.limit(0), 5000, 5100).count() == 0
+    numbers = spark.range(0, 20_000).selectExpr("id * 7919 % 20000 as k")
+    assert sorted(r["k"] for r in keys.slice_symbols(numbers, 9_990, 10_020, key="k").collect()) == list(range(9_990, 10_020))
+
+
+def test_calendar_tasks_are_even(spark, monkeypatch):
+    """One symbol with most of the days, whatever the number of shuffle partitions."""
+    import datetime as dt
+
+    from tallyloom.operators import calendar
+
+    monkeypatch.setattr(calendar, "DAYS_PER_TASK", 4000)
+    day = dt.date(1900, 1, 1)
+    data = [("long", day, 20_000), ("none", day, -1)] + [(f"s{i}", day, 1 + i * 7 % 900) for i in range(60)]
+    spans = spark.createDataFrame([(s, d, d + dt.timedelta(days=n)) for s, d, n in data], "symbol string, first_date date, last_date date")
+    wanted = sum(n + 1 for _, _, n in data)
+    for partitions in ("1", "1000"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            dense = calendar.dense_calendar(spans)
+            sizes = [r["count"] for r in dense.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+            assert dense.distinct().count() == wanted == sum(sizes)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert len(sizes) == -(-wanted // 4000) and max(sizes) <= 2 * min(sizes)
