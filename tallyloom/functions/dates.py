@@ -18,34 +18,33 @@ QUARTER_LABELS = (
 # The date forms that are read, each over the whole text: year, month and day apart by one of - / .
 # or eight digits, then a time of day or nothing.
 _TIME = r"(?:[ T][0-9]{1,2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?(?:Z|[+-][0-9]{2}:?[0-9]{2})?)?"
-_APART = rf"^\s*([0-9]{{4}})([-/.])([0-9]{{1,2}})\2([0-9]{{1,2}}){_TIME}\s*$"
-_TOGETHER = rf"^\s*([0-9]{{4}})([0-9]{{2}})([0-9]{{2}}){_TIME}\s*$"
+_FORM = rf"^\s*([0-9]{{4}})(?:([-/.])([0-9]{{1,2}})\2([0-9]{{1,2}})|([0-9]{{2}})([0-9]{{2}})){_TIME}\s*\z"
+_EIGHT = r"^[0-9]{8}\z"
 
 
 def parse_date(text: Column) -> Column:
     """Date from text, null when it cannot be read.
 
-    Text of ten characters with two equal separators in place, or of eight digits, is read by its characters; only other text is
-    tried against the forms. Unreadable text gives null without raising, so rows of it cost no more than good ones.
+    Eight digits, and ten characters with dashes in their places, are read by position; only other text is tried
+    against the forms. ``try_cast`` reports unreadable text without raising, so rows of it cost no more than
+    good ones.
     """
-    year, mark = F.substring(text, 1, 4), F.substring(text, 5, 1)
-    spaced = (F.length(text) == 10) & mark.isin("-", "/", ".") & (F.substring(text, 8, 1) == mark)
-    dashed = F.concat_ws("-", year, F.substring(text, 6, 2), F.substring(text, 9, 2))
-    bare = (F.length(text) == 8) & (F.translate(text, "0123456789", "") == "")
-    joined = F.concat_ws("-", year, F.substring(text, 5, 2), F.substring(text, 7, 2))
-    # whatever is not a separator has to be a digit
-    plain = F.when(spaced, dashed).when(bare, joined)
-    return (
-        F.when((spaced | bare) & (F.translate(plain, "0123456789", "") == "--"), plain.try_cast("date"))
-        .when(F.length(text) >= 8, _other_date(text))
+    bare = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    # the cast reads a space or T as the end of the date, so the last character has to be a digit
+    dashed = (
+        (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (F.substring(text, 8, 1) == "-")
+        & F.substring(text, 10, 1).between("0", "9")
     )
+    return (
+        F.when(dashed, text.try_cast("date"))
+        .when(text.rlike(_EIGHT), bare.try_cast("date"))
+        .otherwise(_date_of_form(text))
+    )
 
 
-def _other_date(text: Column) -> Column:
-    apart = F.regexp_replace(text, _APART, "$1-$3-$4")
-    together = F.regexp_replace(text, _TOGETHER, "$1-$2-$3")
-    dashed = F.when(text.rlike(_APART), apart).when(text.rlike(_TOGETHER), together)
-    return dashed.try_cast("date")
+def _date_of_form(text: Column) -> Column:
+    """Date from text in any of the forms."""
+    return F.when(text.rlike(_FORM), F.regexp_replace(text, _FORM, "$1-$3$5-$4$6").try_cast("date"))
 
 
 def parse_compact_date(text: Column) -> Column:

@@ -45,6 +45,8 @@ def first_rows(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
 
 #: A slice that ends here or before is the head of the sorted codes; deeper ones are found by ranges.
 HEAD = 4096
+#: Ranges of so many keys at most are searched by their sorted head.
+_LAST = 1 << 14
 _BOUNDS = 63
 
 
@@ -61,33 +63,39 @@ def _sides(key: Column, bounds: Sequence, first: int = 0) -> Column:
     )
 
 
-def _key_at(codes: DataFrame, position: int):
-    """The key at a position of the sorted keys (none null), and the number of keys below it; none beyond the end.
+def _ranges(codes: DataFrame) -> tuple[list, list[tuple[int, int]]]:
+    """A sample of keys, sorted, and the exact numbers of rows below, at and between them."""
+    key = F.col(codes.columns[0])
+    drawn = F.xxhash64(key, F.monotonically_increasing_id())
+    bounds = sorted({row[0] for row in codes.orderBy(drawn).limit(_BOUNDS).collect()})
+    counts = codes.groupBy(_sides(key, bounds).alias("side")).agg(F.count("*").alias("n")).collect()
+    return bounds, sorted((row["side"], row["n"]) for row in counts)
+
+
+def _key_at(codes: DataFrame, position: int, ranges: tuple[list, list[tuple[int, int]]]):
+    """The key at a position of the sorted keys (none null), and the number of keys below it.
 
-    A sample of ``_BOUNDS`` keys cuts the keys into ranges and single keys, whose rows are counted exactly in one pass; the
-    search goes on in the range that holds the position, and ends at a single key.
+    The keys are cut into ranges and single keys, whose rows are counted exactly in one pass; the search goes on in the
+    range that holds the position, and ends at a single key or in a short range.
     """
     key = F.col(codes.columns[0])
     below, inside = 0, codes
     while True:
-        drawn = F.xxhash64(key, F.monotonically_increasing_id())
-        sample = inside.orderBy(drawn).limit(_BOUNDS).collect()
-        bounds = sorted({row[0] for row in sample})
-        if not bounds:
-            return None
-        counts = inside.groupBy(_sides(key, bounds).alias("side")).agg(F.count("*").alias("n")).collect()
-        for side, n in sorted((row["side"], row["n"]) for row in counts):
+        bounds, counts = ranges
+        for side, n in counts:
             if below + n > position:
                 break
             below += n
-        else:
-            return None
         if side % 2:
             return bounds[side // 2], below
         if side > 0:
             inside = inside.filter(key > F.lit(bounds[side // 2 - 1]))
         if side // 2 < len(bounds):
             inside = inside.filter(key < F.lit(bounds[side // 2]))
+        if n <= _LAST:
+            head = [row[0] for row in inside.orderBy(key).limit(position - below + 1).collect()]
+            return head[-1], below + head.index(head[-1])
+        ranges = _ranges(inside)
 
 
 def slice_symbols(
@@ -117,8 +125,9 @@ def slice_symbols(
         return missing
     known = codes.filter(F.col(key).isNotNull())
     first, last = max(start - nulls, 0), stop - nulls
-    low, below_low = _key_at(known, first)
-    high, below_high = _key_at(known, last - 1)
+    ranges = _ranges(known)
+    low, below_low = _key_at(known, first, ranges)
+    high, below_high = _key_at(known, last - 1, ranges)
     if low == high:
         return missing.union(repeated(low, last - first))
     middle = known.filter((F.col(key) > F.lit(low)) & (F.col(key) < F.lit(high)))
