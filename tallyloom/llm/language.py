@@ -7,12 +7,14 @@ dictionary, and the sizes of all pieces of a text are added up: in one long stre
 dictionary's place in the match tables and only its beginning would decide.
 
 Fitting takes a bounded sample, ``SAMPLE`` documents a language chosen by a hash of the id, and
-fills ``DICTIONARY`` bytes with equal shares of them; everything else reads all rows. Dictionaries
+fills ``DICTIONARY`` bytes with equal shares of them. A share is cut at places of the whole text that a hash chooses
+(``PIECES`` of them reach the driver, shares larger than one piece take several). Everything else reads all rows. Dictionaries
 are the only thing sent to tasks: languages times ``DICTIONARY`` bytes.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0, rejected. Ties go to the
 language that is first by code point. Without labelled documents every text is ``und``. Rows that
-repeat are predicted each. An empty table gives no rows.
+repeat are predicted each. An empty table gives no rows. Texts of any length are compressed whole. Columns beyond the three named
+ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 DICTIONARY = 112 << 10
 SAMPLE = 256
+PIECES = 16
 #: zstandard's parameters: short matches tell languages apart, so they are searched for from 3 bytes on.
 PARAMETERS = {
     "window_log": 18, "hash_log": 15, "chain_log": 15, "search_log": 2, "min_match": 3, "target_length": 0, "strategy": 4,
@@ -59,7 +62,7 @@ def fit(
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
     share = DICTIONARY // SAMPLE
     rows = (
-        drawn.select("lang", "draw", F.substring("text", 1, 16 * share).alias("text"))
+        drawn.select("lang", "draw", _pieces(F.col("text"), F.col("draw"), share).alias("text"))
         .withColumn("rank", rank)
         .where(F.col("rank") <= SAMPLE)
         .select("lang", "draw", "text")
@@ -71,6 +74,13 @@ def fit(
     return {lang: _content([text for _, text in sorted(found)]) for lang, found in sorted(texts.items())}
 
 
+def _pieces(text: Column, draw: Column, size: int) -> Column:
+    """``PIECES`` pieces of a text at hashed places, a line each; a text of one piece is whole."""
+    places = F.greatest(F.length(text) - size + 1, F.lit(1))
+    cut = [F.substring(text, F.pmod(F.xxhash64(draw, F.lit(i)), places).cast("int") + 1, F.lit(size)) for i in range(PIECES)]
+    return F.when(F.length(text) <= size, text).otherwise(F.array_join(F.array(*cut), "\n"))
+
+
 def _content(texts: list[bytes]) -> bytes:
     """Equal shares of the texts, larger ones where others are short, in ``DICTIONARY`` bytes."""
     room, parts = DICTIONARY, []

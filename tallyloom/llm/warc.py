@@ -1,7 +1,10 @@
 """WARC archives with revisit records.
 
-Only headers (id, digest, length) are shuffled by payload digest to find the first record of each payload.
-The archives are then written by Spark's text sink: a record is a line of text that ends in the
+Only headers (id, URL, digest, length) are shuffled by payload digest, to find the first record of each payload that
+several records share, and headers are all that a revisit record needs. Responses are written where the pages
+are read: pages that turned out to be revisits are left out there by a broadcast of their ids and digests, as long as these are
+``SENT`` at most; above that the pages are joined with them, which shuffles the payloads once.
+The archives are written by Spark's text sink: a record is a line of text that ends in the
 blank lines that close a WARC record, in gzip files that are read whole and in order, as a stream.
 Reading takes record lengths from the headers, so a payload may hold anything, and keeps one record in
 memory. Revisits are joined to their responses by record id; a payload that a third of all records
@@ -10,7 +13,8 @@ share is a skewed join that adaptive execution splits.
 Defined results: null payload is empty. Of equal payloads the record with the smallest id is the
 response; rows that repeat that id too are all responses, and a null id ranks last. Payloads below
 ``least`` bytes are always responses. Without a URL a record names ``urn:page:<id>``. An empty table
-gives an archive without records.
+gives an archive without records. A payload of any length is one record. Columns beyond the three named ones are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
+SENT = 1 << 18
+
 RECORD = (
     "page_id long, url string, record_type string, payload_digest string, payload_bytes long, "
     "record_id string, refers_to string"
@@ -46,12 +52,14 @@ def payload_digest(payload: Column) -> Column:
 
 
 def resolve(headers: DataFrame, least: int = 0) -> DataFrame:
-    """``(payload_digest, first_id)`` for the payloads of ``headers`` ``(page_id, payload_digest,
+    """``(payload_digest, first_id)`` for the payloads of several ``headers`` ``(page_id, payload_digest,
     payload_bytes)`` that may be revisited."""
     return (
         headers.where(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
-        .agg(F.min("page_id").alias("first_id"))
+        .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
+        .where("n > 1 and first_id is not null")
+        .drop("n")
     )
 
 
@@ -81,33 +89,47 @@ def write_archives(
         F.col(url_column).cast("string").alias("url"),
         F.coalesce(F.col(payload_column), F.lit("")).alias("payload"),
     ).withColumns({"payload_digest": payload_digest(F.col("payload")), "payload_bytes": F.octet_length("payload")})
-    firsts = written(resolve(rows.select("page_id", "payload_digest", "payload_bytes"), least), "firsts")
-    rows = rows.join(firsts, "payload_digest", "left")
-    page, first = F.col("page_id"), F.col("first_id")
-    revisit = first.isNotNull() & (F.col("payload_bytes") >= least) & ~page.eqNullSafe(first)
+    heads = written(rows.drop("payload"), "headers")
+    firsts = written(resolve(heads, least), "firsts")
+    revisits = heads.join(firsts, "payload_digest").where(~F.col("page_id").eqNullSafe(F.col("first_id")))
+    revisits = written(revisits.where(F.col("payload_bytes") >= least), "revisits")
+    gone = revisits.select(F.col("page_id").alias("gone_id"), F.col("payload_digest").alias("gone_digest")).distinct()
+    if revisits.count() <= SENT:
+        gone = F.broadcast(gone)
+    same = (F.col("payload_digest") == F.col("gone_digest")) & F.col("page_id").eqNullSafe(F.col("gone_id"))
+    responses = rows.join(gone, same, "left_anti")
+    none = F.lit(None).cast("long")
+    records = responses.select(_record(F.col("payload"), none, date).alias("value")).unionByName(
+        revisits.select(_record(None, F.col("first_id"), date).alias("value"))
+    )
+    records.write.option("lineSep", "\n").option("compression", "gzip").text(path)
+
+
+def _record(payload: Column | None, first: Column, date: str) -> Column:
+    """A response with its payload, or a revisit of the page ``first``; the last line end is the sink's."""
+    page, digest = F.col("page_id"), F.col("payload_digest")
     name = F.coalesce(page.cast("string"), F.lit("null"))
     url = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), F.concat(F.lit("urn:page:"), name))
-    digest = F.col("payload_digest")
-    size = F.when(revisit, F.lit(len(HTTP))).otherwise(F.col("payload_bytes") + len(HTTP))
-    head = F.concat(
+    size = F.lit(len(HTTP)) if payload is None else F.col("payload_bytes") + len(HTTP)
+    refers = F.lit("")
+    if payload is None:
+        refers = F.concat(_header("WARC-Refers-To", _record_id(first, digest)), _header("WARC-Profile", F.lit(PROFILE)))
+    return F.concat(
         F.lit(f"{VERSION}\r\n"),
-        _header("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
+        _header("WARC-Type", F.lit("revisit" if payload is None else "response")),
         _header("WARC-Record-ID", _record_id(page, digest)),
         _header("WARC-Date", F.lit(date)),
         _header("WARC-Target-URI", url),
         F.when(page.isNotNull(), _header("X-Page-ID", name)).otherwise(""),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
-        F.when(
-            revisit, F.concat(_header("WARC-Refers-To", _record_id(first, digest)), _header("WARC-Profile", F.lit(PROFILE)))
-        ).otherwise(""),
+        refers,
         _header("Content-Type", F.lit("application/http; msgtype=response")),
         _header("Content-Length", size.cast("string")),
         F.lit("\r\n"),
         F.lit(HTTP),
+        F.lit("") if payload is None else payload,
+        F.lit("\r\n\r"),
     )
-    closed = F.concat(head, F.when(revisit, "").otherwise(F.col("payload")), F.lit("\r\n\r"))
-    closed_rows = rows.select(closed.alias("value"))
-    closed_rows.write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 def _records(stream: Iterator[tuple[str, bytes]]) -> Iterator[tuple[dict[str, str], bytes]]:
