@@ -2,7 +2,9 @@
 
 Each vector is turned by a random rotation and kept as the signs of its coordinates, with the stored
 factor <code, vector> that makes <code, q> / factor an unbiased estimate of <vector, q> for a
-unit vector q. The estimate's error is below ``CONFIDENCE`` sqrt((1 - factor^2) / factor^2 / (D - 1)) but in rare cases, so
+unit vector q. Two steps use them. First codes alone are compared: the share of signs that differ estimates the angle, and
+a vector goes on where it has a partner whose angle may reach the threshold (up to ``CODE_CONFIDENCE`` standard errors). Only such
+vectors are sent to their buckets. There the estimate's error is below ``CONFIDENCE`` sqrt((1 - factor^2) / factor^2 / (D - 1)) but in rare cases, so
 only pairs whose upper bound reaches the threshold are computed from the vectors, in doubles, and
 linked by that.
 
@@ -12,11 +14,13 @@ of tables follows from the threshold: two vectors at the threshold share a bucke
 ``RECALL`` at least, closer ones more surely. Equal vectors are one row with a weight. A large bucket
 is cut into blocks, and each pair of blocks is a group of its own: the group sizes are bounded and
 all pairs are seen. A pair counts in the first table that it shares; only sums and a spanning forest
-leave a group, never its pairs.
+leave a group, never its pairs. A vector is sent to a table only for partners that it first meets there, so most are
+sent once or not at all.
 
 Defined results: a vector that is null, zero, or holds a null or non-finite component links with
 nothing, as does a row without id (its component is null). Vectors of different length never link.
-Rows that repeat an id are vectors of their own. An empty table gives no rows.
+Rows that repeat an id are vectors of their own. An empty table gives no rows. Columns beyond the two named ones are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.tables import written
@@ -35,6 +40,9 @@ from tallyloom.llm.tables import written
 THRESHOLD = 0.95
 RECALL = 0.99
 CONFIDENCE = 3.0
+CODE_CONFIDENCE = 4.0
+#: At most so many large buckets are sent to all tasks; more are joined.
+SENT = 1 << 18
 BUCKET = 256
 BLOCK = 2048
 SEED = 29
@@ -61,7 +69,7 @@ def codes(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.packbits(turned >= 0, axis=1), factor
 
 
-def _code(bits: int, tables: int, seed: int):
+def _code(bits: int, tables: int, seed: int, form: str):
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
@@ -82,7 +90,7 @@ def _code(bits: int, tables: int, seed: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("rep"), part.column("weight"), part.column("dim"),
-                        pa.array([v.tobytes() for v in raw.astype("<f8")], pa.binary()),
+                        pa.array([v.tobytes() for v in raw.astype(form)], pa.binary()),
                         pa.array([c.tobytes() for c in packed], pa.binary()), pa.array(factor),
                         pa.array([k.tobytes() for k in keys.astype("<i4")], pa.binary()),
                         pa.array((keys + place).tolist(), pa.list_(pa.int64())),
@@ -98,7 +106,54 @@ def _norms(raw: np.ndarray) -> np.ndarray:
     return np.sqrt(((raw / scale) ** 2).sum(axis=1, keepdims=True)) * scale
 
 
-def _search(threshold: float, confidence: float, tables: int, seed: int):
+def most_apart(dim: int, threshold: float) -> int:
+    """The most signs that may differ between the codes of two vectors at the threshold."""
+    share = math.acos(threshold) / math.pi
+    return math.floor(dim * share + CODE_CONFIDENCE * math.sqrt(dim * share * (1 - share)))
+
+
+_OPEN = "bucket long, left long, right long, second boolean, rep long"
+
+
+def _open(threshold: float, tables: int):
+    """From codes alone: the rows of each group with a partner that may be near, and that first meets them in this table."""
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tallyloom.llm.grouped import groups, matrix
+
+        for group in groups(batches, ["bucket", "left", "right"]):
+            bucket, left, right = (group.column(c)[0].as_py() for c in ("bucket", "left", "right"))
+            second = np.asarray(group.column("second"))
+            cross = second.any() and not second.all()
+            if group.num_rows < 2 or (left != right and not cross):
+                continue
+            dim = group.column("dim")[0].as_py()
+            signs = np.unpackbits(matrix(group.column("code"), "u1"), axis=1, count=dim).astype(np.float32) * 2 - 1
+            keys = matrix(group.column("keys"), "<i4")
+            table = int((bucket >> 32) % tables)
+            least = dim - 2 * most_apart(dim, threshold)
+            n = len(signs)
+            found = np.zeros(n, dtype=bool)
+            for a in range(0, n, 256):
+                near = signs[a : a + 256] @ signs.T >= least
+                near &= np.arange(a, a + len(near))[:, None] < np.arange(n)
+                if cross:
+                    near &= second[a : a + 256, None] != second
+                i, j = np.nonzero(near)
+                for k in range(0, len(i), 1 << 16):
+                    p, q = i[k : k + (1 << 16)] + a, j[k : k + (1 << 16)]
+                    fresh = ~(keys[p, :table] == keys[q, :table]).any(axis=1)
+                    found[p[fresh]] = found[q[fresh]] = True
+            at = np.flatnonzero(found)
+            rep = np.asarray(group.column("rep"))[at]
+            same = [pa.array(np.full(len(at), x, dtype=np.int64)) for x in (bucket, left, right)]
+            names = ["bucket", "left", "right", "second", "rep"]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(second[at]), pa.array(rep)], names)
+
+    return opened
+
+
+def _search(threshold: float, confidence: float, tables: int, seed: int, form: str):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tallyloom.llm.grouped import groups
 
@@ -110,7 +165,7 @@ def _search(threshold: float, confidence: float, tables: int, seed: int):
             dim = group.column("dim")[0].as_py()
             if dim not in turns:
                 turns[dim] = rotation(dim, seed)
-            rows += _links(group, turns[dim], threshold, confidence, tables)
+            rows += _links(group, turns[dim], threshold, confidence, tables, form)
             if len(rows) >= 1 << 15:
                 yield _rows(rows)
                 rows = []
@@ -124,11 +179,13 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
 
 
-def _links(group: pa.Table, turn: np.ndarray, threshold: float, confidence: float, tables: int) -> list[tuple]:
-    """Rows ``(a, null, n)``: n more vectors link with a; and ``(a, b, null)``: links that join what is linked."""
+def _links(
+    group: pa.Table, turn: np.ndarray, threshold: float, confidence: float, tables: int, form: str
+) -> list[tuple]:
+    """From the pairs that first meet in this table: rows ``(a, null, n)``: n more vectors link with a; and ``(a, b, null)``: links that join what is linked."""
     from tallyloom.llm.grouped import matrix
 
-    raw = matrix(group.column("vector"), "<f8")
+    raw = matrix(group.column("vector"), form).astype(np.float64)
     dim = raw.shape[1]
     unit = raw / _norms(raw)
     signs = np.unpackbits(matrix(group.column("code"), "u1"), axis=1, count=dim).astype(np.float32) * 2 - 1
@@ -157,12 +214,13 @@ def _links(group: pa.Table, turn: np.ndarray, threshold: float, confidence: floa
         i += a
         for k in range(0, len(i), 1 << 16):
             p, q = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
+            fresh = ~(keys[p, :table] == keys[q, :table]).any(axis=1)
+            p, q = p[fresh], q[fresh]
             exact = np.einsum("ij,ij->i", unit[p], unit[q]) >= threshold
             p, q = p[exact], q[exact]
             linked[p, q] = linked[q, p] = True
-            fresh = ~(keys[p, :table] == keys[q, :table]).any(axis=1)
-            np.add.at(gained, p[fresh], weight[q[fresh]])
-            np.add.at(gained, q[fresh], weight[p[fresh]])
+            np.add.at(gained, p, weight[q])
+            np.add.at(gained, q, weight[p])
     rows = [(a, None, g) for a, g in zip(rep[gained > 0].tolist(), gained[gained > 0].tolist(), strict=True)]
     return rows + _forest(linked, rep)
 
@@ -206,24 +264,34 @@ def near_duplicates(
         "classes",
     )
     bits, tables = tables_for(classes.count(), threshold)
+    single = isinstance(classes.schema["embedding"].dataType.elementType, T.FloatType)
+    form = "<f4" if single else "<f8"
     coded = written(
-        classes.select("rep", "weight", "dim", "embedding").mapInArrow(_code(bits, tables, seed), CODED), "codes"
+        classes.select("rep", "weight", "dim", "embedding").mapInArrow(_code(bits, tables, seed, form), CODED), "codes"
     )
-    large = (
+    large = written(
         coded.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > BLOCK).select("bucket", F.ceil(F.col("rows") / BLOCK).alias("blocks"))
+        .where(F.col("rows") > BLOCK).select("bucket", F.ceil(F.col("rows") / BLOCK).alias("blocks")),
+        "large",
     )
-    placed = coded.select("*", F.explode("buckets").alias("bucket")).drop("buckets").join(large, "bucket", "left")
+    if large.count() <= SENT:
+        large = F.broadcast(large)
+    placed = coded.select("rep", "dim", "code", "keys", F.explode("buckets").alias("bucket")).join(large, "bucket", "left")
     blocks = F.coalesce("blocks", F.lit(1))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     )
     pairs = placed.select(
         "bucket", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"),
-        (F.col("block") > F.col("other")).alias("second"), "rep", "weight", "dim", "vector", "code", "factor", "keys",
+        (F.col("block") > F.col("other")).alias("second"), "rep", "dim", "code", "keys",
     )
-    pairs = pairs.repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right")
-    found = written(pairs.mapInArrow(_search(threshold, CONFIDENCE, tables, seed), "a long, b long, n long"), "found")
+    group = ["bucket", "left", "right"]
+    pairs = pairs.repartition(*group).sortWithinPartitions(*group)
+    sent = written(pairs.mapInArrow(_open(threshold, tables), _OPEN), "open")
+    sent = sent.join(coded.drop("buckets"), "rep").repartition(*group).sortWithinPartitions(*group)
+    found = written(
+        sent.mapInArrow(_search(threshold, CONFIDENCE, tables, seed, form), "a long, b long, n long"), "found"
+    )
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     components = connected_components(found.where("b is not null").select("a", "b"))
     result = (

@@ -300,6 +300,26 @@ def test_embeddings_in_blocks(spark, monkeypatch):
     assert sum(found.values()) >= 0.98 * wanted.sum() and all(found[i] <= wanted[i] for i in found)
 
 
+@pytest.mark.parametrize(("dim", "kind"), [(16, "double"), (64, "float"), (256, "float")])
+def test_embeddings_find_the_links_of_all_pairs(spark, monkeypatch, dim, kind):
+    """Clusters around the threshold, in few and many dimensions, in blocks: recall by all pairs."""
+    rng = np.random.default_rng(dim)
+    centres = rng.standard_normal((30, dim))
+    rows = [(i, (centres[i % 30] + rng.uniform(0, 0.35) * rng.standard_normal(dim)).astype(np.float32).tolist()) for i in range(1500)]
+    x = np.array([v for _, v in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    near = (x @ x.T) >= 0.95
+    np.fill_diagonal(near, False)
+    monkeypatch.setattr(embeddings, "BLOCK", 300)
+    monkeypatch.setattr(embeddings, "BUCKET", 32)
+    found = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")).collect()}
+    got = np.array([found[i]["n_links"] for i in range(1500)])
+    assert (got <= near.sum(axis=1)).all() and got.sum() >= 0.99 * near.sum() > 1000
+    for i, j in zip(*np.nonzero(near), strict=True):
+        if got[i] == near[i].sum():
+            assert found[i]["component_id"] == found[j]["component_id"]
+
+
 def test_rotation_codes_estimate_without_bias():
     rng = np.random.default_rng(1)
     x, q = rng.standard_normal((2000, 64)), rng.standard_normal(64)
