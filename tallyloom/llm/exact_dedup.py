@@ -7,7 +7,7 @@ meet by an ordinary shuffle, where no group is frequent any more.
 
 Defined results: null text is the empty text, and empty texts are equal. Without an id a row ranks below
 all rows with one. A row repeated with its id gets the same decision each time; ``survivors``
-returns it once. An empty table gives no rows. Other columns may have any name.
+returns it once. An empty table gives no rows. Texts of any length are hashed whole. Other columns may have any name.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from tallyloom.llm.tables import written
 #: Counters in each Misra-Gries summary, and the most winners that are broadcast.
 TRACKED = 1024
 WINNERS = 256
+SENT = 1 << 18
 _MERGES = 64
 
 
@@ -85,13 +86,29 @@ def survivors(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, one for each text, with all their columns.
 
-    Losing copies of the winners go where they are read; the others are shuffled by digest once and
-    reduced on the map side first.
+    Ids and digests alone are shuffled to find the rows that go. Losing copies of the winners go where they are read, and so do
+    all others by a broadcast of their ids and digests, as long as these are ``SENT`` at most; above that rows are
+    joined with them. Only rows whose id and text both repeat are compared whole; the one with the greatest values stays.
     """
     digest = text_digest(F.col(text_column), normalise).alias("digest")
     digests = written(docs.select(F.col(id_column).alias("id"), digest), "digests")
-    winners = F.broadcast(frequent_digests(digests).select("digest", "keep_id"))
+    winners = frequent_digests(digests).select("digest", "keep_id")
+    others = digests.join(F.broadcast(winners), "digest", "left_anti")
+    groups = others.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1")
+    groups = written(groups.select("digest", "keep_id"), "groups")
+    other_id = ~F.col("id").eqNullSafe(F.col("keep_id"))
+    lost = written(others.join(groups, "digest").where(other_id).select("digest", "id").distinct(), "lost")
+    lost_rows = lost.select(F.col("digest").alias("lost_digest"), F.col("id").alias("lost_id"))
+    if lost.count() <= SENT:
+        lost_rows = F.broadcast(lost_rows)
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), digest)
-    lost = F.col("keep_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep_id"))
-    left = rows.join(winners, "digest", "left").where(~lost)
-    return left.groupBy("digest").agg(F.max_by("row", F.struct("id")).alias("row")).select("row.*")
+    left = rows.join(F.broadcast(winners), "digest", "left").where(F.col("keep_id").isNull() | ~other_id)
+    same = (F.col("digest") == F.col("lost_digest")) & F.col("id").eqNullSafe(F.col("lost_id"))
+    left = left.join(lost_rows, same, "left_anti")
+    kept = digests.join(winners.unionByName(groups), "digest").where(~other_id)
+    twice = written(kept.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "twice")
+    if not twice.limit(1).count():
+        return left.select("row.*")
+    once = left.join(twice, "digest", "left_anti").select("row")
+    again = left.join(twice, "digest").groupBy("digest").agg(F.max_by("row", F.to_json("row")).alias("row"))
+    return once.unionByName(again.select("row")).select("row.*")

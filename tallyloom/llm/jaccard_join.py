@@ -100,36 +100,91 @@ def _folded(bits: np.ndarray) -> np.ndarray:
     return bits[:, :half] | bits[:, half:]
 
 
+_NARROW = 4096
+_AT_ONCE = 256
+
+
 class BitMaps:
-    """Bit maps of sets, to bound overlaps with a query from above."""
+    """Bit maps of sets, to bound overlaps from above.
+
+    Maps of up to ``_NARROW`` bits are compared as products of 0/1 matrices, many queries at a time; wider ones, of which a
+    group holds few, one query at a time. Sets of one width are sorted by size, so a query meets only
+    those whose size can reach the similarity.
+    """
 
     def __init__(self, sizes: np.ndarray, maps: list[bytes]):
         self.parts = []
         widths = np.array([len(m) for m in maps])
         for width in np.unique(widths).tolist():
             at = np.flatnonzero(widths == width)
+            at = at[np.argsort(sizes[at], kind="stable")]
             bits = np.frombuffer(b"".join(maps[i] for i in at.tolist()), dtype=np.uint64).reshape(len(at), -1)
             self.parts.append((width, at, sizes[at], bits))
 
     def reach(self, size: int, bits: bytes, similarity: int) -> np.ndarray:
         """The sets that may reach the similarity with a set of that size and bit map."""
         found = []
-        for width, at, sizes, own in self.parts:
-            near = np.flatnonzero((100 * sizes >= similarity * size) & (100 * size >= similarity * sizes))
-            if not len(near):
+        for _, at, sizes, own in self.parts:
+            low, high = _size_range(sizes, size, size, similarity)
+            if low == high:
                 continue
-            query, rows = np.frombuffer(bits, dtype=np.uint64).reshape(1, -1), own[near]
+            query, rows = np.frombuffer(bits, dtype=np.uint64).reshape(1, -1), own[low:high]
             while query.shape[1] > rows.shape[1]:
                 query = _folded(query)
             while rows.shape[1] > query.shape[1]:
                 rows = _folded(rows)
             most = np.minimum(
                 size - np.bitwise_count(query & ~rows).sum(axis=1, dtype=np.int64),
-                sizes[near] - np.bitwise_count(rows & ~query).sum(axis=1, dtype=np.int64),
+                sizes[low:high] - np.bitwise_count(rows & ~query).sum(axis=1, dtype=np.int64),
             )
-            found.append(at[near[(100 + similarity) * most >= similarity * (size + sizes[near])]])
+            found.append(at[low:high][(100 + similarity) * most >= similarity * (size + sizes[low:high])])
         return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
 
+    def marks(self, queries: "BitMaps", similarity: int, self_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the queries have a set in reach, and which sets a query reaches; ``self_of`` says which
+        set a query is itself (-1: none)."""
+        found = np.zeros(sum(len(at) for _, at, _, _ in queries.parts), dtype=bool)
+        met = np.zeros(sum(len(at) for _, at, _, _ in self.parts), dtype=bool)
+        for width, asking, asked_sizes, asked_bits in queries.parts:
+            if 8 * width > _NARROW:
+                for q, size, bits in zip(asking.tolist(), asked_sizes.tolist(), asked_bits, strict=True):
+                    hits = self.reach(size, bits.tobytes(), similarity)
+                    hits = hits[hits != self_of[q]]
+                    found[q] |= len(hits) > 0
+                    met[hits] = True
+                continue
+            for _, at, sizes, bits in self.parts:
+                left, right = asked_bits, bits
+                while left.shape[1] > right.shape[1]:
+                    left = _folded(left)
+                while right.shape[1] > left.shape[1]:
+                    right = _folded(right)
+                left, right = _spread(left), _spread(right)
+                spare_left, spare_right = asked_sizes - left.sum(axis=1), sizes - right.sum(axis=1)
+                for i in range(0, len(asking), _AT_ONCE):
+                    some = asked_sizes[i : i + _AT_ONCE]
+                    low, high = _size_range(sizes, int(some[0]), int(some[-1]), similarity)
+                    for j in range(low, high, 1 << 14):
+                        k = min(high, j + (1 << 14))
+                        both = left[i : i + _AT_ONCE] @ right[j:k].T
+                        most = both + np.minimum(spare_left[i : i + _AT_ONCE, None], spare_right[j:k])
+                        near = (100 + similarity) * most >= similarity * (some[:, None] + sizes[j:k])
+                        near &= self_of[asking[i : i + _AT_ONCE], None] != at[j:k]
+                        found[asking[i : i + _AT_ONCE]] |= near.any(axis=1)
+                        met[at[j:k]] |= near.any(axis=0)
+        return found, met
+
+
+def _spread(bits: np.ndarray) -> np.ndarray:
+    """Bit maps as rows of 0 and 1."""
+    return np.unpackbits(np.ascontiguousarray(bits).view(np.uint8), axis=1).astype(np.float32)
+
+
+def _size_range(sizes: np.ndarray, least: int, most: int, similarity: int) -> tuple[int, int]:
+    """Where sorted sizes can reach the similarity with any size from ``least`` to ``most``."""
+    low = int(np.searchsorted(100 * sizes, similarity * least, side="left"))
+    return low, int(np.searchsorted(similarity * sizes, 100 * most, side="right"))
+
 
 def _sieve(similarity: int):
     """Rows of groups that have a partner in reach."""
@@ -144,14 +199,15 @@ def _sieve(similarity: int):
                 continue
             sizes = np.asarray(group.column("n"))
             maps = group.column("bits").to_pylist()
+            asking = np.flatnonzero(role > 0)
             index = BitMaps(sizes[inside], [maps[i] for i in inside.tolist()])
+            queries = BitMaps(sizes[asking], [maps[i] for i in asking.tolist()])
+            self_of = np.full(len(role), -1)
+            self_of[inside] = np.arange(len(inside))
+            found, met = index.marks(queries, similarity, self_of[asking])
             kept = np.zeros(len(role), dtype=bool)
-            for q in np.flatnonzero(role > 0).tolist():
-                hits = inside[index.reach(int(sizes[q]), maps[q], similarity)]
-                hits = hits[hits != q]
-                if len(hits):
-                    kept[q] = True
-                    kept[hits] = True
+            kept[asking] |= found
+            kept[inside] |= met
             if kept.any():
                 kept = group.select(["cell", "role", "class"]).filter(pa.array(kept))
                 yield from kept.combine_chunks().to_batches()
@@ -299,21 +355,24 @@ class Index:
         sizes = self.lengths[short]
         ends = np.cumsum(sizes)
         merged = self.owner[np.arange(ends[-1]) + np.repeat(self.starts[short] - ends + sizes, sizes)]
-        counts = np.bincount(merged, minlength=len(self.sizes))
-        needed = -(-similarity * (n + self.sizes) // (100 + similarity))
-        open_ = np.flatnonzero((counts > 0) & (counts + aside >= needed) & (label[:-1] != label[-1]))
+        # the lists are sorted runs, which a stable sort merges; only sets that occur in one are looked at
+        merged = np.sort(merged, kind="stable")
+        firsts = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
+        occurring, counts = merged[firsts], np.diff(np.append(firsts, len(merged)))
+        needed = -(-similarity * (n + self.sizes[occurring]) // (100 + similarity))
+        open_ = np.flatnonzero((counts + aside >= needed) & (label[occurring] != label[-1]))
         batch = 1
         while len(open_):
             # one of each label first: where it links, the others of that label need no look
-            _, first = np.unique(label[open_], return_index=True)
+            _, first = np.unique(label[occurring[open_]], return_index=True)
             tried = open_[first] if batch == 1 else open_[:batch]
             found = self.places
-            wanted = long[:, None] * len(self.sizes) + tried
+            wanted = long[:, None] * len(self.sizes) + occurring[tried]
             where = np.minimum(np.searchsorted(found, wanted), len(found) - 1)
             total = counts[tried] + (found[where] == wanted).sum(axis=0)
-            yield from tried[total >= needed[tried]].tolist()
+            yield from occurring[tried[total >= needed[tried]]].tolist()
             open_ = np.setdiff1d(open_, tried, assume_unique=True)
-            open_ = open_[label[open_] != label[-1]]
+            open_ = open_[label[occurring[open_]] != label[-1]]
             batch = max(64, 4 * batch)
 
 

@@ -13,9 +13,9 @@ arrays of ``BUCKETS`` numbers. The k-th largest key is found by counting keys in
 ranges, so no rows are sorted or gathered.
 
 Defined results: null and empty texts have no n-grams and weight 0. Labels that are null, or of documents that are
-missing, are not used; without good or without bad labels every document stays. Rows that repeat get
+missing, are not used, and a labelled id that several rows share counts once, by its smallest weight; without good or without bad labels every document stays. Rows that repeat get
 the same key; at the k-th key ties go to the smaller id, and rows alike in both all stay. An empty table
-gives no rows.
+gives no rows. Texts of any length are read whole, in slices of rows. Columns beyond those named are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -181,7 +181,9 @@ def resample(
     uniform = F.greatest(F.lit(2.0**-60), F.least(uniform, F.lit(1 - 2.0**-53)))
     keys = written(weighed.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "keys")
     if share is None:
-        scored = [(r["log_weight"], int(r["quality"] == 1)) for r in keys.join(F.broadcast(sample), "doc_id").select("log_weight", "quality").collect()]
+        # one row for each labelled id, however many rows share it
+        met = keys.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "quality").agg(F.min("log_weight").alias("log_weight"))
+        scored = [(r["log_weight"], int(r["quality"] == 1)) for r in met.collect()]
         if len({label for _, label in scored}) == 2:
             k = keys.where(F.col("log_weight") >= F.lit(_threshold(scored))).count()
         else:

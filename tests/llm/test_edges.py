@@ -84,6 +84,24 @@ def test_exact_dedup_many_alike(spark):
     assert tuple(hot.first()) == (1000, 2997, 2997)
 
 
+@pytest.mark.parametrize("sent", [1 << 18, 0])
+def test_survivors_are_the_kept_rows(spark, monkeypatch, sent):
+    """Groups of two to many, null ids, rows that repeat whole or in id and text alone."""
+    monkeypatch.setattr(exact_dedup, "SENT", sent)
+    rng = random.Random(9)
+    rows = [(i, f"text {min(rng.randrange(300), rng.randrange(300))}", "a") for i in range(1500)]
+    rows += [rows[10], (10, rows[10][1], "b"), (1499, rows[1499][1], "b"), rows[1499], (None, "alone", "a"), (None, "text 1", "a")]
+    df = docs(spark, rows).repartition(5)
+    left = exact_dedup.survivors(df)
+    best = {}
+    for i, text, _ in rows:
+        best[text] = i if best.get(text) is None else max(best[text], i if i is not None else -1)
+    assert left.columns == df.columns
+    found = [(r["text"], r["doc_id"], r["source"]) for r in left.collect()]
+    assert sorted((t, str(i)) for t, i, _ in found) == sorted((t, str(i)) for t, i in best.items())
+    assert {s for _, i, s in found if i == 1499} == {"b"}
+
+
 def test_jaccard(spark, odd, none):
     found = {}
     for r in jaccard_join.components(odd).collect():
