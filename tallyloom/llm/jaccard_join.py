@@ -100,7 +100,7 @@ def _folded(bits: np.ndarray) -> np.ndarray:
     return bits[:, :half] | bits[:, half:]
 
 
-_NARROW = 4096
+_NARROW = 1024
 _AT_ONCE = 256
 
 
@@ -154,7 +154,10 @@ class BitMaps:
                     met[hits] = True
                 continue
             for _, at, sizes, bits in self.parts:
-                left, right = asked_bits, bits
+                low, high = _size_range(sizes, int(asked_sizes[0]), int(asked_sizes[-1]), similarity)
+                at, sizes, left, right = at[low:high], sizes[low:high], asked_bits, bits[low:high]
+                if not len(at):
+                    continue
                 while left.shape[1] > right.shape[1]:
                     left = _folded(left)
                 while right.shape[1] > left.shape[1]:
