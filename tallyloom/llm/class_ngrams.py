@@ -53,6 +53,7 @@ _WORDS_AT_ONCE = 2048
 _ENTRIES_AT_ONCE = 1 << 14
 _TOKENS_AT_ONCE = 2 << 20
 _BLOCK = 256
+_CELLS = 1 << 22
 _SLICE = 8 << 20
 
 
@@ -177,8 +178,18 @@ def _profile(kind: np.ndarray, turn: np.ndarray, classes: int):
     slot[turn] = np.arange(len(turn))
     wide = 2 * classes + 1
 
+    def rows(cell: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        blocks, starts = np.unique(cell // (wide * _BLOCK), return_index=True)
+        ends = np.r_[starts, len(cell)][1:]
+        blobs = [_blob(cell[a:b] - k * wide * _BLOCK, n[a:b]) for k, a, b in zip(blocks, starts, ends, strict=True)]
+        if blobs:
+            at, counts = zip(*blobs, strict=True)
+            yield _profile_rows(blocks.tolist(), at, counts)
+
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix = np.zeros(classes * classes, dtype=np.int64)
+        # few words: one table of all their counts in the task; many: the counts of each run of tokens
+        total = np.zeros(len(turn) * wide if len(turn) * wide <= _CELLS else 0, dtype=np.int64)
         for stream in _runs(batches):
             before = np.r_[np.uint32(_END), stream[:-1]]
             here, there = kind[stream], kind[before]
@@ -189,13 +200,12 @@ def _profile(kind: np.ndarray, turn: np.ndarray, classes: int):
             cells = np.concatenate(
                 [one[left] * wide + here[left], other[right] * wide + classes + there[right], one[same] * wide + 2 * classes]
             )
-            cell, n = np.unique(cells, return_counts=True)
-            blocks, starts = np.unique(cell // (wide * _BLOCK), return_index=True)
-            ends = np.r_[starts, len(cell)][1:]
-            blobs = [_blob(cell[a:b] - k * wide * _BLOCK, n[a:b]) for k, a, b in zip(blocks, starts, ends, strict=True)]
-            if blobs:
-                at, counts = zip(*blobs, strict=True)
-                yield _profile_rows(blocks.tolist(), at, counts)
+            if len(total):
+                total += np.bincount(cells, minlength=len(total))
+            elif len(cells):
+                yield from rows(*np.unique(cells, return_counts=True))
+        at = np.flatnonzero(total)
+        yield from rows(at, total[at])
         at = np.flatnonzero(matrix)
         if len(at):
             yield _profile_rows([-1], *([x] for x in _blob(at, matrix[at])))

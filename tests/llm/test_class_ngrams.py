@@ -210,7 +210,9 @@ def test_odd_texts(spark):
     assert all(math.isfinite(r["score"]) for r in found)
 
 
-def test_same_whatever_the_partitioning(spark, rows):
+@pytest.mark.parametrize("cells", [1 << 22, 0])
+def test_same_whatever_the_partitioning(spark, rows, monkeypatch, cells):
+    monkeypatch.setattr(lm, "_CELLS", cells)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     one = {r["doc_id"]: r["score"] for r in lm.score_documents(df.repartition(1), classes=8, rounds=3).collect()}
     many = {r["doc_id"]: r["score"] for r in lm.score_documents(df.repartition(9), classes=8, rounds=3).collect()}
