@@ -6,11 +6,12 @@ source an integer number of blocks, and the same rule over shard sizes gives eac
 its quota. A quota takes all blocks of its shard as often as it covers them, and for the rest a run
 of blocks from a seeded place, round the end, so that every block is as likely as any other.
 
-Only documents' ids and sizes are shuffled. Windows run over the sources, over the shards of a
-source, and over the documents of a shard, which holds about ``SHARD_WORDS`` words.
+Only documents' ids and sizes are shuffled. Sources, and the seats of sources and shards, are ranked and summed in ranges of their
+order, however many there are; windows run over the documents of a shard, which holds about ``SHARD_WORDS`` words.
 
 Defined results: null text has size 0, takes nothing and is returned. Sources are taken by code point,
-null last; weights repeat. Rows that repeat are documents of their own. An empty table gives no rows.
+null last; weights repeat. Rows that repeat are documents of their own. An empty table gives no rows. Words of a text of any length are counted whole. Columns beyond the
+three named ones are ignored, whatever their names; ``mixed_documents`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -38,71 +39,94 @@ def draw(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.sha2(text, 256), 1, 13), 16, 10).cast("long")
 
 
+def running(rows: DataFrame, order: Sequence[Column], values: Sequence[str], label: str) -> DataFrame:
+    """``rows`` with ``<value>_before`` for each of ``values``: its total over all rows before in ``order``.
+
+    Rows are dealt to tasks by ranges of the order and written, and each range has running totals of its own. Only the ranges'
+    totals, at most as many rows as there are shuffle partitions, meet in one task.
+    """
+    dealt = rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    dealt = written(dealt, label)
+    earlier = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = dealt.groupBy(F.col("range").alias("range_no")).agg(*[F.sum(v).alias(v) for v in values])
+    ranges = ranges.select("range_no", *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"{v}_earlier") for v in values])
+    line = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = [F.coalesce(F.sum(v).over(line), F.lit(0)).alias(f"{v}_inside") for v in values]
+    return (
+        dealt.select("*", *inside)
+        .join(ranges, F.col("range") == F.col("range_no"))
+        .select(*rows.columns, *[(F.col(f"{v}_inside") + F.col(f"{v}_earlier")).alias(f"{v}_before") for v in values])
+    )
+
+
 def seats(parties: DataFrame, within: Sequence[str], key: str, votes: str, total: str) -> DataFrame:
     """``parties`` with ``quota``: ``total`` seats shared by highest quotients votes / (2k + 1).
 
-    ``total`` is a column equal in all parties of a group ``within``. A party's seats differ from
+    ``total`` is a column equal in all parties of a group ``within`` (none for one group of all). A party's seats differ from
     its exact share by less than half its share times the number of parties, plus one, so that
-    only seats in that reach are listed and ranked: about five a party.
+    only seats in that reach are listed and ranked: about five a party. Groups of any number of parties are
+    ranked in ranges of the quotients.
     """
-    group = Window.partitionBy(*within)
-    exact = F.col(total) * (F.col(votes).cast("double") / F.col("all_votes"))
-    reach = F.col(votes).cast("double") / F.col("all_votes") * F.col("parties") / 2 + 1
+    columns = parties.columns
+    groups = [*within] or ["all_parties"]
+    rows = written(parties if within else parties.withColumn("all_parties", F.lit(0)), "parties")
+    sums = rows.groupBy(*groups).agg(
+        F.sum(F.col(votes).cast("double")).alias("all_votes"), F.count("*").alias("parties")
+    )
+    part = F.col(votes).cast("double") / F.col("all_votes")
+    exact, reach = F.col(total) * part, part * F.col("parties") / 2 + 1
     bounded = (
-        parties.withColumn("all_votes", F.sum(F.col(votes).cast("double")).over(group))
-        .withColumn("parties", F.count("*").over(group))
+        rows.join(sums, groups)
         .withColumn("sure", F.when(F.col("all_votes") > 0, F.greatest(F.lit(0), F.floor(exact - reach))).otherwise(0))
         .withColumn("most", F.when(F.col("all_votes") > 0, F.ceil(exact + reach)).otherwise(0))
-        .withColumn("open", F.col(total) - F.sum("sure").over(group))
     )
-    contested = bounded.select(
-        *within, key, votes, "open", F.explode(F.sequence(F.col("sure"), F.col("most"))).alias("k")
-    ).where(F.col(votes) > 0)
-    order = Window.partitionBy(*within).orderBy(
-        (F.col(votes).cast("double") / (2 * F.col("k") + 1)).desc(), F.col(key), F.col("k")
+    contested = bounded.where(F.col(votes) > 0).select(
+        *groups, key, votes, F.explode(F.sequence(F.col("sure"), F.col("most"))).alias("k"), F.lit(1).alias("one")
     )
-    won = contested.withColumn("place", F.row_number().over(order)).where("place <= open")
-    gained = won.groupBy(*within, key).agg(F.count("*").alias("gained"))
+    quotient = F.col(votes).cast("double") / (2 * F.col("k") + 1)
+    order = [*[F.col(g).asc() for g in groups], quotient.desc(), F.col(key).asc(), F.col("k").asc()]
+    ranked = written(running(contested, order, ["one"], "seats"), "ranked-seats")
+    starts = ranked.groupBy(*groups).agg(F.min("one_before").alias("start"))
+    left = bounded.groupBy(*groups).agg((F.max(total) - F.sum("sure")).alias("open"))
+    won = ranked.join(starts.join(left, groups), groups).where("one_before - start < open")
+    gained = won.groupBy(*groups, key).agg(F.count("*").alias("gained"))
     return (
-        bounded.join(gained, [*within, key], "left")
+        bounded.join(gained, [*groups, key], "left")
         .withColumn("quota", (F.col("sure") + F.coalesce("gained", F.lit(0))).cast("long"))
-        .select(*parties.columns, "quota")
+        .select(*columns, "quota")
     )
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
-    """``(source, source_rank, source_size, target)`` of ``sizes`` ``(source, size)``.
+    """``(source, source_rank, source_size, target, words)`` of ``sizes`` ``(source, size)``; ``words`` is the size of all sources.
 
     Targets share all words by weight; one that would pass ``MOST_REPEATS`` times its source's words
     stops there and the rest is shared anew. Sources in order of words per weight reach that limit
-    one after another, so the last common share follows from running sums. One row per source meets
-    in one task.
+    one after another, so the last common share follows from running sums, which are made in ranges of sources.
     """
-    every = Window.partitionBy(F.lit(0))
-    by_name = Window.partitionBy(F.lit(0)).orderBy(F.col("source").asc_nulls_last())
-    by_room = Window.partitionBy(F.lit(0)).orderBy(
-        F.col("source_size").cast("double") / F.col("weight"), "source_rank"
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("one_before"), F.lit(len(weights))) + 1).cast("int"))
+    sums = sizes.groupBy("source").agg(F.sum("size").alias("source_size")).withColumn("one", F.lit(1))
+    named = running(written(sums, "source-sizes"), [F.col("source").asc_nulls_last()], ["one"], "source-names")
+    sources = written(
+        named.select("source", "source_size", F.col("one_before").cast("long").alias("source_rank"), weight.cast("long").alias("weight"))
+        .withColumn("limit", F.col("source_size") * MOST_REPEATS),
+        "source-weights",
     )
-    after = by_room.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    before = by_room.rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("source_rank"), F.lit(len(weights))) + 1).cast("int"))
+    all_weight, words = sources.agg(F.sum("weight"), F.sum("source_size")).first()
+    by_room = [(F.col("source_size").cast("double") / F.col("weight")).asc(), F.col("source_rank").asc()]
     sources = (
-        sizes.groupBy("source")
-        .agg(F.sum("size").alias("source_size"))
-        .withColumn("source_rank", F.row_number().over(by_name) - 1)
-        .withColumn("weight", weight)
-        .withColumn("limit", F.col("source_size") * MOST_REPEATS)
-        .withColumn("words", F.sum("source_size").over(every))
-        .withColumn("left_weight", F.sum("weight").over(after))
-        .withColumn("left_words", F.col("words") - F.coalesce(F.sum("limit").over(before), F.lit(0)))
+        running(sources, by_room, ["weight", "limit"], "source-room")
+        .withColumn("left_weight", F.lit(all_weight).cast("long") - F.col("weight_before"))
+        .withColumn("left_words", F.lit(words).cast("long") - F.col("limit_before"))
     )
     full = F.col("limit").cast(_HUGE) * F.col("left_weight") <= F.col("weight") * F.col("left_words").cast(_HUGE)
-    share = F.max(F.when(~full, F.col("left_words").cast("double") / F.col("left_weight"))).over(every)
+    share = sources.where(~full).agg(F.max(F.col("left_words").cast("double") / F.col("left_weight"))).first()[0]
     return sources.select(
         "source",
-        F.col("source_rank").cast("long").alias("source_rank"),
+        "source_rank",
         "source_size",
-        F.when(full, F.col("limit").cast("double")).otherwise(F.col("weight") * share).alias("target"),
+        F.when(full, F.col("limit").cast("double")).otherwise(F.col("weight") * F.lit(share).cast("double")).alias("target"),
+        F.lit(words).cast("long").alias("words"),
     )
 
 
@@ -130,9 +154,8 @@ def mix(
         ),
         "sizes",
     )
-    targets = source_targets(sizes, weights).withColumn(
-        "blocks", F.round(F.sum("source_size").over(Window.partitionBy(F.lit(0))).cast("double") / BLOCK).cast("long")
-    )
+    blocks = F.round(F.col("words").cast("double") / BLOCK).cast("long")
+    targets = source_targets(sizes, weights).withColumn("blocks", blocks).drop("words")
     sources = written(seats(targets, [], "source_rank", "target", "blocks"), "sources")
     shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / SHARD_WORDS))
     name = F.coalesce(F.col("id").cast("string"), F.lit("null"))
