@@ -9,8 +9,8 @@ in a window of ``WINDOW`` words is the same wherever the window stands.
 Every window is tied to one symbol inside it, the one with the smallest name (``anchor``), or to itself
 if there is none. Anchors are a few hundredths of the words. Step 1 shuffles the anchors and keeps the
 names that two documents share: only they can show repeats. Step 2 reads the documents with such
-anchors again and verifies: the windows tied to shared anchors are compared by a hash of their whole word
-sequence, each with the smallest document that has it. Step 3 cuts the covered words.
+anchors again and verifies: the windows tied to shared anchors are compared by 128 bits of their whole word
+sequence (two hashes over words that are hashed twice), each with the smallest document that has it. Step 3 cuts the covered words.
 
 Anchors and windows are reduced on the map side before they meet; a passage that a third of all documents
 share meets in partial minimums and in joins that adaptive execution can split. The first document of
@@ -18,7 +18,8 @@ equal texts with many windows sends them; none is collected.
 
 Defined results: null text has no words. Texts under ``WINDOW`` words keep all. Rows that repeat an id are one
 document to each other, none of which removes from the other; a row without id neither removes nor
-loses words. An empty table gives no rows.
+loses words. An empty table gives no rows. A text of any length is read whole; one text has to fit a task. Columns beyond
+the two named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -228,9 +229,12 @@ def _found_rows(ids: pa.Array, counts, digests, anchor) -> pa.RecordBatch:
 
 def _tied_windows(window: int, rounds: int):
     def tied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from tallyloom.llm.words import SECOND, word_hashes
+
         for batch in batches:
             for part, words, bounds in _text_parts(batch):
                 starts, text, hashes, anchor = anchors(words, bounds, window, rounds)
+                checks = window_hashes(word_hashes(part.column("text"), values=SECOND)[0], window)[starts]
                 shared = part.column("anchors")
                 kept = np.zeros(len(starts), dtype=bool)
                 cuts = np.searchsorted(text, np.arange(part.num_rows + 1))
@@ -244,7 +248,7 @@ def _tied_windows(window: int, rounds: int):
                 ids = part.column("doc_id").take(pa.array(text))
                 place = (starts[kept] - bounds[text]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, rows, pa.array(place), _signed(hashes[kept])], ["doc_id", "row", "place", "hash"]
+                    [ids, rows, pa.array(place), _signed(hashes[kept]), _signed(checks[kept])], ["doc_id", "row", "place", "hash", "check"]
                 )
 
     return tied
@@ -299,6 +303,7 @@ def remove_repeats(
         .groupBy("whole_sha256").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
         .where("copies > 1").drop("copies")
     )
+    firsts = written(firsts, "firsts")
     copies = whole.join(firsts, "whole_sha256").where("doc_id > first_id").groupBy("doc_id").agg(F.count("*").alias("copied"))
     # an id that also has a text of its own stays
     rows_of_id = whole.groupBy("doc_id").agg(F.count("*").alias("rows"))
@@ -313,12 +318,13 @@ def remove_repeats(
         .join(gone, "doc_id", "left_anti")
     )
     candidates = written(texts.join(of_doc, "doc_id").withColumn("row", F.monotonically_increasing_id()), "candidates")
-    windows = candidates.mapInArrow(_tied_windows(window, rounds), "doc_id long, row long, place int, hash long")
+    windows = candidates.mapInArrow(_tied_windows(window, rounds), "doc_id long, row long, place int, hash long, check long")
     windows = written(windows, "windows")
-    smallest = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    smallest = written(smallest.where("low < high").select("hash", "low"), "smallest")
+    # both hashes together, 128 bits of the words, say that two windows are equal
+    smallest = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    smallest = written(smallest.where("low < high").select("hash", "check", "low"), "smallest")
     repeats = (
-        windows.join(smallest, "hash").where("doc_id > low")
+        windows.join(smallest, ["hash", "check"]).where("doc_id > low")
         .groupBy("row").agg(F.collect_set("place").alias("places"))
     )
     hit = candidates.select("row", "doc_id", "text").join(repeats, "row")

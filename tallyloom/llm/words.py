@@ -39,6 +39,8 @@ def constants(n: int, salt: int) -> np.ndarray:
 
 
 _LETTERS = constants(256, 11)
+#: Values of letters for a second hash, which tells words apart that the first does not.
+SECOND = constants(256, 31)
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _POWERS = np.cumprod(np.full(_PIECE, _BASE, dtype=np.uint64))
 
@@ -88,10 +90,12 @@ def _runs(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends - starts
 
 
-def word_hashes(column: pa.Array, letters: np.ndarray = BYTES) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    column: pa.Array, letters: np.ndarray = BYTES, values: np.ndarray = _LETTERS
+) -> tuple[np.ndarray, np.ndarray]:
     """A hash for each word, and the index of each row's first word (one more than rows).
 
-    ``letters`` maps bytes before hashing, such as ``LOWER``.
+    ``letters`` maps bytes before hashing, such as ``LOWER``; ``values`` are the letters' numbers, such as ``SECOND``.
     """
     offsets, data = buffers(column)
     if not len(data):
@@ -107,19 +111,19 @@ def word_hashes(column: pa.Array, letters: np.ndarray = BYTES) -> tuple[np.ndarr
         last = max(word + 1, int(np.searchsorted(at, at[word] + _PIECE, side="right")) - 1)
         if at[last] - at[word] <= _PIECE:
             place = np.arange(at[last] - at[word]) - np.repeat(at[word:last] - at[word], lengths[word:last])
-            parts = _LETTERS[kept[at[word] : at[last]]] * _POWERS[place]
+            parts = values[kept[at[word] : at[last]]] * _POWERS[place]
             hashes[word:last] = np.add.reduceat(parts, at[word:last] - at[word])
         else:
-            hashes[word] = _long_word(kept[at[word] : at[last]])
+            hashes[word] = _long_word(kept[at[word] : at[last]], values)
         word = last
     return mix(hashes + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), bounds
 
 
-def _long_word(letters: np.ndarray) -> np.uint64:
+def _long_word(letters: np.ndarray, values: np.ndarray) -> np.uint64:
     total, scale = 0, 1
     for i in range(0, len(letters), _PIECE):
         part = letters[i : i + _PIECE]
-        total += int(np.add.reduce(_LETTERS[part] * _POWERS[: len(part)])) * scale
+        total += int(np.add.reduce(values[part] * _POWERS[: len(part)])) * scale
         scale = scale * int(_POWERS[len(part) - 1]) % (1 << 64)
     return np.uint64(total % (1 << 64))
 
