@@ -22,7 +22,8 @@ reduced to a spanning forest before they leave it. Components come from joins ov
 
 Defined results: A-Z are lower-cased, nothing else. A text of fewer words than n is one shingle; null and wordless
 texts have none and stay alone, also if their ids repeat. A row without id has its class's component, or null.
-An empty table gives no rows.
+An empty table gives no rows. A text of any length is read whole; one text and its set have to fit a task. Columns beyond the
+two named ones are ignored, whatever their names; ``representatives`` returns them as they are.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ out in sequences of powers of two, which need no padding. So a task pads nothing
 meet: nothing is shuffled, and a lost task is packed again in the same way.
 
 Defined results: null and empty texts are the end id alone. Rows that repeat are packed each. An empty
-table gives no pieces. A document is encoded whole; a task holds a few megabytes of text at a time.
+table gives no pieces. A document is encoded whole; a task holds a few megabytes of text at a time. Columns beyond
+the two named ones are ignored, whatever their names.
 """
 
 from __future__ import annotations
