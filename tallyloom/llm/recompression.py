@@ -9,7 +9,7 @@ in a window of ``WINDOW`` words is the same wherever the window stands.
 Every window is tied to one symbol inside it, the one with the smallest name (``anchor``), or to itself
 if there is none. Anchors are a few hundredths of the words. Step 1 shuffles the anchors and keeps the
 names that two documents share: only they can show repeats. Step 2 reads the documents with such
-anchors again and verifies: the windows tied to shared anchors are compared by 128 bits of their whole word
+anchors again and verifies: the windows tied to shared anchors are compared by 96 bits of their whole word
 sequence (two hashes over words that are hashed twice), each with the smallest document that has it. Step 3 cuts the covered words.
 
 Anchors and windows are reduced on the map side before they meet; a passage that a third of all documents
@@ -235,6 +235,7 @@ def _tied_windows(window: int, rounds: int):
             for part, words, bounds in _text_parts(batch):
                 starts, text, hashes, anchor = anchors(words, bounds, window, rounds)
                 checks = window_hashes(word_hashes(part.column("text"), values=SECOND)[0], window)[starts]
+                checks = (checks >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 shared = part.column("anchors")
                 kept = np.zeros(len(starts), dtype=bool)
                 cuts = np.searchsorted(text, np.arange(part.num_rows + 1))
@@ -248,7 +249,7 @@ def _tied_windows(window: int, rounds: int):
                 ids = part.column("doc_id").take(pa.array(text))
                 place = (starts[kept] - bounds[text]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, rows, pa.array(place), _signed(hashes[kept]), _signed(checks[kept])], ["doc_id", "row", "place", "hash", "check"]
+                    [ids, rows, pa.array(place), _signed(hashes[kept]), pa.array(checks[kept])], ["doc_id", "row", "place", "hash", "check"]
                 )
 
     return tied
@@ -316,18 +317,21 @@ def remove_repeats(
         named.join(shared, "anchor")
         .groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
         .join(gone, "doc_id", "left_anti")
+        .join(rows_of_id, "doc_id")
     )
-    candidates = written(texts.join(of_doc, "doc_id").withColumn("row", F.monotonically_increasing_id()), "candidates")
-    windows = candidates.mapInArrow(_tied_windows(window, rounds), "doc_id long, row long, place int, hash long, check long")
+    # rows of one id are told by their texts
+    row = F.when(F.col("rows") > 1, F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    candidates = written(texts.join(of_doc, "doc_id").withColumn("row", row).drop("rows"), "candidates")
+    windows = candidates.mapInArrow(_tied_windows(window, rounds), "doc_id long, row long, place int, hash long, check int")
     windows = written(windows, "windows")
-    # both hashes together, 128 bits of the words, say that two windows are equal
+    # both hashes together say that two windows are equal: 10^13 windows give less than 0.001 false pairs
     smallest = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     smallest = written(smallest.where("low < high").select("hash", "check", "low"), "smallest")
     repeats = (
         windows.join(smallest, ["hash", "check"]).where("doc_id > low")
-        .groupBy("row").agg(F.collect_set("place").alias("places"))
+        .groupBy("doc_id", "row").agg(F.collect_set("place").alias("places"))
     )
-    hit = candidates.select("row", "doc_id", "text").join(repeats, "row")
+    hit = candidates.select("row", "doc_id", "text").join(repeats, ["doc_id", "row"])
     kind = "cut_id long, cut_sha256 string, cut_words long, cut_kept string" + (", cut_text string" if with_text else "")
     cut = hit.mapInArrow(_cut(window, with_text), kind).dropDuplicates(["cut_id", "cut_sha256"])
     rows = whole.join(firsts, "whole_sha256", "left").join(
