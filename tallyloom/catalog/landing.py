@@ -130,7 +130,10 @@ select cast(y as integer) as y, count(o_orderkey) as n from years left join orde
 """,
 )
 def sql_with_recursion(spark: SparkSession, sf: str) -> DataFrame:
-    """SQL with a comment in front, a recursion, a hint and a table of its own under an alias's name."""
+    """SQL with a comment in front, a recursion, hints and a table of its own under an alias's name.
+
+    The years are hashed and the orders pass by them: sorted for the join, all orders would lie in the memory of two tasks.
+    """
     return sql_over_tables(
         spark,
         {"landed": dataset_path(sf.rstrip("/"), "orders"), "orders": given(spark, sf, "customer")},
@@ -142,6 +145,6 @@ def sql_with_recursion(spark: SparkSession, sf: str) -> DataFrame:
           union all
           select y + 1 from years where y < (select max(year) from orders)
         )
-        select /*+ COALESCE(2) */ y, count(o_orderkey) as n from years left join orders on year = y group by y
+        select /*+ COALESCE(2), SHUFFLE_HASH(years) */ y, count(o_orderkey) as n from years left join orders on year = y group by y
         """,
     )

@@ -54,3 +54,9 @@ def test_no_query_works_without_its_tables():
 def test_calendar_windows_run_once(spark, plan):
     text = plan(QUERIES["dividend_calendar"](spark, SF))
     assert text.count("Window [") <= 5
+
+
+def test_recursion_hashes_the_years(spark, plan):
+    """The orders pass by the hashed years: neither sorted for the join nor built into a table."""
+    text = plan(QUERIES["sql_with_recursion"](spark, SF))
+    assert "BuildLeft" in text and "SortMergeJoin" not in text and "BuildRight" not in text
