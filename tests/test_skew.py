@@ -86,6 +86,19 @@ def test_facts_of_one_symbol_are_reduced_before_the_shuffle(shuffled, plan):
     assert wide.filter("symbol = 'hot'").first()["stock_name"] == f"{ROWS - 3}.00"
 
 
+def test_facts_of_one_file_are_dealt_before_they_are_sorted(spark, plan):
+    """All facts in one task of the scan, many of one symbol and item, some without an order."""
+    data = [("hot", "行业", f"v{i}", i) for i in range(3000)] + [(f"s{i % 700}", "new", str(i), i) for i in range(1400)]
+    data += [("hot", "行业", "never", None), ("alone", "行业", "lost", None), ("s0", None, "x", 0)]
+    facts = spark.createDataFrame(data, "symbol string, item string, value string, ord int").coalesce(1)
+    wide = companies.company_info(facts)
+    text = plan(wide)
+    assert text.rindex("Exchange") > text.rindex("partial_max_by")
+    found = {r["symbol"]: r for r in wide.collect()}
+    assert len(found) == 702 and found["hot"]["industry"] == "v2999" and found["alone"]["industry"] is None
+    assert all(found[f"s{i}"]["other_facts"] == {"new": str(700 + i)} for i in range(700))
+
+
 @pytest.mark.parametrize("last", [1 << 14, 3])
 def test_slices_with_repeats_and_nulls(spark, monkeypatch, last):
     """Any slice, by its head or by ranges; a third of the codes are one code."""
