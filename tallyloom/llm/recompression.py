@@ -8,7 +8,8 @@ in a window of ``WINDOW`` words is the same wherever the window stands.
 
 Every window is tied to one symbol inside it, the one with the smallest name (``anchor``), or to itself
 if there is none. Anchors are a few hundredths of the words. Step 1 shuffles the anchors and keeps the
-names that two documents share: only they can show repeats. Step 2 reads the documents with such
+names that two different texts share: only they can show repeats, since of documents with the same words the later
+ones lose every word without a look at windows. Texts are told by 48 bits of their digest here. Step 2 reads the documents with such
 anchors again and verifies: the windows tied to shared anchors are compared by 96 bits of their whole word
 sequence (two hashes over words that are hashed twice), each with the smallest document that has it. Step 3 cuts the covered words.
 
@@ -201,20 +202,21 @@ def _named(window: int, rounds: int):
             for part, words, bounds in _text_parts(batch):
                 counts, digests = _whole(part.column("text"))
                 ids = part.column("doc_id")
-                yield _found_rows(ids, counts, digests, None)
+                yield _found_rows(ids, counts, digests, None, None)
+                marks = np.array([int(digest[:12], 16) for digest in digests], dtype=np.int64)
                 _, text, _, anchor = anchors(words, bounds, window, rounds)
                 change = np.ones(len(anchor), dtype=bool)
                 change[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-                at = pa.array(text[change])
-                yield _found_rows(ids.take(at), None, None, _signed(anchor[change]))
+                at = text[change]
+                yield _found_rows(ids.take(pa.array(at)), None, None, _signed(anchor[change]), pa.array(marks[at]))
 
     return names
 
 
-_FOUND = "doc_id long, n_words long, whole_sha256 string, anchor long"
+_FOUND = "doc_id long, n_words long, whole_sha256 string, anchor long, mark long"
 
 
-def _found_rows(ids: pa.Array, counts, digests, anchor) -> pa.RecordBatch:
+def _found_rows(ids: pa.Array, counts, digests, anchor, mark) -> pa.RecordBatch:
     n = len(ids)
     return pa.RecordBatch.from_arrays(
         [
@@ -222,8 +224,9 @@ def _found_rows(ids: pa.Array, counts, digests, anchor) -> pa.RecordBatch:
             pa.nulls(n, pa.int64()) if counts is None else pa.array(counts, pa.int64()),
             pa.nulls(n, pa.string()) if digests is None else pa.array(digests, pa.string()),
             pa.nulls(n, pa.int64()) if anchor is None else anchor,
+            pa.nulls(n, pa.int64()) if mark is None else mark,
         ],
-        ["doc_id", "n_words", "whole_sha256", "anchor"],
+        ["doc_id", "n_words", "whole_sha256", "anchor", "mark"],
     )
 
 
@@ -297,7 +300,7 @@ def remove_repeats(
     ``with_text`` also these (null where nothing is removed)."""
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     found = written(texts.mapInArrow(_named(window, rounds), _FOUND), "anchors")
-    whole = found.where("whole_sha256 is not null").drop("anchor")
+    whole = found.where("whole_sha256 is not null").drop("anchor", "mark")
     # the first of documents with the same words stands for all: the others lose every word
     firsts = (
         whole.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull())
@@ -309,9 +312,9 @@ def remove_repeats(
     # an id that also has a text of its own stays
     rows_of_id = whole.groupBy("doc_id").agg(F.count("*").alias("rows"))
     gone = copies.join(rows_of_id, "doc_id").where("copied = rows").select("doc_id")
-    named = found.where("anchor is not null and doc_id is not null").select("doc_id", "anchor")
+    named = found.where("anchor is not null and doc_id is not null").select("doc_id", "anchor", "mark")
     # both sides of the joins below are written tables: a frequent key is then a skew that can be split
-    shared = named.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared = named.groupBy("anchor").agg(F.min("mark").alias("low"), F.max("mark").alias("high"))
     shared = written(shared.where("low < high").select("anchor"), "shared")
     of_doc = (
         named.join(shared, "anchor")

@@ -534,6 +534,18 @@ def test_repeated_passages_of_a_repeated_id(spark):
     assert found == [(1, 0), (2, 0), (7, 60), (7, 80), (9, 60)]
 
 
+def test_copies_alone_send_no_windows(spark, monkeypatch):
+    """A document whose passages stand in its copies only has nothing to verify."""
+    tables = {}
+    monkeypatch.setattr(recompression, "written", lambda df, label: tables.setdefault(label, written(df, label)))
+    copied, shared = prose(910, 90), prose(911, 70)
+    rows = [(1, copied), (2, copied), (3, f" {copied} "), (4, f"{shared} one"), (5, f"two {shared}"), (5, copied)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["n_removed"]) for r in recompression.remove_repeats(frame).collect())
+    assert found == [(1, 0), (2, 90), (3, 90), (4, 0), (5, 70), (5, 90)]
+    assert {r["doc_id"] for r in tables["windows"].collect()} == {4, 5}
+
+
 def test_repeated_passages_by_brute_force(spark):
     """Runs, periods, repeats at ends, passages that many share, windows with one letter."""
     rng = random.Random(6)
