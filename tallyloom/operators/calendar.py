@@ -29,9 +29,12 @@ def symbol_span(events: DataFrame) -> DataFrame:
     )
 
 
-#: A span of days is cut into pieces of so many, and a task gets pieces of so many days in all.
+#: A span of days is cut into pieces of so many, and a task gets pieces of so many days in all. Where that would make more
+#: than so many tasks a core, tasks get up to so many times as many days: a sink pays for each task and file.
 PIECE_DAYS = 256
 DAYS_PER_TASK = 1 << 18
+TASKS_PER_CORE = 4
+LARGER_TASKS = 8
 
 
 def _days(first: str, last: str) -> str:
@@ -57,7 +60,8 @@ def _each_day(df: DataFrame, first: str, last: str, days: int) -> DataFrame:
     the number of shuffle partitions, and the days of one row may lie in several tasks.
     Offsets are whole numbers: a sequence of dates would step through timestamps.
     """
-    tasks = max(1, -(-days // DAYS_PER_TASK))
+    enough = TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(-(-days // DAYS_PER_TASK), max(enough, -(-days // (LARGER_TASKS * DAYS_PER_TASK)))))
     cut = df.selectExpr("*", f"explode(if({first} <= {last}, sequence(0, datediff({last}, {first}), {PIECE_DAYS}), null)) as piece")
     stop = f"least(piece + {PIECE_DAYS - 1}, datediff({last}, {first}))"
     return cut.repartition(tasks).selectExpr("*", f"explode(sequence(piece, {stop})) as offset").drop("piece")

@@ -136,3 +136,18 @@ def test_calendar_tasks_are_even(spark, monkeypatch):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "4")
         assert len(sizes) == -(-wanted // 4000) and max(sizes) <= 2 * min(sizes)
+
+
+def test_calendar_tasks_grow_before_they_are_many(spark, monkeypatch):
+    """A long calendar goes to larger tasks, not to ever more of them; a short one to a few for each core."""
+    import datetime as dt
+
+    from tallyloom.operators import calendar
+
+    day = dt.date(1900, 1, 1)
+    spans = spark.createDataFrame([(f"s{i}", day, day + dt.timedelta(days=999)) for i in range(50)], "symbol string, first_date date, last_date date")
+    for per_task, wanted in ((100, 63), (1000, 16), (10_000, 5)):
+        monkeypatch.setattr(calendar, "DAYS_PER_TASK", per_task)
+        dense = calendar.dense_calendar(spans)
+        sizes = [r["count"] for r in dense.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+        assert dense.distinct().count() == 50_000 == sum(sizes) and len(sizes) == wanted
