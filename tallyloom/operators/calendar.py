@@ -56,7 +56,7 @@ def _each_day(df: DataFrame, first: str, last: str, days: int) -> DataFrame:
     """A row for each day from ``first`` to ``last``, its distance to the first in ``offset``.
 
     Rows are cut into pieces of at most ``PIECE_DAYS`` days and the pieces dealt evenly over tasks, as many as ``days`` in
-    all need; then each task multiplies its own. The tasks follow the size of the calendar, whatever
+    all need (fewer and larger ones for a long calendar); then each task multiplies its own. The tasks follow the size of the calendar, whatever
     the number of shuffle partitions, and the days of one row may lie in several tasks.
     Offsets are whole numbers: a sequence of dates would step through timestamps.
     """
