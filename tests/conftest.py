@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.ui.showConsoleProgress": "false",
+            # plan texts hold whole filters, however long the numbers of columns have become
+            "spark.sql.maxMetadataStringLength": "1000",
         },
     )
     yield session
